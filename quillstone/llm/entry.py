@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import lsm, mixing
+from . import bpe, lines, lsm, mixing, planes
 
 QUERIES = {
     "op1_cube_mix": mixing.op1_cube_mix,
+    "op2_line_dedup": lines.op2_line_dedup,
+    "op4_bpe": bpe.op4_bpe,
+    "op5_token_planes": planes.op5_token_planes,
     "op8_exact_dedup": lsm.op8_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op2_line_dedup": lines.OP2_SQL,
     "op8_exact_dedup": lsm.OP8_SQL,
 }
