@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import map_arrow
 from .common import table
 from .texts import blobs, gather, raw, slices
 
@@ -268,14 +269,14 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or default_vocabulary()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda it: _encode_batches(it, path), "doc_id long, n_tokens long, ids binary")
+    return map_arrow(rows, lambda it: _encode_batches(it, path), "doc_id long, n_tokens long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and ids with decoded string."""
     path = path or default_vocabulary()
     rows = encoded.select("doc_id", "n_tokens", "ids")
-    return rows.mapInArrow(lambda it: _decode_batches(it, path), "doc_id long, n_tokens long, ids binary, decoded string")
+    return map_arrow(rows, lambda it: _decode_batches(it, path), "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, lines, lsm, mixing, planes
+from . import bpe, chosenpath, langid, lines, lsm, mixing, pii, planes
 
 QUERIES = {
     "op1_cube_mix": mixing.op1_cube_mix,
     "op2_line_dedup": lines.op2_line_dedup,
+    "op3_pii": pii.op3_pii,
     "op4_bpe": bpe.op4_bpe,
     "op5_token_planes": planes.op5_token_planes,
+    "op6_language_id": langid.op6_language_id,
     "op8_exact_dedup": lsm.op8_exact_dedup,
+    "op9_chosen_path": chosenpath.op9_chosen_path,
 }
 
 ORACLE_SQL = {

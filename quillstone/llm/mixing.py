@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import map_pandas
 from .common import forget, materialize, table, word_count
 
 WEIGHTS = (5, 2, 1)
@@ -156,12 +157,8 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, seed=SEED)
     done: list[DataFrame] = []
     while True:
         last = blocks == 1
-        flown = (
-            todo.repartition("src", "block")
-            .sortWithinPartitions("src", "block", F.desc("size"), "h", "doc")  # small units come last, and are landed
-            .select("src", "block", "doc", "size", "x")
-            .mapInPandas(lambda it, s=seed, n=level, z=last: flight(it, s, n, z), schema)
-        )
+        dealt = todo.repartition("src", "block").sortWithinPartitions("src", "block", F.desc("size"), "h", "doc")  # small units come last, and are landed
+        flown = map_pandas(dealt.select("src", "block", "doc", "size", "x"), lambda it, s=seed, n=level, z=last: flight(it, s, n, z), schema)
         flown = materialize(flown, f"mix-flight-{level}")
         if last:
             done.append(flown)

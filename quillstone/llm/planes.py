@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import SliceEncoder, default_vocabulary
+from ..shipping import map_arrow
 from .common import materialize, partitions, scratch_path, table
 from .texts import slices
 
@@ -225,7 +226,7 @@ def write_ids(docs: DataFrame, out: str | None = None, path: str | None = None,
     ranged = rows.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     )
-    manifest = ranged.mapInArrow(lambda it: _write_shard(it, out, path, end_id, mode), "shard int, n_docs long, n_ids long, n_bytes long")
+    manifest = map_arrow(ranged, lambda it: _write_shard(it, out, path, end_id, mode), "shard int, n_docs long, n_ids long, n_bytes long")
     return out, materialize(manifest, "token-manifest")
 
 
@@ -252,7 +253,7 @@ def read_index(out: str, manifest: DataFrame) -> DataFrame:
     # One row per file: the running sum passes one task, of as many rows as there are files.
     placed = manifest.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     dealt = placed.repartition(partitions(manifest.sparkSession), "shard")
-    return dealt.mapInArrow(lambda it: _read_shards(it, out), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(dealt, lambda it: _read_shards(it, out), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
