@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chosenpath, langid, lines, lsm, mixing, pii, planes
+from . import bpe, chosenpath, langid, lines, lsm, mixing, pii, planes, suffix
 
 QUERIES = {
     "op1_cube_mix": mixing.op1_cube_mix,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op5_token_planes": planes.op5_token_planes,
     "op6_language_id": langid.op6_language_id,
+    "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_exact_dedup": lsm.op8_exact_dedup,
     "op9_chosen_path": chosenpath.op9_chosen_path,
 }
