@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chosenpath, langid, lines, lsm, mixing, pii, planes, suffix
+from . import ann, bpe, chosenpath, langid, lines, lsm, mixing, pii, planes, suffix
 
 QUERIES = {
     "op1_cube_mix": mixing.op1_cube_mix,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_exact_dedup": lsm.op8_exact_dedup,
     "op9_chosen_path": chosenpath.op9_chosen_path,
+    "op10_learned_partitions": ann.op10_learned_partitions,
 }
 
 ORACLE_SQL = {

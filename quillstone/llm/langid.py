@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from ..shipping import map_arrow
 from .common import materialize, table
@@ -144,17 +145,19 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int = TRA
     return fit_model(counts, [f[0] for f in found])
 
 
-def _predict_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+def _predict_batches(batches: Iterator[pa.RecordBatch], model: Model, whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """The columns but text (whole: all columns) with lang_pred, score and rejected."""
+    for part in slices(batches, fill=not whole):
         found = []
         texts = part.column("text")
         for at in range(0, part.num_rows, ROWS):
-            found += model.predict(*gram_counts(texts.slice(at, ROWS).to_pylist()))
+            found += model.predict(*gram_counts([t or "" for t in texts.slice(at, ROWS).to_pylist()]))
         lang, score, rejected = zip(*found) if found else ((), (), ())
-        kept = [part.column(i) for i, c in enumerate(part.schema.names) if c != "text"]
-        names = [c for c in part.schema.names if c != "text"]
+        kept = [part.column(i) for i, c in enumerate(part.schema.names) if whole or c != "text"]
+        names = [c for c in part.schema.names if whole or c != "text"]
         yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], [*names, "lang_pred", "score", "rejected"]
+            [*kept, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
+            [*names, *(("_" * whole + c).replace("_score", "_lang_score").replace("_rejected", "_lang_rejected") for c in ("lang_pred", "score", "rejected"))],
         )
 
 
@@ -168,6 +171,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return map_arrow(rows, lambda it: _predict_batches(it, model), "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def annotate(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with _lang_pred, _lang_score and _lang_rejected added; rows pass through whole, without a join."""
+    kind = StructType([*docs.schema.fields, StructField("_lang_pred", StringType()), StructField("_lang_score", DoubleType()), StructField("_lang_rejected", BooleanType())])
+    return map_arrow(docs, lambda it: _predict_batches(it, model, True), kind)
+
+
 def fold(doc_id) -> object:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4))
 

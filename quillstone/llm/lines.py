@@ -70,7 +70,7 @@ def _kept_text(text: Column, cut: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """docs with the repeated lines taken out of text, and cut (the line ranges removed, null if none).
+    """docs with the repeated lines taken out of text, and _removed_lines (the line ranges removed, null if none).
 
     Null texts stay null; texts of fewer than three lines stay as they are; a text whose lines all
     go becomes empty. Rows that repeat a doc_id count as one document with one text (they repeat
@@ -78,19 +78,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cut = covered_ranges(repeated_windows(units)).select(F.col("doc_id").alias("cut_id"), F.col("cut").alias("cut_lines"))
-    joined = docs.join(cut, docs["doc_id"].cast("long").eqNullSafe(F.col("cut_id")), "left")
-    new = F.when(F.col("cut_lines").isNull(), docs["text"]).otherwise(_kept_text(docs["text"], F.col("cut_lines")))
-    return joined.select(*[new.alias(c) if c.lower() == "text" else docs[c] for c in docs.columns], F.col("cut_lines").alias("removed_lines"))
+    joined = docs.join(cut, docs["doc_id"].cast("long").eqNullSafe(cut["cut_id"]), "left")
+    new = F.when(cut["cut_lines"].isNull(), docs["text"]).otherwise(_kept_text(docs["text"], cut["cut_lines"]))
+    return joined.select(*[new.alias(c) if c.lower() == "text" else docs[c] for c in docs.columns], cut["cut_lines"].alias("_removed_lines"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
-    removed = F.coalesce(F.aggregate("removed_lines", F.lit(0), lambda n, x: n + x["e"] - x["s"]), F.lit(0))
+    removed = F.coalesce(F.aggregate("_removed_lines", F.lit(0), lambda n, x: n + x["e"] - x["s"]), F.lit(0))
     return dedup_lines(docs).select(
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long").alias("n_lines"),
         removed.cast("long").alias("n_removed"),
-        F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_ranges"),
+        F.coalesce(F.size("_removed_lines"), F.lit(0)).cast("long").alias("n_ranges"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
 

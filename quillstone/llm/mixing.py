@@ -183,9 +183,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, seed=SEED) -> Da
     """The rows of docs as often as the plan takes them. Rows that share a doc_id are repeated
     alike, as often as the most taken of them."""
     plan = mix_plan(docs, weights, share, cap, seed).groupBy(F.col("doc_id").alias("plan_id")).agg(F.max("copies").alias("plan_copies"))
-    copies = F.col("plan_copies").cast("int")
-    taken = docs.join(plan.filter("plan_copies > 0"), docs["doc_id"].eqNullSafe(F.col("plan_id")))
-    return taken.withColumn("plan_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*[docs[c] for c in docs.columns])
+    plan = plan.filter("plan_copies > 0")
+    taken = docs.join(plan, docs["doc_id"].eqNullSafe(plan["plan_id"]))
+    copies = F.array_repeat(F.lit(0), plan["plan_copies"].cast("int"))
+    return taken.select(*[docs[c] for c in docs.columns], F.explode(copies).alias("_mix_copy")).drop("_mix_copy")
 
 
 def op1_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,12 @@ import pyarrow as pa
 SLICE_BYTES = 12 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, fill: bool = True) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in order, cut so that no slice holds more than limit bytes of text
-    unless it is one row. Null texts become empty."""
+    unless it is one row. With fill, null texts become empty."""
     for batch in batches:
         text = batch.column(column)
-        if text.null_count:
+        if fill and text.null_count:
             at = batch.schema.get_field_index(column)
             text = text.fill_null("")
             batch = pa.RecordBatch.from_arrays([text if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
