@@ -14,7 +14,7 @@ from quillstone.llm.common import materialize
 
 
 def _by_id(docs: DataFrame, decided: DataFrame, how: str = "left_semi") -> DataFrame:
-    return docs.join(decided.select(F.col("doc_id").alias("decided_id")).distinct(), docs["doc_id"].eqNullSafe(F.col("decided_id")), how)
+    return docs.join(decided.select(F.col("doc_id").alias("decided_id")).distinct().hint("merge"), docs["doc_id"].eqNullSafe(F.col("decided_id")), how)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of what they decode to."""
-    return bpe.decode_documents(bpe.encode_documents(docs)).select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs).select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [

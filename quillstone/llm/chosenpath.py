@@ -358,7 +358,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, recall: floa
     classes = components(found)
     members = classes.select(F.col("u").alias("rep"), F.col("v").alias("class")).unionByName(classes.select(F.col("v").alias("rep"), F.col("v").alias("class")).distinct())
     members = materialize(members, "near-classes")
-    texts = rows.join(members.withColumnRenamed("rep", "doc"), F.col("doc_id") == F.col("doc")).select(F.col("doc").alias("rep"), "class", "text")
+    # A merge join at any size: the plan, and what it shuffles, must not depend on how few members there are.
+    texts = rows.join(members.withColumnRenamed("rep", "doc").hint("merge"), F.col("doc_id") == F.col("doc")).select(F.col("doc").alias("rep"), "class", "text")
     texts = _deal(texts, "class", _large(members, "class", CLASS_BLOCK))
     exact = map_arrow(texts.repartition(partitions(spark), "class", "block").sortWithinPartitions("class", "block", "rep"), lambda it: _exact_links(it, k, percent), "u long, v long")
     linked = components(exact)

@@ -184,7 +184,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, seed=SEED) -> Da
     alike, as often as the most taken of them."""
     plan = mix_plan(docs, weights, share, cap, seed).groupBy(F.col("doc_id").alias("plan_id")).agg(F.max("copies").alias("plan_copies"))
     plan = plan.filter("plan_copies > 0")
-    taken = docs.join(plan, docs["doc_id"].eqNullSafe(plan["plan_id"]))
+    taken = docs.join(plan.hint("merge"), docs["doc_id"].eqNullSafe(plan["plan_id"]))
     copies = F.array_repeat(F.lit(0), plan["plan_copies"].cast("int"))
     return taken.select(*[docs[c] for c in docs.columns], F.explode(copies).alias("_mix_copy")).drop("_mix_copy")
 

@@ -368,7 +368,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         "doc", (F.shiftright("place", 14) - F.shiftright("place", 7).bitwiseAND(F.lit(127))).alias("s"), (F.shiftright("place", 14) - F.col("place").bitwiseAND(F.lit(127)) + LENGTH).alias("e")
     )
     wanted = sorted_out.filter("NOT repeated").groupBy("doc").agg(F.collect_list(F.struct("gram", "place")).alias("wanted"))
-    cut = map_arrow(docs.join(wanted, docs["doc_id"] == wanted["doc"]).select("doc_id", "text", "wanted"), _cut_pieces, "gram long, doc long, place long, bytes binary")
+    cut = map_arrow(docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["doc"]).select("doc_id", "text", "wanted"), _cut_pieces, "gram long, doc long, place long, bytes binary")
     cut = materialize(cut, "suffix-cut")
     keyed = _by_key(cut).select("key", "doc", "place", "bytes", "from", "to")
     dealt = keyed.repartition(partitions(spark), "key").sortWithinPartitions("key")
@@ -388,7 +388,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     units = ids.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else ids
     found = materialize(repeated_ranges(units), "suffix-ranges")
     per = found.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-    joined = units.join(per, units["doc_id"] == per["doc"], "left").select("doc_id", "text", F.coalesce("ranges", F.array().cast("array<struct<s:long,e:long>>")).alias("ranges"))
+    joined = units.join(per.hint("merge"), units["doc_id"] == per["doc"], "left").select("doc_id", "text", F.coalesce("ranges", F.array().cast("array<struct<s:long,e:long>>")).alias("ranges"))
     out = map_arrow(joined, _merge, "doc_id long, n_bytes long, removed array<struct<s:long,e:long>>, kept binary")
     if repeated:
         out = out.join(again, "doc_id").withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("n_rows").cast("int")))).drop("copy", "n_rows")
