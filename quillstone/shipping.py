@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import pandas_udf
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 _SENT = "quillstone.shipped"
@@ -28,6 +29,21 @@ def ship(spark: SparkSession) -> None:
     setattr(context, _SENT, True)
 
 
+def arrow_udf(function, kind):
+    """A column function over an Arrow UDF (iterator of series to iterator of series), made when it is
+    first used, with the package at hand in the workers."""
+    made = []
+
+    def call(*columns):
+        ship(SparkSession.active())
+        if not made:
+            made.append(pandas_udf(function, kind))
+        return made[0](*columns)
+
+    call.__doc__ = function.__doc__
+    return call
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """df.mapInArrow with the package at hand in the workers."""
     ship(df.sparkSession)
