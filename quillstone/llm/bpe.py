@@ -13,7 +13,8 @@ cuts there), equal pieces of a slice are encoded once, and the ids are gathered
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -32,7 +33,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: A space in front of any kind of white space: such texts are cut by the pattern alone.
 UNEVEN = r" (?:\s|\x0b|[\x1c-\x1f]|\x{85}|\p{Z})"
 #: Pieces remembered by a worker, in two generations of this size.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def default_vocabulary() -> str:
@@ -112,7 +113,7 @@ class Vocabulary:
         key = l << 20 | r
         known = self.known.get(key)
         if known is None:
-            if len(self.known) > 1_000_000:
+            if len(self.known) > 300_000:
                 self.known.clear()
             known = self.known[key] = self._parted(l, r, 1 << 40)
         return known
@@ -174,7 +175,7 @@ class Vocabulary:
 class SliceEncoder:
     """Encodes string arrays; equal pieces once."""
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list], encode_text: Callable[[str], list[int]], specials: list[str]):
+    def __init__(self, encode_pieces: Callable[[list[str]], Iterable[bytes]], encode_text: Callable[[str], list[int]], specials: list[str]):
         self.encode_pieces, self.encode_text = encode_pieces, encode_text
         self.special = "|".join(regex.escape(s) for s in specials)
         self.young: dict[str, bytes] = {}
@@ -193,8 +194,7 @@ class SliceEncoder:
                 else:
                     out[i] = young[pieces[i]] = found
         if missing:
-            for i, ids in zip(missing, self.encode_pieces([pieces[i] for i in missing])):
-                b = np.array(ids, dtype="<u4").tobytes()
+            for i, b in zip(missing, self.encode_pieces([pieces[i] for i in missing])):
                 out[i] = b
                 if len(pieces[i]) <= 64:
                     young[pieces[i]] = b
@@ -236,18 +236,24 @@ def _loaded(path: str) -> tuple[Vocabulary, SliceEncoder]:
     """One per worker process."""
     if path not in _LOADED:
         v = Vocabulary(path)
-        _LOADED[path] = v, SliceEncoder(lambda pieces: [v.encode_piece(p) for p in pieces], v.encode, list(v.specials))
+        _LOADED[path] = v, SliceEncoder(lambda pieces: (array("I", v.encode_piece(p)).tobytes() for p in pieces), v.encode, list(v.specials))
     return _LOADED[path]
 
 
-def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode_batches(batches: Iterator[pa.RecordBatch], path: str, back: bool) -> Iterator[pa.RecordBatch]:
+    """doc_id, n_tokens, ids; with back also the text decoded from these ids."""
     vocabulary, encoder = _loaded(path)
     for part in slices(batches):
         ids, ends = encoder.encode(part.column("text"))
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(np.diff(np.concatenate([[0], ends]))), blobs(ids.view(np.uint8), ends * 4, pa.binary())],
-            ["doc_id", "n_tokens", "ids"],
-        )
+        cols = [part.column("doc_id"), pa.array(np.diff(np.concatenate([[0], ends]))), blobs(ids.view(np.uint8), ends * 4, pa.binary())]
+        if not back:
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids"])
+            continue
+        for at in range(0, part.num_rows, 256):  # decoding looks up every byte: few texts at once
+            own = ends[at : at + 256]
+            before = int(ends[at - 1]) if at else 0
+            text = vocabulary.decode(ids[before : int(own[-1])], own - before)
+            yield pa.RecordBatch.from_arrays([*(c.slice(at, 256) for c in cols), text], ["doc_id", "n_tokens", "ids", "decoded"])
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -269,7 +275,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or default_vocabulary()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, lambda it: _encode_batches(it, path), "doc_id long, n_tokens long, ids binary")
+    return map_arrow(rows, lambda it: _encode_batches(it, path, False), "doc_id long, n_tokens long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -279,8 +285,15 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return map_arrow(rows, lambda it: _decode_batches(it, path), "doc_id long, n_tokens long, ids binary, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """encode_documents and decode_documents in one pass of one worker a task."""
+    path = path or default_vocabulary()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return map_arrow(rows, lambda it: _encode_batches(it, path, True), "doc_id long, n_tokens long, ids binary, decoded string")
+
+
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    return decode_documents(encode_documents(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
 

@@ -180,7 +180,7 @@ def _library(path: str) -> SliceEncoder:
         batch = getattr(t, "encode_batch_fast", t.encode_batch)
         specials = [x.content for x in t.get_added_tokens_decoder().values()]
         _LIBRARY[path] = SliceEncoder(
-            lambda pieces: [e.ids for e in batch(pieces, add_special_tokens=False)], lambda text: t.encode(text, add_special_tokens=False).ids, specials
+            lambda pieces: [np.array(e.ids, dtype="<u4").tobytes() for e in batch(pieces, add_special_tokens=False)], lambda text: t.encode(text, add_special_tokens=False).ids, specials
         )
     return _LIBRARY[path]
 

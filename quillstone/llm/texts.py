@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: UTF-8 bytes of text handled at once (a longer text is a slice of its own).
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 5 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, fill: bool = True) -> Iterator[pa.RecordBatch]:
@@ -45,8 +45,10 @@ def gather(table: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndar
     total = int(counts.sum())
     if not total:
         return table[:0]
-    shift = starts - (np.cumsum(counts) - counts)
-    return table[np.repeat(shift, counts) + np.arange(total)]
+    kind = np.int32 if max(total, len(table)) < 1 << 31 else np.int64
+    at = np.repeat((starts - (np.cumsum(counts) - counts)).astype(kind), counts)
+    at += np.arange(total, dtype=kind)
+    return table[at]
 
 
 def blobs(data: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
