@@ -33,9 +33,9 @@ def forward_fill(df: DataFrame, key: list[str], order: str, value: Column, name:
     return df.withColumn(name, F.last(value, ignorenulls=True).over(over))
 
 
-def out_of_order(df: DataFrame, key: list[str], order: str, rank: str) -> DataFrame:
+def out_of_order(df: DataFrame, key: list[str], order: list[str], rank: str) -> DataFrame:
     """Rows whose rank is below the largest one before them."""
-    over = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn("highest_before", F.max(rank).over(over)).filter(F.col(rank) < F.col("highest_before"))
 
 

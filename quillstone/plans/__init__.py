@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, documents, quotes
+from . import aggregates, documents, quotes, scans
 
-MODULES = (quotes, documents, aggregates)
+MODULES = (quotes, documents, aggregates, scans)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 for module in MODULES:
