@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, documents, quotes, scalars, scans, streams
+from . import aggregates, conformance, documents, quotes, scalars, scans, streams
 
-MODULES = (quotes, documents, aggregates, scans, scalars, streams)
+MODULES = (quotes, documents, aggregates, scans, scalars, streams, conformance)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 for module in MODULES:

@@ -1,0 +1,271 @@
+"""Gates, templates, version differences, approvals and answer checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import hashing, quoting, templates
+from ..operators import joins
+from ..sources.tables import table
+from .model import SECTIONS_SQL, sections
+from .registry import Registry
+
+query = Registry()
+QUERIES, ORACLE_SQL = query.queries, query.sql
+
+#: Templates that stand for registry statements on the tables.
+TEMPLATES = {1: "the {word} of", 2: "and <the> {word} that", 3: "that it", 4: "un {mot} de"}
+
+
+def template_table(spark: SparkSession) -> DataFrame:
+    rows = [(k, templates.pattern(t), templates.anchor(t)) for k, t in TEMPLATES.items()]
+    return spark.createDataFrame(rows, "template int, pattern string, anchor string")
+
+
+@query("f9_target_tree", "WITH t AS (SELECT c_custkey, c_nationkey, c_mktsegment, lag(c_nationkey) OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS prev FROM customer) SELECT c_custkey, n_nationkey IS NULL AS unknown_code, coalesce(c_nationkey < prev, false) AS out_of_order FROM t LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey < 4")
+def f9(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes that the target does not know, and siblings out of order."""
+    prev = F.lag("c_nationkey").over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
+    known = joins.small(table(spark, sf, "nation").filter("n_regionkey < 4").select("n_nationkey"))
+    c = table(spark, sf, "customer").withColumn("prev", prev).join(known, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return c.select("c_custkey", F.col("n_nationkey").isNull().alias("unknown_code"), F.coalesce(F.col("c_nationkey") < F.col("prev"), F.lit(False)).alias("out_of_order"))
+
+
+@query("f10_profiles", "SELECT p_partkey, list_contains(string_split(p_type, ' '), 'STEEL') AS has_profile FROM part")
+def f10(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", F.array_contains(F.split("p_type", " "), "STEEL").alias("has_profile"))
+
+
+@query("f14_source_kind", "SELECT doc_id, CASE WHEN lang = 'en' AND source IS NULL THEN 'source-missing' WHEN lang <> 'en' AND n_chars > 5000 THEN 'kind-mismatch' ELSE 'consistent' END AS state FROM documents")
+def f14(spark: SparkSession, sf: str) -> DataFrame:
+    en = F.col("lang") == "en"
+    return table(spark, sf, "documents").select("doc_id", F.when(en & F.col("source").isNull(), "source-missing").when(~en & (F.col("n_chars") > 5000), "kind-mismatch").otherwise("consistent").alias("state"))
+
+
+@query("f17_page_alignment", f"WITH {SECTIONS_SQL}, s AS (SELECT doc_id, max(pos) + 1 AS n FROM sections GROUP BY 1) SELECT d.doc_id, s.n = length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS aligned FROM documents d JOIN s USING (doc_id)")
+def f17(spark: SparkSession, sf: str) -> DataFrame:
+    s = sections(spark, sf).groupBy("doc_id").agg((F.max("pos") + 1).alias("n"))
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    return table(spark, sf, "documents").join(s, "doc_id").select("doc_id", (F.col("n") == breaks).alias("aligned"))
+
+
+@query("f18_submission_gate", "SELECT doc_id, array_to_string(list_filter([CASE WHEN text IS NULL OR text = '' THEN 'empty' END, CASE WHEN n_chars <> length(text) THEN 'count' END, CASE WHEN lang NOT IN ('en', 'fr') THEN 'language' END, CASE WHEN contains(text, '<') THEN 'markup' END], lambda x: x IS NOT NULL), ',') AS issues FROM documents")
+def f18(spark: SparkSession, sf: str) -> DataFrame:
+    """All gates in one pass; a submission passes if no issue is left."""
+    t = F.col("text")
+    issues = F.array(
+        F.when(t.isNull() | (t == ""), "empty"), F.when(F.col("n_chars") != F.length(t), "count"), F.when(~F.col("lang").isin("en", "fr"), "language"), F.when(F.contains(t, F.lit("<")), "markup")
+    )
+    return table(spark, sf, "documents").select("doc_id", F.array_join(F.array_compact(issues), ",").alias("issues"))
+
+
+@query("f19_source_allow_list", "SELECT doc_id FROM documents WHERE source IN ('src1', 'src2', 'src3') AND NOT starts_with(coalesce(text, ''), 'urn:')")
+def f19(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").filter(F.col("source").isin("src1", "src2", "src3") & ~F.coalesce("text", F.lit("")).startswith("urn:")).select("doc_id")
+
+
+@query("f22_json_shape", "SELECT event_id, len(json_keys(props)) AS n_keys FROM events WHERE json_valid(props)")
+def f22(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").filter(F.try_parse_json("props").isNotNull())
+    return e.select("event_id", F.size(F.json_object_keys("props")).cast("long").alias("n_keys"))
+
+
+def checked_limit(limit: int, least: int = 1, most: int = 50) -> int:
+    """arguments are checked on the driver before anything is read."""
+    if not least <= limit <= most:
+        raise ValueError(f"limit is {least} to {most}")
+    return limit
+
+
+@query("f23_limited_tool", "SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 25")
+def f23(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey").orderBy("p_partkey").limit(checked_limit(25))
+
+
+@query("f25_audited_services", "SELECT event_id, event_type FROM events WHERE event_type IN ('error', 'purchase')")
+def f25(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").filter(F.col("event_type").isin("error", "purchase")).select("event_id", "event_type")
+
+
+@query("p2_template_search")
+def p2(spark: SparkSession, sf: str) -> DataFrame:
+    """Which lines hold which template statement: the literal anchor is tested before the pattern runs."""
+    s = sections(spark, sf)
+    hit = s.join(F.broadcast(template_table(spark)), F.contains(F.lower("body"), "anchor") & F.regexp_like(F.lower("body"), F.col("pattern")))
+    return hit.groupBy("template").agg(F.count_distinct("doc_id").alias("n_documents"), F.count(F.lit(1)).alias("n_lines"))
+
+
+@query("p13_heading_forms")
+def p13(spark: SparkSession, sf: str) -> DataFrame:
+    """Optional parts of template headings expanded on the driver."""
+    rows = [(k, f) for k, t in TEMPLATES.items() for f in templates.forms(t)]
+    return spark.createDataFrame(rows, "template int, form string")
+
+
+@query("p3_resemblance")
+def p3(spark: SparkSession, sf: str) -> DataFrame:
+    """Best resemblance of conversation turns to benchmark openings, over pairs that the bag-of-words bound admits."""
+    words = lambda c: F.slice(F.split(F.lower(c), r"\s+"), 1, 12)
+    b = joins.small(table(spark, sf, "benchmark").select("item_id", words("text").alias("p")), 2000)
+    c = table(spark, sf, "conversations").filter("text IS NOT NULL").select("conv_id", "turn", words("text").alias("w"))
+    shared = F.size(F.array_intersect("p", "w"))
+    near = c.join(b, F.arrays_overlap("p", "w")).withColumn("bound", shared / (F.greatest(F.size("p"), F.size("w")))).filter("bound >= 0.1")
+    scored = near.withColumn("score", F.round(1 - F.levenshtein(F.array_join("p", " "), F.array_join("w", " ")) / F.greatest(F.length(F.array_join("p", " ")), F.length(F.array_join("w", " "))), 6))
+    return scored.groupBy("conv_id", "turn").agg(F.max(F.struct("score", (-F.col("item_id")).alias("i"))).alias("b")).select("conv_id", "turn", (-F.col("b.i")).alias("item_id"), "b.score")
+
+
+@query("j19_version_diff")
+def j19(spark: SparkSession, sf: str) -> DataFrame:
+    """Consecutive versions aligned word by word: counts of kept, inserted and deleted segments."""
+    nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    c = table(spark, sf, "conversations").withColumn("after", nxt).filter("text IS NOT NULL AND after IS NOT NULL")
+    s = c.select("conv_id", "turn", quoting.segments(F.col("text"), F.col("after")).alias("s"))
+    n = lambda k: F.size(F.filter("s", lambda x: x["kind"] == k))
+    return s.select("conv_id", "turn", n("t").alias("kept"), n("i").alias("inserted"), n("d").alias("deleted"))
+
+
+@query("p7_edit_wordings", "WITH e AS (SELECT conv_id, turn, text AS old, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS new FROM conversations) SELECT conv_id, turn, substr(sha256(encode(old) || '\\x00'::BLOB || encode(new)), 1, 12) AS edit, count(*) OVER (PARTITION BY old, new) = 1 AS unique_wording FROM e WHERE old IS NOT NULL AND new IS NOT NULL")
+def p7(spark: SparkSession, sf: str) -> DataFrame:
+    """Edits with their ids, and whether their wording is unique."""
+    nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    c = table(spark, sf, "conversations").withColumn("new", nxt).filter("text IS NOT NULL AND new IS NOT NULL")
+    e = c.select("conv_id", "turn", hashing.edit_id(F.col("text"), F.col("new")).alias("edit"))
+    return e.withColumn("unique_wording", F.count(F.lit(1)).over(Window.partitionBy("edit")) == 1)
+
+
+@query("p15_repeated_starts", f"WITH {SECTIONS_SQL}, s AS (SELECT doc_id, pos, sum(CASE WHEN body = '' OR length(body) < 20 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS part FROM sections) SELECT doc_id, count(DISTINCT part) AS n_parts FROM s GROUP BY 1")
+def p15(spark: SparkSession, sf: str) -> DataFrame:
+    """Several documents in one: a new part starts wherever a first heading repeats (short lines here)."""
+    start = (F.length("body") < 20).cast("int")
+    over = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return sections(spark, sf).withColumn("part", F.sum(start).over(over)).groupBy("doc_id").agg(F.count_distinct("part").alias("n_parts"))
+
+
+@query("p18_conservation", f"WITH {SECTIONS_SQL}, w AS (SELECT doc_id, unnest(string_split(body, ' ')) AS w FROM sections), s AS (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM documents WHERE text IS NOT NULL), b AS (SELECT doc_id, w, count(*) AS n FROM w GROUP BY 1, 2), a AS (SELECT doc_id, w, count(*) AS n FROM s GROUP BY 1, 2) SELECT count(*) AS n_source, count(*) FILTER (a.n = b.n) AS n_conserved FROM a LEFT JOIN b USING (doc_id, w)")
+def p18(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source token is used exactly as often as it occurs: a multiset comparison by counts."""
+    used = sections(spark, sf).select("doc_id", F.explode(F.split("body", " ")).alias("w")).groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("used"))
+    src = table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    there = src.groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
+    return there.join(used, ["doc_id", "w"], "left").agg(F.count(F.lit(1)).alias("n_source"), F.count_if(F.col("n") == F.col("used")).alias("n_conserved"))
+
+
+@query("p27_forbidden_keys", "SELECT event_id, contains(lower(props), '\"email\"') OR contains(lower(props), '\"password\"') AS refused FROM events")
+def p27(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select("event_id", F.lower("props").rlike('"(email|password)"').alias("refused"))
+
+
+@query("p28_provenance_record", "SELECT o_orderkey, '{\"target\":\"Order/' || o_orderkey || '\",\"agent\":\"Customer/' || o_custkey || '\",\"status\":\"' || o_orderstatus || '\"}' AS record FROM orders")
+def p28(spark: SparkSession, sf: str) -> DataFrame:
+    r = F.struct(F.concat(F.lit("Order/"), "o_orderkey").alias("target"), F.concat(F.lit("Customer/"), "o_custkey").alias("agent"), F.col("o_orderstatus").alias("status"))
+    return table(spark, sf, "orders").select("o_orderkey", F.to_json(r).alias("record"))
+
+
+@query("x10_grid", "SELECT p_partkey, CAST(dense_rank() OVER (PARTITION BY p_brand ORDER BY round(p_retailprice / 0.5)) AS BIGINT) AS line FROM part")
+def x10(spark: SparkSession, sf: str) -> DataFrame:
+    """Grid lines of a drawing from edges within a tolerance (brands stand for drawings)."""
+    return table(spark, sf, "part").select("p_partkey", F.dense_rank().over(Window.partitionBy("p_brand").orderBy(F.round(F.col("p_retailprice") / 0.5))).cast("long").alias("line"))
+
+
+@query("w13_row_spans", "SELECT l_orderkey, l_linenumber, l_partkey, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS carried FROM lineitem")
+def w13(spark: SparkSession, sf: str) -> DataFrame:
+    """What rows carry from the rows above that still reach them (spans of two rows)."""
+    over = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").rowsBetween(-2, -1)
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.sum("l_quantity").over(over).alias("carried"))
+
+
+@query("j12_quote_sections", f"WITH {SECTIONS_SQL}, q AS (SELECT item_id, split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) AS quote FROM benchmark), h AS (SELECT q.item_id, s.doc_id, s.pos, row_number() OVER (PARTITION BY q.item_id ORDER BY s.doc_id, s.pos) AS r FROM sections s JOIN q ON contains(s.body, q.quote)) SELECT item_id, doc_id, pos FROM h WHERE r = 1")
+def j12(spark: SparkSession, sf: str) -> DataFrame:
+    """The first section, in document order, that holds a quote."""
+    q = joins.small(table(spark, sf, "benchmark").select("item_id", F.substring_index("text", " ", 2).alias("quote")), 2000)
+    hit = sections(spark, sf).join(q, F.contains("body", "quote")).select("item_id", F.struct("doc_id", "pos").alias("at"))
+    return hit.groupBy("item_id").agg(F.min("at").alias("at")).select("item_id", "at.doc_id", "at.pos")
+
+
+@query("j21_binding", "SELECT s_suppkey, count(n_nationkey) = 1 AS bound FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")
+def j21(spark: SparkSession, sf: str) -> DataFrame:
+    n = joins.small(table(spark, sf, "nation").select("n_nationkey"))
+    return table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").groupBy("s_suppkey").agg((F.count("n_nationkey") == 1).alias("bound"))
+
+
+@query("j23_findings_by_code", "SELECT n_name, count(*) AS n_findings FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 GROUP BY 1")
+def j23(spark: SparkSession, sf: str) -> DataFrame:
+    f = table(spark, sf, "customer").filter("c_acctbal < 0").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_findings"))
+    return f.join(joins.small(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "n_findings")
+
+
+@query("j28_approval_facts", "SELECT o_orderkey, CASE WHEN c_custkey IS NULL THEN 'document' WHEN c_mktsegment <> 'BUILDING' THEN 'environment' WHEN o_totalprice < 1000 THEN 'mapping' END AS first_mismatch FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def j28(spark: SparkSession, sf: str) -> DataFrame:
+    """A statement against the facts of a run: the first mismatch is named."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    o = table(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return o.select("o_orderkey", F.when(F.col("c_custkey").isNull(), "document").when(F.col("c_mktsegment") != "BUILDING", "environment").when(F.col("o_totalprice") < 1000, "mapping").alias("first_mismatch"))
+
+
+@query("j29_invocation_events", "SELECT event_id, event_type FROM events WHERE user_id = 5")
+def j29(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").filter("user_id = 5").select("event_id", "event_type")
+
+
+@query("j30_placement", "WITH s AS (SELECT c_nationkey AS code, count(*) AS n, min(c_custkey) AS at FROM customer WHERE c_acctbal > 9800 GROUP BY 1) SELECT n_nationkey AS code, CASE WHEN s.n IS NULL THEN 'missing' WHEN s.n > 1 THEN 'repeated' ELSE 'placed' END AS state FROM nation LEFT JOIN s ON s.code = n_nationkey")
+def j30(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule has exactly one section."""
+    s = table(spark, sf, "customer").filter("c_acctbal > 9800").withColumnRenamed("c_nationkey", "n_nationkey")
+    m = joins.matched(table(spark, sf, "nation").select("n_nationkey"), s, "n_nationkey", F.lit(True))
+    return m.select(F.col("n_nationkey").alias("code"), F.when(F.col("state") == "mapped", "placed").when(F.col("state") == "ambiguous", "repeated").otherwise("missing").alias("state"))
+
+
+@query("u4_set_equality", "WITH a AS (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS f FROM lineitem GROUP BY 1) SELECT l_orderkey, f = ['N'] AS equal FROM a")
+def u4(spark: SparkSession, sf: str) -> DataFrame:
+    f = F.array_sort(F.collect_set("l_returnflag"))
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg((f == F.array(F.lit("N"))).alias("equal"))
+
+
+@query("t9_answer_postcheck", "WITH c AS (SELECT conv_id, count(*) FILTER (role = 'assistant') AS n_blocks, count(*) FILTER (role = 'assistant' AND length(text) > 100) AS n_verified FROM conversations GROUP BY 1) SELECT conv_id, n_blocks, n_verified, CASE WHEN n_blocks = 0 THEN 'empty' WHEN n_blocks = n_verified THEN 'verified' ELSE 'flagged' END AS outcome FROM c")
+def t9(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of an answer, verified or flagged."""
+    block = F.col("role") == "assistant"
+    good = block & (F.length("text") > 100)
+    g = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count_if(block).alias("n_blocks"), F.count_if(good).alias("n_verified"))
+    return g.withColumn("outcome", F.when(F.col("n_blocks") == 0, "empty").when(F.col("n_blocks") == F.col("n_verified"), "verified").otherwise("flagged"))
+
+
+@query("t10_approval_decision", "WITH h AS (SELECT conv_id, max(turn) AS head, count(*) AS n, bool_or(role NOT IN ('user', 'assistant')) AS bad FROM conversations GROUP BY 1) SELECT conv_id, CASE WHEN bad THEN 'malformed' WHEN head + 1 <> n THEN 'gap' WHEN head = 0 THEN 'first' ELSE 'next' END AS decision FROM h")
+def t10(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a statement may follow the head of its sequence."""
+    g = table(spark, sf, "conversations").groupBy("conv_id").agg(F.max("turn").alias("head"), F.count(F.lit(1)).alias("n"), F.bool_or(~F.col("role").isin("user", "assistant")).alias("bad"))
+    return g.select("conv_id", F.when(F.col("bad"), "malformed").when(F.col("head") + 1 != F.col("n"), "gap").when(F.col("head") == 0, "first").otherwise("next").alias("decision"))
+
+
+@query("t14_turn_audit", "SELECT conv_id, count(*) AS n_calls, count(DISTINCT role) AS n_roles, CAST(sum(length(text)) AS BIGINT) AS n_characters FROM conversations GROUP BY 1")
+def t14(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_calls"), F.count_distinct("role").alias("n_roles"), F.sum(F.length("text")).cast("long").alias("n_characters"))
+
+
+@query("t5_run_pipeline", f"WITH {SECTIONS_SQL}, g AS (SELECT d.doc_id, d.source FROM documents d WHERE d.lang = 'en' AND d.n_chars BETWEEN 100 AND 5000), s AS (SELECT g.source, s.doc_id, count(*) AS n, bool_and(length(s.body) < 2000) AS fits FROM sections s JOIN g USING (doc_id) GROUP BY 1, 2) SELECT source, count(*) AS n_runs, count(*) FILTER (fits) AS n_persisted, CAST(sum(n) AS BIGINT) AS n_sections FROM s GROUP BY source")
+def t5(spark: SparkSession, sf: str) -> DataFrame:
+    """Gate, flatten, check, and one ledger row a source."""
+    g = table(spark, sf, "documents").filter("lang = 'en' AND n_chars BETWEEN 100 AND 5000").select("doc_id", "source")
+    s = sections(spark, sf).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.length("body") < 2000).alias("fits")).join(g, "doc_id")
+    return s.groupBy("source").agg(F.count(F.lit(1)).alias("n_runs"), F.count_if("fits").alias("n_persisted"), F.sum("n").alias("n_sections"))
+
+
+@query("t7_implementation_report", "WITH e AS (SELECT item_id, split_part(text, ' ', 1) AS old, split_part(text, ' ', 3) AS new FROM benchmark), l AS (SELECT text FROM documents WHERE text IS NOT NULL) SELECT e.item_id, count(*) FILTER (contains(l.text, e.new) AND NOT contains(l.text, e.old)) AS implemented, count(*) FILTER (contains(l.text, e.old) AND NOT contains(l.text, e.new)) AS pending, count(*) FILTER (contains(l.text, e.old) AND contains(l.text, e.new)) AS both FROM e LEFT JOIN l ON contains(l.text, e.old) OR contains(l.text, e.new) GROUP BY 1")
+def t7(spark: SparkSession, sf: str) -> DataFrame:
+    """Status of each edit over all labels; edits are a question list, broadcast if it is small."""
+    e = table(spark, sf, "benchmark").select("item_id", F.split_part("text", F.lit(" "), F.lit(1)).alias("old"), F.split_part("text", F.lit(" "), F.lit(3)).alias("new"))
+    l = table(spark, sf, "documents").filter("text IS NOT NULL").select("text")
+    old, new = F.contains("text", "old"), F.contains("text", "new")
+    hit = l.join(joins.small(e, 2000), old | new).groupBy("item_id").agg(F.count_if(new & ~old).alias("implemented"), F.count_if(old & ~new).alias("pending"), F.count_if(old & new).alias("both"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return e.select("item_id").join(hit, "item_id", "left").select("item_id", zero("implemented"), zero("pending"), zero("both"))
+
+
+@query("t6_template_report")
+def t6(spark: SparkSession, sf: str) -> DataFrame:
+    """Findings a template statement: present, or the number of documents without it."""
+    found = p2(spark, sf)
+    every = template_table(spark).select("template")
+    total = table(spark, sf, "documents").filter("text IS NOT NULL").agg(F.count(F.lit(1)).alias("n"))
+    return every.join(found, "template", "left").crossJoin(F.broadcast(total)).select("template", F.coalesce("n_documents", F.lit(0)).alias("present"), (F.col("n") - F.coalesce("n_documents", F.lit(0))).alias("absent"))

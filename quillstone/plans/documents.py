@@ -59,10 +59,10 @@ def src6(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("event_id", v.isNotNull().alias("readable"), F.try_variant_get(v, "$.page", "string").alias("page"))
 
 
-@query("src15_json_lines", "SELECT doc_id, lang, n_chars FROM documents WHERE doc_id < 50")
+@query("src15_json_lines", "SELECT doc_id, lang, n_chars FROM documents")
 def src15(spark: SparkSession, sf: str) -> DataFrame:
     """Records written to JSON lines and scanned back with a declared schema."""
-    rows = table(spark, sf, "documents").filter("doc_id < 50").select(F.to_json(F.struct("doc_id", "lang", "n_chars")).alias("line"))
+    rows = table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "lang", "n_chars")).alias("line"))
     return rows.select(F.from_json("line", "doc_id long, lang string, n_chars long", {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
@@ -253,12 +253,12 @@ def _all():
 
 @query(
     "t2_get_section",
-    f"WITH {SECTIONS_SQL} SELECT s.doc_id, s.pos, s.body, sha256(s.body) AS body_sha256, sha256(trim(regexp_replace(s.body, '[ \t\r\n\f\v]+', ' ', 'g'))) AS normal_sha256 FROM sections s JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) l USING (doc_id) WHERE s.doc_id < 100 AND s.pos = 1",
+    f"WITH {SECTIONS_SQL} SELECT s.doc_id, s.pos, s.body, sha256(s.body) AS body_sha256, sha256(trim(regexp_replace(s.body, '[ \t\r\n\f\v]+', ' ', 'g'))) AS normal_sha256 FROM sections s JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) l USING (doc_id) WHERE s.pos = 1",
 )
 def t2(spark: SparkSession, sf: str) -> DataFrame:
     """One section of each entitled document with the hashes of its stored and of its normalised text."""
     entitled = table(spark, sf, "labels").filter("quality = 1").select("doc_id").distinct()
-    s = sections(spark, sf).filter("doc_id < 100 AND pos = 1").join(entitled, "doc_id", "left_semi")
+    s = sections(spark, sf).filter("pos = 1").join(entitled, "doc_id", "left_semi")
     return s.select("doc_id", "pos", "body", hashing.sha256_text(F.col("body")).alias("body_sha256"), hashing.sha256_text(text.collapse(F.col("body"))).alias("normal_sha256"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import small
 from ..sources.tables import table
 
 
@@ -17,12 +18,12 @@ def verify_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark passage is looked up in every document (white space normalised): the first
     document that holds it, its code-point span there, and the hashes of both texts.
 
-    The quotes are the broadcast side: a fixed question list, whose size Spark checks against its
-    own broadcast threshold; the documents are scanned once and never shuffled.
+    The quotes are a question list: broadcast if they are few (counted first), so that the documents
+    are scanned once and never shuffled; more are the engine's choice.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", spaced("text").alias("body"))
     quotes = table(spark, sf_dir, "benchmark").select("item_id", spaced("text").alias("quote"))
-    hit = docs.join(F.broadcast(quotes), F.contains("body", "quote")).select(
+    hit = docs.join(small(quotes), F.contains("body", "quote")).select(
         "item_id", F.struct("doc_id", (F.instr("body", F.col("quote")) - 1).alias("start"), F.sha2("body", 256).alias("sha")).alias("at")
     )
     first = hit.groupBy("item_id").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("n_documents"))

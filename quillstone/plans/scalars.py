@@ -111,10 +111,10 @@ def x1(spark: SparkSession, sf: str) -> DataFrame:
     return read.groupBy(F.coalesce("r.error", F.lit("ok")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.min("r.offset").alias("least_offset"))
 
 
-@query("x1_lines_as_xhtml", f"WITH {SECTIONS_SQL} SELECT doc_id, pos, sha256(chr(10) || body || chr(10)) AS sha FROM sections WHERE NOT regexp_matches(body, '[<>&]') AND doc_id < 200")
+@query("x1_lines_as_xhtml", f"WITH {SECTIONS_SQL} SELECT doc_id, pos, sha256(chr(10) || body || chr(10)) AS sha FROM sections WHERE NOT regexp_matches(body, '[<>&]')")
 def x1b(spark: SparkSession, sf: str) -> DataFrame:
     """Sections written as narrative and read back give their text."""
-    s = sections(spark, sf).filter("doc_id < 200").filter(~F.col("body").rlike("[<>&]"))
+    s = sections(spark, sf).filter(~F.col("body").rlike("[<>&]"))
     div = F.concat(F.lit('<div xmlns="http://www.w3.org/1999/xhtml">'), F.col("body"), F.lit("</div>"))
     return s.select("doc_id", "pos", F.sha2(xhtml.xhtml_to_text(div)["text"], 256).alias("sha"))
 
@@ -148,7 +148,7 @@ def x4(spark: SparkSession, sf: str) -> DataFrame:
 @query("q1_locate_quote")
 def q1(spark: SparkSession, sf: str) -> DataFrame:
     """Quotes (the first five words of a line) located by the edge rule; the plain search runs before the UDF."""
-    s = sections(spark, sf).filter("doc_id < 300").withColumn("quote", F.substring_index("body", " ", 5)).filter(F.length("quote") > 3)
+    s = sections(spark, sf).withColumn("quote", F.substring_index("body", " ", 5)).filter(F.length("quote") > 3)
     return s.filter(F.contains("body", "quote")).select("doc_id", "pos", quoting.locate(F.col("body"), F.col("quote")).alias("at")).select("doc_id", "pos", "at.start", "at.end")
 
 
@@ -248,9 +248,10 @@ def p24(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderpriority").startswith("1") & F.col("o_orderdate").cast("string").rlike("^199[0-9]-0[1-6]")).alias("recognised"))
 
 
-@query("p4_bag_bound", "WITH w AS (SELECT item_id, list_distinct(string_split(text, ' ')) AS w FROM benchmark) SELECT a.item_id, max(len(list_intersect(a.w, b.w))) AS best_shared FROM w a JOIN w b ON a.item_id <> b.item_id AND b.item_id < 10 GROUP BY 1")
+@query("p4_bag_bound", "WITH w AS (SELECT DISTINCT item_id, unnest(string_split(text, ' ')) AS w FROM benchmark), p AS (SELECT a.item_id, b.item_id AS other, count(*) AS n FROM w a JOIN w b ON a.w = b.w AND a.item_id <> b.item_id GROUP BY 1, 2) SELECT item_id, max(n) AS best_shared FROM p GROUP BY 1")
 def p4(spark: SparkSession, sf: str) -> DataFrame:
-    """Upper bound of a resemblance by shared words: statements against a checked-small template list."""
-    w = table(spark, sf, "benchmark").select("item_id", F.array_distinct(F.split("text", " ")).alias("w"))
-    t = w.filter("item_id < 10").select(F.col("item_id").alias("t"), F.col("w").alias("tw"))
-    return w.join(F.broadcast(t), F.col("item_id") != F.col("t")).groupBy("item_id").agg(F.max(F.size(F.array_intersect("w", "tw"))).cast("long").alias("best_shared"))
+    """Upper bound of a resemblance by shared words: an equi-join on words."""
+    w = table(spark, sf, "benchmark").select("item_id", F.explode(F.split("text", " ")).alias("w")).distinct()
+    other = w.select(F.col("item_id").alias("other"), F.col("w").alias("ow"))
+    pairs = w.join(other, (F.col("w") == F.col("ow")) & (F.col("item_id") != F.col("other"))).groupBy("item_id", "other").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy("item_id").agg(F.max("n").alias("best_shared"))
