@@ -78,7 +78,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cut = covered_ranges(repeated_windows(units)).select(F.col("doc_id").alias("cut_id"), F.col("cut").alias("cut_lines"))
-    joined = docs.join(cut, docs["doc_id"].cast("long").eqNullSafe(cut["cut_id"]), "left")
+    # A merge join at any size: the plan, and what it shuffles, must not depend on how few ranges there are.
+    joined = docs.join(cut.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(cut["cut_id"]), "left")
     new = F.when(cut["cut_lines"].isNull(), docs["text"]).otherwise(_kept_text(docs["text"], cut["cut_lines"]))
     return joined.select(*[new.alias(c) if c.lower() == "text" else docs[c] for c in docs.columns], cut["cut_lines"].alias("_removed_lines"))
 
