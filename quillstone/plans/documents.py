@@ -147,11 +147,11 @@ def f8(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("p_partkey", F.col("p_brand").alias("number"), F.col("p_brand").rlike("^Brand#[0-9]+$").alias("well_formed"), (same > 1).alias("repeated"), F.regexp_extract("p_brand", "[0-9]+", 0).alias("digits"))
 
 
-@query("f12_closed_elements", "SELECT event_id, list_sort(list_filter(json_keys(props), lambda k: k NOT IN ('page', 'ref'))) AS refused_keys FROM events WHERE json_valid(props)")
+@query("f12_closed_elements", "SELECT event_id, array_to_string(list_sort(list_filter(json_keys(props), lambda k: k NOT IN ('page', 'ref'))), ',') AS refused_keys FROM events WHERE json_valid(props)")
 def f12(spark: SparkSession, sf: str) -> DataFrame:
     """Keys outside the allow-list."""
     e = table(spark, sf, "events").filter(F.try_parse_json("props").isNotNull())
-    return e.select("event_id", F.array_sort(F.array_except(F.json_object_keys("props"), F.array(F.lit("page"), F.lit("ref")))).alias("refused_keys"))
+    return e.select("event_id", F.array_join(F.array_sort(F.array_except(F.json_object_keys("props"), F.array(F.lit("page"), F.lit("ref")))), ",").alias("refused_keys"))
 
 
 @query(

@@ -210,9 +210,9 @@ def p10(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "P", None).otherwise(late).cast("long").alias("days_late"))
 
 
-@query("p11_numbers", "SELECT p_partkey, regexp_extract_all(p_brand || '/' || p_size, '[0-9]+') AS numbers FROM part")
+@query("p11_numbers", "SELECT p_partkey, array_to_string(regexp_extract_all(p_brand || '/' || p_size, '[0-9]+'), ',') AS numbers FROM part")
 def p11(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select("p_partkey", F.regexp_extract_all(F.concat_ws("/", "p_brand", "p_size"), F.lit("[0-9]+"), F.lit(0)).alias("numbers"))
+    return table(spark, sf, "part").select("p_partkey", F.array_join(F.regexp_extract_all(F.concat_ws("/", "p_brand", "p_size"), F.lit("[0-9]+"), F.lit(0)), ",").alias("numbers"))
 
 
 @query("p12_causes", "SELECT left(regexp_replace(event_type || ' failed at ' || event_id, '[0-9]+', 'N', 'g'), 80) AS cause, count(*) AS n FROM events GROUP BY 1")
