@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from ..shipping import map_arrow
 from .common import materialize, partitions, table
 
-#: The documented bound of the fit: rows of the sample, and parts.
-SAMPLE, MOST_PARTS, LEAST_PARTS = 4000, 64, 8
-ROWS_PER_PART = 2500
+#: The documented bound of the fit: rows of the sample, and parts (a power of two). The number of parts
+#: does not depend on the table: larger parts are dealt out in more blocks, so that the rows which
+#: queries get from their parts grow as the queries do.
+SAMPLE, PARTS = 4000, 16
 NEIGHBOURS, TARGET = 12, 0.97
 #: Rows of a part, and queries of a part, that one task compares.
 BLOCK, QUERY_BLOCK = 20_000, 20_000
@@ -204,7 +205,7 @@ def _rank(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         yield out
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample: int = SAMPLE, target: float = TARGET) -> DataFrame:
+def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample: int = SAMPLE, target: float = TARGET, parts: int = PARTS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row, by inner product.
 
     vectors has vec_id and embedding; ``queries`` says which of its rows are queries. A row that is
@@ -222,16 +223,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample: int = SAMP
     width = len(fitted[0][0])
     x = np.array([r[0] for r in fitted if len(r[0]) == width], dtype=np.float64)
     clean = clean.filter(F.size("v") == width)
-    n = clean.count()
-    parts = LEAST_PARTS
-    while parts < MOST_PARTS and n > parts * ROWS_PER_PART:
-        parts *= 2
     router = fit_router(x, parts, k, target)
     placed = map_arrow(clean.select("vec_id", "v"), lambda it: _route(it, router, 1), "vec_id long, v array<double>, parts array<int>")
     placed = materialize(placed.select("vec_id", F.col("parts")[0].alias("part"), "v"), "ann-index")
     asked = map_arrow(clean.filter("is_query").select("vec_id", "v"), lambda it: _route(it, router, router.probes), "vec_id long, v array<double>, parts array<int>")
     asked = materialize(asked.select("vec_id", "v", F.explode("parts").alias("part")), "ann-queries")
-    # One row a part, at most MOST_PARTS.
+    # One row a part, at most ``parts``.
     sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     loads = {r["part"]: r["n"] for r in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = {p: -(-sizes.get(p, 0) // BLOCK) or 1 for p in {*sizes, *loads}}
