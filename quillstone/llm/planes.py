@@ -177,15 +177,47 @@ def _library(path: str) -> SliceEncoder:
         t = tokenizers.Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        batch = getattr(t, "encode_batch_fast", t.encode_batch)
         specials = [x.content for x in t.get_added_tokens_decoder().values()]
-        _LIBRARY[path] = SliceEncoder(
-            lambda pieces: [np.array(e.ids, dtype="<u4").tobytes() for e in batch(pieces, add_special_tokens=False)], lambda text: t.encode(text, add_special_tokens=False).ids, specials
-        )
+        # A byte-level token has one character for each of its bytes.
+        size = np.zeros(t.get_vocab_size(with_added_tokens=True), dtype=np.int64)
+        for token, i in t.get_vocab().items():
+            size[i] = len(token)
+        _LIBRARY[path] = SliceEncoder(lambda pieces: _encode_joined(t, size, pieces), lambda text: t.encode(text, add_special_tokens=False).ids, specials)
     return _LIBRARY[path]
 
 
 _LIBRARY: dict[str, SliceEncoder] = {}
+JOINED = 1 << 16
+
+
+def _encode_joined(t, size: np.ndarray, pieces: list[str]) -> list[bytes]:
+    """Ids of each piece. Pieces that begin with a space and a visible character are encoded as one
+    text, since the pre-tokenizer cuts in front of each of them; where a piece ends follows from the
+    bytes that its tokens stand for. Others are encoded alone."""
+    out: list[bytes] = [b""] * len(pieces)
+    encode = t.encode_batch_fast if hasattr(t, "encode_batch_fast") else t.encode_batch
+    joined, held = [], 0
+
+    def flush():
+        ids = np.array(encode(["".join([pieces[i] for i in joined])], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(pieces[i].encode()) for i in joined])) + 1
+        data, start = ids.tobytes(), 0
+        for i, end in zip(joined, (4 * ends).tolist()):
+            out[i] = data[start:end]
+            start = end
+
+    for i, p in enumerate(pieces):
+        if len(p) > 1 and p[0] == " " and not p[1].isspace():
+            joined.append(i)
+            held += len(p)
+            if held > JOINED:
+                flush()
+                joined, held = [], 0
+        elif p:
+            out[i] = np.array(t.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    if joined:
+        flush()
+    return out
 
 
 def _write_shard(batches: Iterator[pa.RecordBatch], out: str, path: str, end_id: int | None, mode: str) -> Iterator[pa.RecordBatch]:
