@@ -58,6 +58,25 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def units(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(docs, the column that tells its rows apart and orders them): a long, unique, never null.
+
+    That is doc_id where it is so. Otherwise each row gets a number (a new column), in the order of
+    doc_id, nulls first, then of hashes of text; rows equal in both are in no certain order.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    if ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL").isEmpty():
+        return docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id"
+    taken, name = {c.lower() for c in docs.columns}, "_unit"
+    while any(c.startswith(name) for c in taken):
+        name += "_"
+    text = F.col("text").cast("string")
+    keys = {f"{name}0": F.col("doc_id").cast("long"), f"{name}1": F.xxhash64(text), f"{name}2": F.xxhash64(F.lit(7), text), f"{name}3": F.monotonically_increasing_id()}
+    # The last key only deals equal rows over tasks. Ids given after a total sort rise with it.
+    ordered = docs.withColumns(keys).orderBy(F.col(f"{name}0").asc_nulls_first(), *list(keys)[1:]).drop(*keys)
+    return materialize(ordered.withColumn(name, F.monotonically_increasing_id()), "units"), name
+
+
 def word_count(text: Column) -> Column:
     """Number of words as long; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

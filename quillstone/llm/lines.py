@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import forget, materialize, table
+from .common import forget, materialize, table, units
 
 WINDOW = 3
 
@@ -73,15 +73,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with the repeated lines taken out of text, and _removed_lines (the line ranges removed, null if none).
 
     Null texts stay null; texts of fewer than three lines stay as they are; a text whose lines all
-    go becomes empty. Rows that repeat a doc_id count as one document with one text (they repeat
-    nothing among themselves if equal) and lose the same ranges. Other columns pass through.
+    go becomes empty. Every row is a document of its own: rows without a doc_id come before all
+    others, and rows of one doc_id (or of none) are ordered by hashes of their texts. Other columns
+    pass through.
     """
-    units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cut = covered_ranges(repeated_windows(units)).select(F.col("doc_id").alias("cut_id"), F.col("cut").alias("cut_lines"))
+    rows, unit = units(docs)
+    repeats = repeated_windows(rows.select(F.col(unit).alias("doc_id"), "text"))
+    cut = covered_ranges(repeats).select(F.col("doc_id").alias("cut_id"), F.col("cut").alias("cut_lines"))
     # A merge join at any size: the plan, and what it shuffles, must not depend on how few ranges there are.
-    joined = docs.join(cut.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(cut["cut_id"]), "left")
-    new = F.when(cut["cut_lines"].isNull(), docs["text"]).otherwise(_kept_text(docs["text"], cut["cut_lines"]))
-    return joined.select(*[new.alias(c) if c.lower() == "text" else docs[c] for c in docs.columns], cut["cut_lines"].alias("_removed_lines"))
+    joined = rows.join(cut.hint("merge"), rows[unit] == cut["cut_id"], "left")
+    new = F.when(cut["cut_lines"].isNull(), rows["text"]).otherwise(_kept_text(rows["text"], cut["cut_lines"]))
+    return joined.select(*[new.alias(c) if c.lower() == "text" else rows[c] for c in docs.columns], cut["cut_lines"].alias("_removed_lines"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
-from .common import materialize, partitions, table
+from .common import materialize, partitions, table, units
 from .texts import blobs, raw, slices
 
 LENGTH = 100
@@ -38,7 +38,6 @@ WIDTH = REACH + LENGTH  # columns of aligned pieces: from REACH before the ancho
 SEGMENT, PIECES = 4 << 20, 40_000
 #: A gram of more different pieces than this is split by the bytes of CLASSES ranges of windows.
 LARGE, CLASSES = 200_000, 5
-NULL_ID = -(1 << 63)
 
 _RNG = np.random.default_rng(411)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -378,21 +377,18 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, removed array<struct<s, e>>, kept binary: one row per row of docs.
 
-    Texts are UTF-8 bytes; null is empty; texts shorter than LENGTH keep everything. Rows that repeat
-    a doc_id are one document, for which the smallest text stands; each of them returns its result.
-    A null doc_id comes before all others. Only doc_id and text are read.
+    Texts are UTF-8 bytes; null is empty; texts shorter than LENGTH keep everything. Every row is a
+    document of its own: rows without a doc_id come before all others, and rows of one doc_id (or of
+    none) are ordered by hashes of their texts. Only doc_id and text are read.
     """
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    again = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    repeated = not again.filter("n_rows > 1").isEmpty()
-    units = ids.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else ids
-    found = materialize(repeated_ranges(units), "suffix-ranges")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows, unit = units(ids)
+    rows = rows.select(F.col("doc_id").alias("id"), F.col(unit).alias("doc_id"), "text")
+    found = materialize(repeated_ranges(rows.select("doc_id", "text")), "suffix-ranges")
     per = found.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-    joined = units.join(per.hint("merge"), units["doc_id"] == per["doc"], "left").select("doc_id", "text", F.coalesce("ranges", F.array().cast("array<struct<s:long,e:long>>")).alias("ranges"))
-    out = map_arrow(joined, _merge, "doc_id long, n_bytes long, removed array<struct<s:long,e:long>>, kept binary")
-    if repeated:
-        out = out.join(again, "doc_id").withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("n_rows").cast("int")))).drop("copy", "n_rows")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
+    joined = rows.join(per.hint("merge"), rows["doc_id"] == per["doc"], "left")
+    joined = joined.select(F.col("id").alias("doc_id"), "text", F.coalesce("ranges", F.array().cast("array<struct<s:long,e:long>>")).alias("ranges"))
+    return map_arrow(joined, _merge, "doc_id long, n_bytes long, removed array<struct<s:long,e:long>>, kept binary")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

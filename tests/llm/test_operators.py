@@ -82,6 +82,26 @@ def test_line_dedup(spark):
     assert lines.dedup_lines(empty(spark)).count() == 0
 
 
+def rows_of_shared_ids():
+    """Rows that share a doc_id, or have none, with texts of their own; (order, doc_id, text)."""
+    pick = random.Random(6)
+    passage = "\n".join("".join(pick.choice("abcdefgh ") for _ in range(60)) for _ in range(4))
+    own = ["\n".join("".join(pick.choice("abcdefgh ") for _ in range(60)) for _ in range(5)) for _ in range(6)]
+    return [(None, own[0]), (None, own[1]), (None, passage), (3, own[2]), (3, own[3] + "\n" + passage), (3, None), (4, own[4]), (4, own[5]), (4, passage)], passage, own
+
+
+def test_line_dedup_takes_each_row_by_itself(spark):
+    rows, passage, own = rows_of_shared_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_unit", F.lit(1))
+    for given in (docs, docs.repartition(5)):
+        out = lines.dedup_lines(given)
+        assert out.columns == ["doc_id", "text", "_unit", "_removed_lines"]
+        got = sorted((str(r.doc_id), str(r.text)) for r in out.collect())
+        assert got == sorted([("None", own[0]), ("None", own[1]), ("None", passage), ("3", own[2]), ("3", own[3]), ("3", "None"), ("4", own[4]), ("4", own[5]), ("4", "")])
+    copies = spark.createDataFrame([(None, passage)] * 3 + [(1, passage)], "doc_id long, text string")
+    assert sorted(r.text for r in lines.dedup_lines(copies).collect()) == ["", "", "", passage]
+
+
 # mixing
 
 
@@ -289,6 +309,17 @@ def test_repeats_corner_cases(spark):
     assert sorted((str(r.doc_id), r.n_bytes, len(r.kept)) for r in suffix.remove_repeats(twice).collect()) == [("1", len(t), 0), ("1", len(t), 0), ("None", len(t), len(t))]
 
 
+def test_repeats_take_each_row_by_itself(spark):
+    rows, passage, own = rows_of_shared_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for given in (docs, docs.repartition(5)):
+        got = sorted((str(r.doc_id), r.n_bytes, bytes(r.kept).decode()) for r in suffix.remove_repeats(given).collect())
+        want = [(d, t or "", {8: "", 4: own[3] + "\n"}.get(i, t or "")) for i, (d, t) in enumerate(rows)]
+        assert got == sorted((str(d), len(t), k) for d, t, k in want)
+    copies = spark.createDataFrame([(None, passage)] * 3 + [(-(1 << 63), passage)], "doc_id long, text string")
+    assert sorted((str(r.doc_id), len(r.kept)) for r in suffix.remove_repeats(copies).collect()) == [(str(-(1 << 63)), 0), ("None", 0), ("None", 0), ("None", len(passage))]
+
+
 def test_segments_of_long_texts(monkeypatch):
     monkeypatch.setattr(suffix, "SEGMENT", 300)
     data = np.frombuffer(("ab" * 700 + "q" * 500).encode(), np.uint8)
