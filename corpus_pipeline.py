@@ -19,6 +19,7 @@ def _by_id(docs: DataFrame, decided: DataFrame, how: str = "left_semi") -> DataF
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are no text of a known language go: no letters, or too far from every centroid.
+    If no row has a label there are no centroids, and only those without letters (or text) go.
     lang becomes the prediction where the document has none."""
     named = langid.annotate(docs, langid.fit(docs)).filter(~F.col("_lang_rejected"))
     return named.select(*[F.coalesce(named[c], named["_lang_pred"]).alias(c) if c == "lang" else named[c] for c in docs.columns])

@@ -73,7 +73,7 @@ class Model:
 
     def predict(self, counts: np.ndarray, letters: np.ndarray) -> list[tuple[str, float, bool]]:
         if not self.of:
-            return [(UNKNOWN, 0.0, True)] * len(counts)
+            return [(UNKNOWN, 0.0, not n) for n in letters]  # nothing to be far from
         cosines = self.vectors(counts) @ self.centroids.T
         best = cosines.argmax(axis=1)
         top = np.clip(cosines[np.arange(len(best)), best], 0.0, 1.0)
@@ -165,7 +165,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, rejected: one row per row of docs.
 
     Null texts and texts without letters are `und`, with score 0, and rejected. Repeated doc_ids are
-    rows of their own. Without any training rows every text is `und`. Only doc_id and text are read.
+    rows of their own. Without any training rows every text is `und`, and those with letters are not
+    rejected. Only doc_id and text are read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_arrow(rows, lambda it: _predict_batches(it, model), "doc_id long, lang_pred string, score double, rejected boolean")

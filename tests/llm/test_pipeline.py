@@ -32,3 +32,9 @@ def test_stages_on_nothing_and_odd_rows(spark, sf):
     for docs in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, sf).count()
+
+
+def test_language_id_without_labels(spark, sf):
+    rows = [(1, "the of and", None), (2, None, None), (3, "123 ?!", None), (4, "", None), (5, "der und die", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted((r.doc_id, r.lang) for r in corpus_pipeline.language_id(spark, docs, sf).collect()) == [(1, "und"), (5, "und")]
