@@ -2,12 +2,15 @@
 
 Texts become normalised TF-IDF vectors of hashed character 1-, 2- and 3-grams. Each language has
 several centroids (spherical k-means of its training vectors); a text goes to the language of the
-centroid with the largest cosine. A text whose cosine is far below what training texts of that
-language reach is rejected.
+centroid with the largest cosine. A text whose cosine is below the cut of that language and of its
+number of letters is rejected; cuts stand in the gap between held-out texts and negatives.
 """
 
 from __future__ import annotations
 
+import random
+import string
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +27,16 @@ DIMENSIONS = 8192
 CENTROIDS = 4
 #: The documented bound of training: labelled rows a language, and in all.
 TRAIN_PER_LANGUAGE, TRAIN_ROWS = 300, 6000
-#: A text is rejected below this share of the similarity that 99 % of its language's training texts reach.
-REJECT_SHARE = 0.25
+#: Cuts are set for texts of so many letters on. A text of fewer letters, or of a language with fewer
+#: than LEAST_HELD held-out texts, is rejected below REJECT_SHARE of the similarity that 99 % of its
+#: language's training texts reach.
+BANDS = (16, 32, 64, 128, 256, 512)
+REJECT_SHARE, LEAST_HELD = 0.25, 10
+#: One of HELD texts is held out for the cuts. A cut lies this share of the gap above 99 % of the negatives,
+#: but at most at this share of what 99 % of the held-out texts reach.
+HELD, GAP_SHARE, CLEAN_SHARE = 4, 0.25, 0.8
+#: Made-up strings (random letters, base64) a band.
+MADE_UP = 100
 UNKNOWN = "und"
 #: Texts counted together.
 ROWS = 48
@@ -63,7 +74,8 @@ def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """idf (DIMENSIONS), centroids (rows of unit length), the language of each, and its least similarity."""
+    """idf (DIMENSIONS), centroids (rows of unit length), the language of each, and its least similarity:
+    a row for texts of fewer letters than BANDS, and one for each band."""
 
     def __init__(self, idf: np.ndarray, centroids: np.ndarray, of: list[str], least: np.ndarray):
         self.idf, self.centroids, self.of, self.least = idf, centroids, of, least
@@ -77,7 +89,8 @@ class Model:
         cosines = self.vectors(counts) @ self.centroids.T
         best = cosines.argmax(axis=1)
         top = np.clip(cosines[np.arange(len(best)), best], 0.0, 1.0)
-        return [(self.of[b], float(s), bool(s < self.least[b])) if n else (UNKNOWN, 0.0, True) for b, s, n in zip(best, top, letters)]
+        band = np.searchsorted(BANDS, letters, side="right")
+        return [(self.of[b], float(s), bool(s < self.least[k, b])) if n else (UNKNOWN, 0.0, True) for b, s, n, k in zip(best, top, letters, band)]
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -97,7 +110,7 @@ def spherical_kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.n
 def fit_model(counts: np.ndarray, langs: list[str], k: int = CENTROIDS, seed: int = 7) -> Model:
     n = len(langs)
     if not n:
-        return Model(np.zeros(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(0))
+        return Model(np.zeros(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], np.zeros((len(BANDS) + 1, 0)))
     idf = (np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     x = unit(np.log1p(counts.astype(np.float32)) * idf)
     centroids, of, least, names = [], [], [], np.array(langs)
@@ -108,24 +121,88 @@ def fit_model(counts: np.ndarray, langs: list[str], k: int = CENTROIDS, seed: in
         centroids.append(centres)
         of += [lang] * len(centres)
         least += [REJECT_SHARE * reach] * len(centres)
-    return Model(idf, np.concatenate(centroids).astype(np.float32), of, np.array(least))
+    return Model(idf, np.concatenate(centroids).astype(np.float32), of, np.tile(np.array(least), (len(BANDS) + 1, 1)))
+
+
+def piece(text: str, letters: int) -> str:
+    """The shortest start of text with so many letters, or "" if it has fewer."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
+    at = np.flatnonzero(_alphabetic()[points])
+    return text[: int(at[letters - 1]) + 1] if len(at) >= letters else ""
+
+
+def made_up(letters: int, seed: int) -> list[str]:
+    """Random letters in words, and base64."""
+    pick = random.Random(seed)
+    base = string.ascii_letters + string.digits + "+/"
+    words = ["".join(pick.choice(string.ascii_lowercase) + " " * (pick.random() < 0.2) for _ in range(letters)) for _ in range(MADE_UP // 2)]
+    return words + ["".join(pick.choices(base, k=letters)) for _ in range(MADE_UP // 2)]
+
+
+def with_cuts(model: Model, trial: Model, held: list[tuple[str, int, bool, np.ndarray]]) -> Model:
+    """model with its cuts from held (language, band, negative, counts): starts of held-out texts and
+    shuffled ones, scored by trial, which was fitted without those texts.
+
+    Negatives of a language are made-up strings, shuffled texts and other languages' texts that would
+    come to it if their own language were unknown. Those of a band are as long as its longest texts.
+    """
+    least, of, names = model.least.copy(), np.array(trial.of), sorted(set(model.of))
+    for k, letters in enumerate(BANDS):
+        some = [h for h in held if h[1] == k]
+        if not some:
+            continue
+        fake, _ = gram_counts(made_up(2 * letters, letters))
+        counts = np.concatenate([np.stack([h[3] for h in some]), fake])
+        lang, negative = np.array([h[0] for h in some] + [""] * len(fake)), np.array([h[2] for h in some] + [True] * len(fake))
+        cosines = trial.vectors(counts) @ trial.centroids.T
+        foreign = np.where(of[None, :] == lang[:, None], -1.0, cosines)
+        for name in names:
+            mine = of == name
+            clean = (lang == name) & ~negative
+            if clean.sum() < LEAST_HELD or not mine.any():
+                continue
+            low = float(np.quantile(cosines[clean][:, mine].max(axis=1), 0.01))
+            to_it = (negative & mine[cosines.argmax(axis=1)]) | (~negative & (lang != name) & mine[foreign.argmax(axis=1)])
+            # made-up strings count for every language: few come to each
+            high = float(np.quantile(cosines[to_it | (lang == "")][:, mine].max(axis=1), 0.99))
+            cut = min(high + GAP_SHARE * max(low - high, 0.0), CLEAN_SHARE * low)
+            least[k + 1, np.array(model.of) == name] = cut
+    return Model(model.idf, model.centroids, model.of, least)
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole texts (band -1), and of held-out ones also starts of each band and shuffled starts of its greatest length."""
     for part in slices(batches, limit=1 << 20):
-        counts, letters = gram_counts(part.column("text").to_pylist())
-        rows = [np.flatnonzero(c) for c in counts]
-        yield pa.RecordBatch.from_arrays(
-            [part.column("lang"), pa.array([r.astype(np.int32) for r in rows], pa.list_(pa.int32())), pa.array([c[r] for c, r in zip(counts, rows)], pa.list_(pa.int32())), pa.array(letters > 0)],
-            ["lang", "at", "n", "lettered"],
-        )
+        rows = []
+        for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+            digest = zlib.crc32(text.encode("utf-8", "replace"))
+            held = digest % HELD == 0
+            rows.append((lang, text, held, -1, False))
+            for k, letters in enumerate(BANDS if held else ()):
+                start, longer = piece(text, letters), list(piece(text, 2 * letters))
+                random.Random(digest).shuffle(longer)
+                rows += [(lang, t, True, k, negative) for t, negative in ((start, False), ("".join(longer), True)) if t]
+        for first in range(0, len(rows), ROWS):
+            some = rows[first : first + ROWS]
+            counts, letters = gram_counts([r[1] for r in some])
+            at = [np.flatnonzero(c) for c in counts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[0] for r in some], pa.string()),
+                    pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())),
+                    pa.array([c[a] for c, a in zip(counts, at)], pa.list_(pa.int32())),
+                    pa.array(letters > 0),
+                    *(pa.array([r[i] for r in some], kind) for i, kind in ((2, pa.bool_()), (3, pa.int32()), (4, pa.bool_()))),
+                ],
+                ["lang", "at", "n", "lettered", "held", "band", "negative"],
+            )
 
 
 def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int = TRAIN_ROWS) -> Model:
     """A model of the labelled rows (doc_id, text, lang) with the smallest hashed ids of each language.
 
     The sample is bounded by per_language and rows; texts are counted on the executors whole, and only
-    gram counts (at most DIMENSIONS a row) come to the driver.
+    gram counts (at most DIMENSIONS a row) come to the driver, of one in HELD also those of its starts.
     """
     spark = docs.sparkSession
     labelled = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang")
@@ -137,12 +214,28 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int = TRA
     chosen = materialize(chosen.limit(rows), "langid-sample")
     # At most `rows` ids: small enough to broadcast at any size of the input.
     texts = docs.filter("lang IS NOT NULL").join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", F.coalesce("text", F.lit("")).alias("text"))
-    counted = map_arrow(texts, _count_batches, "lang string, at array<int>, n array<int>, lettered boolean").filter("lettered").limit(2 * rows)
-    found = sorted((r["lang"], tuple(r["at"]), tuple(r["n"])) for r in counted.collect())
-    counts = np.zeros((len(found), DIMENSIONS), dtype=np.int32)
-    for i, (_, at, n) in enumerate(found):
-        counts[i, list(at)] = n
-    return fit_model(counts, [f[0] for f in found])
+    counted = map_arrow(texts, _count_batches, "lang string, at array<int>, n array<int>, lettered boolean, held boolean, band int, negative boolean")
+    counted = counted.filter("lettered").limit(2 * rows * (1 + 2 * len(BANDS)))
+    found = sorted((r["lang"], tuple(r["at"]), tuple(r["n"]), r["held"], r["band"], r["negative"]) for r in counted.collect())
+
+    def dense(some: list[tuple]) -> np.ndarray:
+        counts = np.zeros((len(some), DIMENSIONS), dtype=np.int32)
+        for i, (_, at, n, *_) in enumerate(some):
+            counts[i, list(at)] = n
+        return counts
+
+    whole = [f for f in found if f[4] < 0]
+    counts = dense(whole)
+    langs, seen = [f[0] for f in whole], np.array([not f[3] for f in whole], dtype=bool)
+    model = fit_model(counts, langs)
+    trial = fit_model(counts[seen], [x for x, s in zip(langs, seen) if s])
+    if not trial.of:
+        return model
+    del counts
+    for k in range(len(BANDS)):  # one band's counts at a time
+        some = [f for f in found if f[4] == k]
+        model = with_cuts(model, trial, [(f[0], k, f[5], c) for f, c in zip(some, dense(some))])
+    return model
 
 
 def _predict_batches(batches: Iterator[pa.RecordBatch], model: Model, whole: bool = False) -> Iterator[pa.RecordBatch]:

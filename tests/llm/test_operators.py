@@ -265,6 +265,27 @@ def test_language_corner_cases(spark):
     assert langid.predict(empty(spark), model).count() == 0
 
 
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+
+
+def test_latin_junk_and_unseen_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    rejected = lambda texts: [r for *_, r in model.predict(*langid.gram_counts(texts))]
+    pick = random.Random(11)
+    words = lambda n: " ".join("".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randint(2, 9))) for _ in range(n))
+    base64 = lambda n: "".join(pick.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+    assert all(rejected([words(n) for n in (8, 20, 100, 400) for _ in range(10)]))
+    assert all(rejected([base64(n) for n in (60, 200, 800) for _ in range(10)]))
+    assert all(rejected([POLISH, FINNISH, POLISH * 5, FINNISH * 5]))
+    texts = [r.text for r in docs.filter("lang IS NOT NULL AND text IS NOT NULL").collect()]
+    texts = [t for t in texts if re.search("[a-z]", t)]
+    assert sum(rejected(texts)) <= 0.002 * len(texts)
+    short = [" ".join(t.split()[:n]) for t in texts for n in (1, 3, 5, 10)]
+    assert sum(rejected(short)) <= 0.01 * len(short)
+
+
 # repeated byte strings
 
 
