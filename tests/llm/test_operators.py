@@ -177,6 +177,16 @@ def test_pii_checks_and_context(spark):
     assert pii.find_pii(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"])
+def test_iban_among_capital_words(iban):
+    for before, after in [("", ""), ("IBAN ", " BIC COBADEFFXXX"), ("IBAN ", " BIC NWBKGB2L 12"), ("AB12 CD34 EF56 ", " X"), ("", "\n"), ("iban:", ". END")]:
+        text = before + iban + after
+        assert list(pii.ibans(text)) == [(len(before), len(before) + len(iban))], text
+    assert not list(pii.ibans(iban + "A")) and not list(pii.ibans("A" + iban)) and not list(pii.ibans(iban + "a"))
+    assert [text[s:e] for text in [f"{iban} {iban}"] for s, e in pii.ibans(text)] == [iban, iban]
+    assert [k for k, *_ in pii.spans(f"IBAN {iban} BIC COBADEFFXXX")] == ["iban"]
+
+
 # tokens
 
 
