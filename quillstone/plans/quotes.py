@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import quoting
 from ..operators.joins import small
 from ..sources.tables import table
 
@@ -16,16 +17,17 @@ def spaced(text):
 
 def verify_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark passage is looked up in every document (white space normalised): the first
-    document that holds it, its code-point span there, and the hashes of both texts.
+    document that holds it at safe edges (quoting.find), its code-point span there, and the hashes of
+    both texts. The plain search only picks the pairs that are looked at; n_documents counts the
+    documents with an accepted place. The SQL knows no edges and also counts other places.
 
     The quotes are a question list: broadcast if they are few (counted first), so that the documents
     are scanned once and never shuffled; more are the engine's choice.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", spaced("text").alias("body"))
     quotes = table(spark, sf_dir, "benchmark").select("item_id", spaced("text").alias("quote"))
-    hit = docs.join(small(quotes), F.contains("body", "quote")).select(
-        "item_id", F.struct("doc_id", (F.instr("body", F.col("quote")) - 1).alias("start"), F.sha2("body", 256).alias("sha")).alias("at")
-    )
+    held = docs.join(small(quotes), F.contains("body", "quote")).withColumn("span", quoting.locate(F.col("body"), F.col("quote")))
+    hit = held.filter("span.start IS NOT NULL").select("item_id", F.struct("doc_id", F.col("span.start").alias("start"), F.sha2("body", 256).alias("sha")).alias("at"))
     first = hit.groupBy("item_id").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("n_documents"))
     return quotes.join(first, "item_id", "left").select(
         "item_id",
