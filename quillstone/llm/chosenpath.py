@@ -6,9 +6,10 @@ coordinates a node branches by is a function of its path, so every document work
 paths; two documents meet in a leaf if they agree along one of its paths. Independent trees are
 repeated until a pair at the threshold meets with the target recall. Leaves are compared
 exhaustively on 8-bit sketches of the minwise values, which yields candidate classes (connected by
-estimated similarity, with a margin of four standard errors); inside these the full sets are
-compared exactly, and only links between texts that nothing links yet are looked for, since the
-result is components. Groups too large for one task are dealt out as pairs of blocks.
+estimated similarity, with a margin of four standard errors). The full sets are compared exactly:
+first along one link a text, to a hub of its class, which settles most classes; in the others every
+text outside the largest settled part is compared with all texts that it is not connected to, since
+the result is components. Groups too large for one task are dealt out as pairs of blocks.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
-from .common import forget, materialize, partitions, table
+from .common import filter_words, forget, join_counted, materialize, may_be_among, partitions, table, units
 from .components import components
 from .texts import blobs, raw, slices
 
@@ -34,8 +35,8 @@ THRESHOLD = 0.8
 #: Leaves are deep enough that unrelated documents, which share a minwise value with about this
 #: probability, leave a leaf with about so many of them.
 CHANCE, LEAF_ROWS = 0.05, 2000
-#: Rows of a leaf, and texts of a candidate class, that one task takes at once.
-LEAF_BLOCK, CLASS_BLOCK = 100_000, 4000
+#: Rows of a leaf, and texts of a candidate class (of each side of a pair of blocks), that one task takes at once.
+LEAF_BLOCK, CLASS_BLOCK = 100_000, 256
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -179,18 +180,25 @@ def estimate_cut(threshold: float) -> int:
     return math.floor(MINWISE * (threshold - 4 * math.sqrt(threshold * (1 - threshold) / MINWISE)))
 
 
-def connect(sketches: np.ndarray, cut: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest over rows with at least cut equal bytes."""
-    left = np.arange(len(sketches))
+def connect(sketches: np.ndarray, cut: int) -> list[tuple[int, int, int, int]]:
+    """Links (hub, other, equal bytes, links of the hub) of a spanning forest over rows with at least cut
+    equal bytes. It is grown from the rows that are most like all others, so that a group of copies of
+    one text is a star around it."""
+    if len(sketches) > 2:
+        common = np.array([np.bincount(c, minlength=256).argmax() for c in sketches.T], dtype=np.uint8)
+        left = np.argsort(-(sketches == common).sum(axis=1), kind="stable")
+    else:
+        left = np.arange(len(sketches))
     links = []
     while len(left) > 1:
-        root, left = left[0], left[1:]
-        queue = [root]
+        queue, left = [left[0]], left[1:]
         while queue and len(left):
-            near = (sketches[left] == sketches[queue.pop()]).sum(axis=1) >= cut
+            hub = queue.pop(0)
+            same = (sketches[left] == sketches[hub]).sum(axis=1)
+            near = same >= cut
             if near.any():
                 found = left[near].tolist()
-                links += [(int(root), x) for x in found]
+                links += [(int(hub), x, n, len(found)) for x, n in zip(found, same[near].tolist())]
                 queue += found
                 left = left[~near]
     return links
@@ -233,7 +241,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def _leaf_links(batches: Iterator[pa.RecordBatch], cut: int) -> Iterator[pa.RecordBatch]:
-    """u, v: candidate links inside leaves, from rows sorted by leaf."""
+    """u, v, same, hub: candidate links inside leaves, from rows sorted by leaf."""
     for t in _groups(batches, ["leaf", "block"]):
         t = t.combine_chunks()
         key, block, rep = t["leaf"].to_numpy(), t["block"].to_numpy(), t["rep"].to_numpy()
@@ -244,22 +252,38 @@ def _leaf_links(batches: Iterator[pa.RecordBatch], cut: int) -> Iterator[pa.Reco
         sketch = t["sketch"].combine_chunks()
         sketch = sketch.chunk(0) if isinstance(sketch, pa.ChunkedArray) else sketch
         rows = raw(sketch)[0].reshape(-1, MINWISE)
-        u, v = [], []
+        links = []
         for i in np.flatnonzero(sizes > 1).tolist():
             a, b = int(starts[i]), int(starts[i + 1])
-            for x, y in connect(rows[a:b], cut):
-                u.append(rep[a + x])
-                v.append(rep[a + y])
-        if u:
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            links += [(rep[a + x], rep[a + y], same, hub) for x, y, same, hub in connect(rows[a:b], cut)]
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["u", "v", "same", "hub"])
 
 
-def _exact_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """u, v: exactly verified links that span each candidate class, from rows sorted by class."""
+def _hub_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """u, v: the exact links between a hub and the texts dealt to it, from rows sorted by hub, block and
+    role, the hub itself first."""
+    at, own = None, np.zeros(0, dtype=np.uint64)
+    for batch in batches:
+        for part in slices([batch], limit=1 << 20):
+            found = []
+            for hub, block, rep, s in zip(part.column("hub").to_pylist(), part.column("block").to_pylist(), part.column("rep").to_pylist(), shingle_sets(*raw(part.column("text")), k)):
+                if at != (hub, block):
+                    at, own = (hub, block), s
+                    continue
+                both = len(np.intersect1d(own, s, assume_unique=True)) if 100 * min(len(own), len(s)) >= percent * max(len(own), len(s)) else 0
+                if both and 100 * both >= percent * (len(own) + len(s) - both):
+                    found.append((hub, rep))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
+
+
+def _block_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """u, v: exactly verified links that connect the parts of a block, from rows sorted by class and block."""
     cut = estimate_cut(percent / 100)
     for t in _groups(batches, ["class", "block"]):
         t = t.combine_chunks()
-        key, block, rep = t["class"].to_numpy(), t["block"].to_numpy(), t["rep"].to_numpy()
+        key, block, rep, settled = t["class"].to_numpy(), t["block"].to_numpy(), t["rep"].to_numpy(), t["settled"].to_numpy()
         starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1, [len(key)]])
         text = t["text"].combine_chunks()
         text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
@@ -269,15 +293,19 @@ def _exact_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Ite
             sets = []
             for at in range(a, b, 64):
                 sets += shingle_sets(*raw(text.slice(at, min(64, b - at))), k)
-            links = spanning_links(sets, percent, cut)
+            links = spanning_links(sets, percent, cut, settled[a:b])
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([rep[a + i] for i, _ in links], pa.int64()), pa.array([rep[a + j] for _, j in links], pa.int64())], ["u", "v"])
 
 
-def spanning_links(sets: list[np.ndarray], percent: int, cut: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the pairs with 100 * intersection >= percent * union."""
+def spanning_links(sets: list[np.ndarray], percent: int, cut: int, settled: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the pairs with 100 * intersection >= percent * union; sets that
+    have one value of settled are connected from the start."""
     m = len(sets)
     parent = list(range(m))
+    if settled is not None:
+        first: dict[int, int] = {}
+        parent = [first.setdefault(x, i) for i, x in enumerate(settled.tolist())]
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -297,7 +325,6 @@ def spanning_links(sets: list[np.ndarray], percent: int, cut: int) -> list[tuple
             same = (sketch[others] == sketch[i]).sum(axis=1)
             order = np.argsort(-same, kind="stable")
             others = others[order][same[order] >= cut]
-        tried: set[int] = set()
         for j in others.tolist():
             r = root(j)
             if r == root(i):
@@ -329,44 +356,111 @@ def _deal(rows: DataFrame, key: str, large: DataFrame | None) -> DataFrame:
     return joined.withColumn("block", F.explode(dealt)).drop("parts", "large_key")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of docs.
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (unique rep, and others) with text. A filter of the wanted ids goes in front of the merge
+    join, so few texts are shuffled besides those wanted."""
+    words = filter_words(wanted.select(F.xxhash64("rep").alias("h")))
+    likely = may_be_among(rows, F.xxhash64("unit"), words)
+    return likely.join(wanted.hint("merge"), likely["unit"] == wanted["rep"]).drop("unit")
 
-    Words are split at ASCII white space and A-Z lower-cased. Null texts and texts without words have
-    no shingles and link to nothing; fewer than k words are one shingle. Rows that repeat a doc_id are
-    classified by their own text, linked under that one id; rows with a null doc_id link to
-    nothing, with a null component. kept is doc_id = component_id. Only doc_id
-    and text are read.
+
+def _along_hubs(rows: DataFrame, candidates: DataFrame, k: int, percent: int) -> DataFrame:
+    """u, v: exact links along one candidate link a text: to the hub that most texts of a leaf have."""
+    likely = (F.col("same") >= MINWISE * percent // 100).cast("int")
+    chosen = candidates.groupBy(F.col("v").alias("rep")).agg(F.max(F.struct(likely.alias("likely"), "hub", (-F.col("u")).alias("other"))).alias("best"))
+    chosen = materialize(chosen.select("rep", (-F.col("best")["other"]).alias("hub")), "near-forest")
+    # A hub's own text goes to each block of the texts that are compared with it.
+    hubs = chosen.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
+    hubs = materialize(hubs.select("hub", "n", F.ceil(F.col("n") / CLASS_BLOCK).alias("parts"), F.col("hub").alias("rep")), "near-hubs")
+    own = _texts(rows, hubs).select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("block"), "rep", F.lit(0).alias("role"), "text")
+    counted = join_counted(chosen, hubs.select("hub", "n", "parts"), ["hub"], "n", chosen.count())
+    others = _texts(rows, counted.select("rep", "hub", "parts")).select("hub", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("block"), "rep", F.lit(1).alias("role"), "text")
+    dealt = own.unionByName(others).repartition(partitions(rows.sparkSession), "hub", "block").sortWithinPartitions("hub", "block", "role", "rep")
+    return materialize(map_arrow(dealt.select("hub", "block", "rep", "text"), lambda it: _hub_links(it, k, percent), "u long, v long"), "near-hub-links")
+
+
+def _across(rows: DataFrame, members: DataFrame, parts: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """u, v: exact links between the parts (components of the links so far) of the classes that have several, if any.
+
+    The texts of the largest part of a class are dealt into blocks, and the others too; every pair of
+    blocks meets but two of the largest part, which is connected already.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = map_arrow(rows, lambda it: _profile(it, k), "doc_id long, n long, ka long, kb long, minwise binary")
-    profile = materialize(profile, "near-profile")
+    of = materialize(members.join(parts.select(F.col("u").alias("rep"), "v").hint("merge"), "rep", "left").select("rep", "class", F.coalesce("v", "rep").alias("settled")), "near-parts")
+    sizes = of.groupBy("class", "settled").agg(F.count(F.lit(1)).alias("n"))
+    per = sizes.groupBy("class").agg(F.max(F.struct("n", "settled")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    per = per.select("class", "n", F.col("top")["settled"].alias("main"), F.ceil(F.col("top")["n"] / CLASS_BLOCK).alias("a"), F.ceil((F.col("n") - F.col("top")["n"]) / CLASS_BLOCK).alias("b"))
+    per = materialize(per, "near-unsettled")
+    if per.isEmpty():
+        return None
+    a, b, zero = F.col("a"), F.col("b"), F.lit(0).cast("long")
+    h = F.xxhash64("rep")
+    main = F.col("settled") == F.col("main")
+    own = F.when(main, F.pmod(h, a)).otherwise(a + F.pmod(h, b))
+    meets = F.when(main, F.sequence(a, a + b - 1)).otherwise(F.sequence(zero, a + b - 1))
+    dealt = join_counted(of, per, ["class"], "n", of.count()).select("rep", "class", "settled", F.transform(meets, lambda o: F.least(own, o) * (a + b) + F.greatest(own, o)).alias("blocks"))
+    texts = _texts(rows, materialize(dealt, "near-blocks")).select("rep", "class", "settled", F.explode("blocks").alias("block"), "text")
+    texts = texts.repartition(partitions(rows.sparkSession), "class", "block").sortWithinPartitions("class", "block", "rep")
+    return materialize(map_arrow(texts, lambda it: _block_links(it, k, percent), "u long, v long"), "near-block-links")
+
+
+def _linked(docs: DataFrame, k: int, percent: int, recall: float) -> tuple[DataFrame, str, DataFrame]:
+    """(docs with the column that tells rows apart, its name, unit, n and component of every row)."""
+    given, name = units(docs, nulls_last=True)
+    rows = given.select(F.col(name).alias("unit"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    profile = map_arrow(rows.select(F.col("unit").alias("doc_id"), "text"), lambda it: _profile(it, k), "doc_id long, n long, ka long, kb long, minwise binary")
+    profile = materialize(profile.withColumnRenamed("doc_id", "unit"), "near-profile")
     # Equal sets become one class before anything is compared.
-    real = profile.filter("n > 0 AND doc_id IS NOT NULL")
-    reps = real.groupBy("n", "ka", "kb").agg(F.min("doc_id").alias("rep"))
-    reps = materialize(reps, "near-reps")
-    n_reps = reps.count()
+    real = profile.filter("n > 0")
+    reps = materialize(real.groupBy("n", "ka", "kb").agg(F.min("unit").alias("rep"), F.count(F.lit(1)).alias("copies")), "near-reps")
+    n_reps, n_real = reps.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     trees, depth = plan(n_reps, percent / 100, recall)
-    of = real.join(reps.select(F.col("rep"), F.col("ka").alias("ra"), F.col("kb").alias("rb")), (F.col("doc_id") == F.col("rep")) & (F.col("ka") == F.col("ra")) & (F.col("kb") == F.col("rb")), "left_semi")
-    of = of.select(F.col("doc_id").alias("rep"), "minwise")
+    of = real.join(reps.select("rep").hint("merge"), F.col("unit") == F.col("rep"), "left_semi").select(F.col("unit").alias("rep"), "minwise")
     cut = estimate_cut(percent / 100)
     keys = map_arrow(of, lambda it: _leaf_rows(it, trees, depth, False), "leaf long, rep long")
     leaves = map_arrow(of, lambda it: _leaf_rows(it, trees, depth, True), "leaf long, rep long, sketch binary")
     leaves = _deal(leaves, "leaf", _large(keys, "leaf", LEAF_BLOCK))
-    found = map_arrow(leaves.repartition(partitions(spark), "leaf", "block").sortWithinPartitions("leaf", "block", "rep"), lambda it: _leaf_links(it, cut), "u long, v long")
+    met = leaves.repartition(partitions(docs.sparkSession), "leaf", "block").sortWithinPartitions("leaf", "block", "rep")
+    found = materialize(map_arrow(met, lambda it: _leaf_links(it, cut), "u long, v long, same long, hub long"), "near-candidates")
     classes = components(found)
     members = classes.select(F.col("u").alias("rep"), F.col("v").alias("class")).unionByName(classes.select(F.col("v").alias("rep"), F.col("v").alias("class")).distinct())
-    members = materialize(members, "near-classes")
-    # A merge join at any size: the plan, and what it shuffles, must not depend on how few members there are.
-    texts = rows.join(members.withColumnRenamed("rep", "doc").hint("merge"), F.col("doc_id") == F.col("doc")).select(F.col("doc").alias("rep"), "class", "text")
-    texts = _deal(texts, "class", _large(members, "class", CLASS_BLOCK))
-    exact = map_arrow(texts.repartition(partitions(spark), "class", "block").sortWithinPartitions("class", "block", "rep"), lambda it: _exact_links(it, k, percent), "u long, v long")
-    linked = components(exact)
-    named = reps.join(linked.withColumnRenamed("u", "rep"), "rep", "left").select(F.col("n").alias("gn"), F.col("ka").alias("ga"), F.col("kb").alias("gb"), F.coalesce("v", "rep").alias("component"))
-    joined = profile.join(named, (F.col("n") == F.col("gn")) & (F.col("ka") == F.col("ga")) & (F.col("kb") == F.col("gb")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
-    component = F.coalesce("component", "doc_id")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    links = _along_hubs(rows, found, k, percent)
+    linked = components(links)
+    more = _across(rows, members, linked, k, percent)
+    if more is not None:
+        linked = components(links.unionByName(more))
+    named = reps.join(linked.withColumnRenamed("u", "rep").hint("merge"), "rep", "left").select("n", "ka", "kb", "copies", F.coalesce("v", "rep").alias("component"))
+    named = materialize(named, "near-named")
+    narrow = profile.select("unit", "n", "ka", "kb")
+    joined = join_counted(narrow.filter("n > 0"), named, ["n", "ka", "kb"], "copies", n_real).select("unit", "n", "component")
+    out = materialize(joined.unionByName(narrow.filter("n = 0").select("unit", "n", F.col("unit").alias("component"))), "near-components")
+    forget(profile, reps, found, named, links, *([more] if more is not None else []))
+    return given, name, out
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of docs.
+
+    Words are split at ASCII white space and A-Z lower-cased. Null texts and texts without words have
+    no shingles and link to nothing; fewer than k words are one shingle. Every row is a document of its
+    own: rows without a doc_id come after all others, and rows of one doc_id (or of none) are ordered by
+    hashes of their texts. component_id is the doc_id of the first row of the component, so the smallest
+    (null only if no row of it has one); kept says that the row is that first one, so of rows that are equal in all exactly one stays. Texts of any length
+    are read whole. Only doc_id and text are read.
+    """
+    given, name, found = _linked(docs, k, percent, recall)
+    if name == "doc_id":
+        return found.select(F.col("unit").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("unit") == F.col("component")).alias("kept"))
+    ids = given.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("unit"))
+    named = found.join(ids.hint("merge"), "unit").join(ids.select(F.col("doc_id").alias("component_id"), F.col("unit").alias("component")).hint("merge"), "component")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("unit") == F.col("component")).alias("kept"))
+
+
+def keep_first(docs: DataFrame, k: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
+    """The rows of docs that ``near_duplicates`` keeps, decided row by row, with their columns."""
+    given, name, found = _linked(docs, k, percent, recall)
+    gone = found.filter("unit != component").select(F.col("unit").alias("gone_unit"))
+    kept = given.join(gone.hint("merge"), given[name] == gone["gone_unit"], "left_anti")
+    return kept.select(*docs.columns)
 
 
 def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,11 +58,11 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def units(docs: DataFrame) -> tuple[DataFrame, str]:
+def units(docs: DataFrame, nulls_last: bool = False) -> tuple[DataFrame, str]:
     """(docs, the column that tells its rows apart and orders them): a long, unique, never null.
 
     That is doc_id where it is so. Otherwise each row gets a number (a new column), in the order of
-    doc_id, nulls first, then of hashes of text; rows equal in both are in no certain order.
+    doc_id, nulls first (or last), then of hashes of text; rows equal in both are in no certain order.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     if ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL").isEmpty():
@@ -73,10 +73,44 @@ def units(docs: DataFrame) -> tuple[DataFrame, str]:
     text = F.col("text").cast("string")
     keys = {f"{name}0": F.col("doc_id").cast("long"), f"{name}1": F.xxhash64(text), f"{name}2": F.xxhash64(F.lit(7), text), f"{name}3": F.monotonically_increasing_id()}
     # The last key only deals equal rows over tasks. Ids given after a total sort rise with it.
-    ordered = docs.withColumns(keys).orderBy(F.col(f"{name}0").asc_nulls_first(), *list(keys)[1:]).drop(*keys)
+    by_id = F.col(f"{name}0").asc_nulls_last() if nulls_last else F.col(f"{name}0").asc_nulls_first()
+    ordered = docs.withColumns(keys).orderBy(by_id, *list(keys)[1:]).drop(*keys)
     return materialize(ordered.withColumn(name, F.monotonically_increasing_id()), "units"), name
 
 
+#: Bounds of what is broadcast: words of 64 bits in a filter of keys, and keys that have most rows.
+FILTER_WORDS, HEAVY_KEYS, HEAVY_ROWS = 1 << 19, 10_000, 100
+
+
+def filter_words(hashes: DataFrame) -> DataFrame:
+    """A Bloom filter with one hash function of the column h (long): word, bits. It has at most
+    FILTER_WORDS rows of 16 bytes however many keys there are; when it fills up it only lets more pass."""
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 40) & 63 AS int))")
+    return hashes.select(F.pmod("h", F.lit(FILTER_WORDS).cast("long")).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def may_be_among(rows: DataFrame, h: Column, words: DataFrame) -> DataFrame:
+    """The rows whose hash h the filter words does not rule out, without a shuffle: all of those whose
+    key went into the filter, and few others. No column of rows may be called _word, _bits or _h."""
+    held = F.broadcast(words.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    tested = rows.withColumn("_h", h)
+    inside = F.expr("(shiftrightunsigned(_bits, cast(shiftrightunsigned(_h, 40) & 63 AS int)) & 1) = 1")
+    return tested.join(held, (F.pmod("_h", F.lit(FILTER_WORDS).cast("long")) == F.col("_word")) & inside).select(*[rows[c] for c in rows.columns])
+
+
+def join_counted(rows: DataFrame, per: DataFrame, on: list[str], count: str, total: int) -> DataFrame:
+    """rows joined with per, which has one row a key and in the column count how many of rows have it.
+
+    The counts add up to total at most. So no more than HEAVY_KEYS keys have more than
+    total / HEAVY_KEYS rows: these are broadcast, and no task of the join of the others holds many rows of a key.
+    """
+    limit = max(HEAVY_ROWS, total // HEAVY_KEYS)
+    heavy, light = per.filter(F.col(count) > limit), per.filter(F.col(count) <= limit)
+    spread = rows.join(F.broadcast(heavy), on)
+    others = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
+    return spread.unionByName(others.join(light.hint("merge"), on))
+
+
 def word_count(text: Column) -> Column:
     """Number of words as long; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, materialize
+from .common import forget, join_counted, materialize
 
 MAX_ROUNDS = 40
 
@@ -14,12 +14,18 @@ def _print(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _low(edges: DataFrame) -> DataFrame:
+    """u, m, n: each node with the smallest it is linked to, and how many links it has."""
+    return materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "low")
+
+
 def components(links: DataFrame) -> DataFrame:
     """u, v: every linked node but the smallest of its component, with that smallest one.
 
     links has long columns u and v; order, repeats and loops do not matter. Large-star and small-star
     contraction: each round hangs neighbours under the smallest node seen, by minimum and join, so a
-    node with any number of neighbours is never one group in memory. Each round is a written table.
+    node with any number of neighbours is never one group in memory, nor in one task of the joins
+    (``join_counted``). Each round is a written table.
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct()
     edges = materialize(edges, "links")
@@ -30,12 +36,12 @@ def components(links: DataFrame) -> DataFrame:
             return edges
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
-        large = materialize(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = materialize(hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        forget(edges, large)
-        edges = small
+        low = _low(both)
+        least = join_counted(both, low, ["u"], "n", 2 * now[0]).withColumn("m", F.least("u", "m"))
+        large = materialize(least.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct(), "large-star")
+        forget(edges, low)
+        low = _low(large)
+        hung = join_counted(large, low, ["u"], "n", 2 * now[0]).filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = materialize(hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        forget(large, low)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

@@ -410,16 +410,58 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, k, block):
 def test_near_duplicate_corner_cases(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (2, "a b c d"), (2, "a b c d")], "doc_id long, text string")
     got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in chosenpath.near_duplicates(docs, 2).collect())
-    assert got == [("1", "1", True), ("2", "1", False), ("2", "1", False), ("None", "None", True)]
+    assert got == [("1", "1", True), ("2", "1", False), ("2", "1", False), ("None", "1", False)]
+    none = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "")], "doc_id long, text string")
+    assert sorted((str(r.component_id), r.kept) for r in chosenpath.near_duplicates(none, 2).collect()) == [("None", False), ("None", True), ("None", True)]
     assert chosenpath.near_duplicates(empty(spark)).count() == 0
     trees, depth = chosenpath.plan(10**9)
     assert chosenpath.meet_probability(0.8, trees, depth) >= chosenpath.RECALL
 
 
+def test_near_duplicates_are_decided_row_by_row(spark):
+    a, b = "one two three four five six seven", "un deux trois quatre cinq six sept"
+    rows = [(1, b), (2, a), (2, b), (3, a), (3, a), (4, None), (4, None), (None, "x " * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component", F.lit(1)).withColumn("_unit", F.lit("u"))
+    for given in (docs, docs.repartition(5)):
+        out = chosenpath.keep_first(given)
+        assert out.columns == docs.columns
+        assert sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == sorted((str(d), str(t)) for d, t in [rows[0], rows[1], (4, None), (4, None), rows[7]])
+
+
+def test_near_recall_on_a_table(spark):
+    """The links of all pairs of a table, by an inverted index of whole sets, against the operator."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in chosenpath.near_duplicates(docs, 2).collect()}
+    sets, at, root = {}, {}, {d: d for d, _ in texts}
+    for d, t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+        sets[d] = {tuple(w[i : i + 2]) for i in range(len(w) - 1)} or ({tuple(w)} if w else set())
+        for g in sets[d]:
+            at.setdefault(g, []).append(d)
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for d in sorted(sets):
+        shared = {}
+        for g in sets[d]:
+            for o in at[g]:
+                if o > d:
+                    shared[o] = shared.get(o, 0) + 1
+        for o, n in shared.items():
+            if 100 * n >= 80 * (len(sets[d]) + len(sets[o]) - n):
+                root[max(top(d), top(o))] = min(top(d), top(o))
+    assert got == {d: (len(sets[d]), top(d)) for d in sets}
+
+
 def test_components_of_long_chains(spark):
-    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "u long, v long")
+    star = [(1000, i) for i in range(1001, 1400)]  # a node with more links than a key of the merge join may have
+    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)] + star, "u long, v long")
     got = {r.u: r.v for r in components.components(links).collect()}
-    assert got == {**{i: 0 for i in range(1, 201)}, 501: 500}
+    assert got == {**{i: 0 for i in range(1, 201)}, 501: 500, **{i: 1000 for _, i in star}}
 
 
 # nearest neighbours

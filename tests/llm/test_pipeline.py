@@ -34,6 +34,12 @@ def test_stages_on_nothing_and_odd_rows(spark, sf):
             stage(spark, docs, sf).count()
 
 
+def test_near_dedup_decides_by_row(spark, sf):
+    a, b = "one two three four five six seven", "un deux trois quatre cinq six sept"
+    docs = spark.createDataFrame([(1, b, "en"), (2, a, "en"), (2, b, "en"), (3, a, "en")], "doc_id long, text string, lang string")
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()) == [(1, b), (2, a)]
+
+
 def test_language_id_without_labels(spark, sf):
     rows = [(1, "the of and", None), (2, None, None), (3, "123 ?!", None), (4, "", None), (5, "der und die", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
