@@ -13,10 +13,6 @@ from quillstone.llm import bpe, chosenpath, langid, lines, mixing
 from quillstone.llm.common import materialize
 
 
-def _by_id(docs: DataFrame, decided: DataFrame, how: str = "left_semi") -> DataFrame:
-    return docs.join(decided.select(F.col("doc_id").alias("decided_id")).distinct().hint("merge"), docs["doc_id"].eqNullSafe(F.col("decided_id")), how)
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are no text of a known language go: no letters, or too far from every centroid.
     If no row has a label there are no centroids, and only those without letters (or text) go.
@@ -35,9 +31,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays."""
-    found = materialize(chosenpath.near_duplicates(docs), "near-found")
-    return _by_id(docs, found.filter("NOT kept"), "left_anti")
+    """Of each group of near-duplicates the row with the smallest doc_id stays. Each row is decided by
+    itself: rows that share a doc_id are documents of their own, and of equal rows one stays."""
+    return chosenpath.keep_first(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
