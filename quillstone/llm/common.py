@@ -98,8 +98,16 @@ def may_be_among(rows: DataFrame, h: Column, words: DataFrame) -> DataFrame:
     return tested.join(held, (F.pmod("_h", F.lit(FILTER_WORDS).cast("long")) == F.col("_word")) & inside).select(*[rows[c] for c in rows.columns])
 
 
-def join_counted(rows: DataFrame, per: DataFrame, on: list[str], count: str, total: int) -> DataFrame:
-    """rows joined with per, which has one row a key and in the column count how many of rows have it.
+def ruled_out(rows: DataFrame, h: Column, words: DataFrame) -> DataFrame:
+    """The rows that ``may_be_among`` leaves out."""
+    held = F.broadcast(words.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    tested = rows.withColumn("_h", h)
+    inside = F.expr("(shiftrightunsigned(_bits, cast(shiftrightunsigned(_h, 40) & 63 AS int)) & 1) = 1")
+    return tested.join(held, (F.pmod("_h", F.lit(FILTER_WORDS).cast("long")) == F.col("_word")) & inside, "left_anti").select(*[rows[c] for c in rows.columns])
+
+
+def join_counted(rows: DataFrame, per: DataFrame, on: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with per, which has one row a key and in the column count how many of rows have it.
 
     The counts add up to total at most. So no more than HEAVY_KEYS keys have more than
     total / HEAVY_KEYS rows: these are broadcast, and no task of the join of the others holds many rows of a key.
@@ -108,7 +116,7 @@ def join_counted(rows: DataFrame, per: DataFrame, on: list[str], count: str, tot
     heavy, light = per.filter(F.col(count) > limit), per.filter(F.col(count) <= limit)
     spread = rows.join(F.broadcast(heavy), on)
     others = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
-    return spread.unionByName(others.join(light.hint("merge"), on))
+    return spread.unionByName(others.join(light.hint("merge"), on, how))
 
 
 def word_count(text: Column) -> Column:

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quillstone.llm import ann, bpe, chosenpath, components, entry, langid, lines, lsm, mixing, pii, planes, suffix
+from quillstone.llm import ann, bpe, chosenpath, common, components, entry, langid, lines, lsm, mixing, pii, planes, suffix
 
 from ..oracle import assert_equal
 
@@ -45,12 +45,50 @@ def test_exact_groups(spark):
     assert lsm.exact_groups(empty(spark)).count() == 0
 
 
-def test_index_lookup(spark):
+def test_exact_groups_of_many_and_long_texts(spark):
+    rows = [(i, "hot") for i in range(500)] + [(500 + i, f"t{i // 2}") for i in range(40)] + [(600, "z" * 1_000_000), (601, "z" * 1_000_000), (602, "z" * 999_999 + "y")]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in lsm.exact_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {}
+    for d, t in rows:
+        same = [x for x, u in rows if u == t]
+        want[d] = (max(same), len(same), d == max(same))
+    assert got == want
+
+
+def test_index_levels_and_filters(spark):
+    rows = lambda *pairs: spark.createDataFrame([(d.encode(), i) for d, i in pairs], "digest binary, doc_id long")
+    hits = lambda df: sorted(bytes(r.digest).decode() for r in df.collect())
     index = lsm.DigestIndex(spark)
-    index.flush(spark.createDataFrame([("d1", 1), ("d2", 2)], "digest string, doc_id long"))
-    index.flush(spark.createDataFrame([("d1", 3)], "digest string, doc_id long"))
-    assert sorted(r.doc_id for r in index.lookup(["d1"]).collect()) == [1, 3]
-    assert {(r.digest, r.keep_id, r.members) for r in index.compact().collect()} == {("d1", 3, 2), ("d2", 2, 1)}
+    assert hits(index.add(rows(("d1", 1), ("d2", 2), ("d2", 9)))) == ["d2"]
+    assert (index.asked, index.read) == (0, 0)
+    assert hits(index.add(rows(("e1", 3), ("e2", 4)))) == []
+    assert (index.asked, index.read) == (1, 0)  # the filter shows that the first run holds none of these
+    assert [len(x) for x in index.levels] == [0, 1]
+    assert hits(index.add(rows(("d1", 7), ("f", 5)))) == ["d1"]
+    assert (index.asked, index.read) == (2, 1)
+    assert [len(x) for x in index.levels] == [1, 1]
+    got = {(bytes(r.digest).decode(), r.keep_id, r.members) for r in index.lookup(rows(("d1", 0), ("d2", 0), ("none", 0)).select("digest")).collect()}
+    assert got == {("d1", 7, 2), ("d2", 9, 2)}
+    index.add(rows(("f", 6)))
+    assert [len(x) for x in index.levels] == [0, 0, 1]
+    assert index.levels[2][0].rows.count() == 5
+
+
+def test_filters_let_all_keys_pass(spark):
+    keys = spark.range(0, 3000, 3).select(F.xxhash64("id").alias("h"))
+    words = common.filter_words(keys)
+    rows = spark.range(3000)
+    passed = {r.id for r in common.may_be_among(rows, F.xxhash64("id"), words).collect()}
+    assert set(range(0, 3000, 3)) <= passed and len(passed) < 1030
+    assert {r.id for r in common.ruled_out(rows, F.xxhash64("id"), words).collect()} == set(range(3000)) - passed
+
+
+def test_counted_join(spark):
+    rows = spark.createDataFrame([("hot", i) for i in range(300)] + [("cold", 300), ("none", 301)], "k string, i long")
+    per = spark.createDataFrame([("hot", 300, "a"), ("cold", 1, "b")], "k string, n long, v string")
+    for how, more in (("inner", []), ("left", [(301, None)])):
+        got = sorted((r.i, r.v) for r in common.join_counted(rows, per, ["k"], "n", 301, how).collect())
+        assert got == [(i, "a") for i in range(300)] + [(300, "b")] + more
 
 
 # line windows
