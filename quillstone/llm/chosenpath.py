@@ -279,11 +279,11 @@ def _hub_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Itera
 
 
 def _block_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """u, v: exactly verified links that connect the parts of a block, from rows sorted by class and block."""
+    """u, v: parts (settled) that exactly verified links connect, from rows sorted by class and block."""
     cut = estimate_cut(percent / 100)
     for t in _groups(batches, ["class", "block"]):
         t = t.combine_chunks()
-        key, block, rep, settled = t["class"].to_numpy(), t["block"].to_numpy(), t["rep"].to_numpy(), t["settled"].to_numpy()
+        key, block, settled = t["class"].to_numpy(), t["block"].to_numpy(), t["settled"].to_numpy()
         starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1, [len(key)]])
         text = t["text"].combine_chunks()
         text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
@@ -295,7 +295,7 @@ def _block_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Ite
                 sets += shingle_sets(*raw(text.slice(at, min(64, b - at))), k)
             links = spanning_links(sets, percent, cut, settled[a:b])
             if links:
-                yield pa.RecordBatch.from_arrays([pa.array([rep[a + i] for i, _ in links], pa.int64()), pa.array([rep[a + j] for _, j in links], pa.int64())], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array([settled[a + i] for i, _ in links], pa.int64()), pa.array([settled[a + j] for _, j in links], pa.int64())], ["u", "v"])
 
 
 def spanning_links(sets: list[np.ndarray], percent: int, cut: int, settled: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -379,27 +379,37 @@ def _along_hubs(rows: DataFrame, candidates: DataFrame, k: int, percent: int) ->
     return materialize(map_arrow(dealt.select("hub", "block", "rep", "text"), lambda it: _hub_links(it, k, percent), "u long, v long"), "near-hub-links")
 
 
-def _across(rows: DataFrame, members: DataFrame, parts: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """u, v: exact links between the parts (components of the links so far) of the classes that have several, if any.
+def _across(rows: DataFrame, candidates: DataFrame, parts: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """u, v: the parts (components of the links so far) that further exact links connect; None if no
+    candidate link leads from one part to another.
 
-    The texts of the largest part of a class are dealt into blocks, and the others too; every pair of
-    blocks meets but two of the largest part, which is connected already.
+    Parts that candidate links join are a class. The texts of the largest part of a class are dealt into
+    blocks, and the others too; every pair of blocks meets but two of the largest part, which is
+    connected already.
     """
-    of = materialize(members.join(parts.select(F.col("u").alias("rep"), "v").hint("merge"), "rep", "left").select("rep", "class", F.coalesce("v", "rep").alias("settled")), "near-parts")
+    ends = candidates.select("u", "v")
+    for end in ("u", "v"):
+        to = parts.select(F.col("u").alias("_rep"), F.col("v").alias("_part"))
+        ends = ends.join(to.hint("merge"), ends[end] == to["_rep"], "left").withColumn(end, F.coalesce("_part", end)).select("u", "v")
+    ends = materialize(ends.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "near-open")
+    if ends.isEmpty():
+        return None
+    classes = components(ends)
+    classes = classes.select(F.col("u").alias("settled"), F.col("v").alias("class")).unionByName(classes.select(F.col("v").alias("settled"), F.col("v").alias("class")).distinct())
+    linked = parts.select(F.col("u").alias("rep"), F.col("v").alias("settled")).join(classes.hint("merge"), "settled").select("rep", "settled", "class")
+    of = materialize(linked.unionByName(classes.select(F.col("settled").alias("rep"), "settled", "class")), "near-parts")
     sizes = of.groupBy("class", "settled").agg(F.count(F.lit(1)).alias("n"))
-    per = sizes.groupBy("class").agg(F.max(F.struct("n", "settled")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    per = sizes.groupBy("class").agg(F.max(F.struct("n", "settled")).alias("top"), F.sum("n").alias("n"))
     per = per.select("class", "n", F.col("top")["settled"].alias("main"), F.ceil(F.col("top")["n"] / CLASS_BLOCK).alias("a"), F.ceil((F.col("n") - F.col("top")["n"]) / CLASS_BLOCK).alias("b"))
-    per = materialize(per, "near-unsettled")
-    if per.isEmpty():
-        return None
     a, b, zero = F.col("a"), F.col("b"), F.lit(0).cast("long")
     h = F.xxhash64("rep")
     main = F.col("settled") == F.col("main")
     own = F.when(main, F.pmod(h, a)).otherwise(a + F.pmod(h, b))
     meets = F.when(main, F.sequence(a, a + b - 1)).otherwise(F.sequence(zero, a + b - 1))
-    dealt = join_counted(of, per, ["class"], "n", of.count()).select("rep", "class", "settled", F.transform(meets, lambda o: F.least(own, o) * (a + b) + F.greatest(own, o)).alias("blocks"))
-    texts = _texts(rows, materialize(dealt, "near-blocks")).select("rep", "class", "settled", F.explode("blocks").alias("block"), "text")
-    texts = texts.repartition(partitions(rows.sparkSession), "class", "block").sortWithinPartitions("class", "block", "rep")
+    counted = join_counted(of, materialize(per, "near-classes"), ["class"], "n", of.count())
+    dealt = counted.select("rep", "class", "settled", F.transform(meets, lambda o: F.least(own, o) * (a + b) + F.greatest(own, o)).alias("blocks"))
+    texts = _texts(rows, materialize(dealt, "near-blocks")).select("class", "settled", F.explode("blocks").alias("block"), "text")
+    texts = texts.repartition(partitions(rows.sparkSession), "class", "block").sortWithinPartitions("class", "block", "settled")
     return materialize(map_arrow(texts, lambda it: _block_links(it, k, percent), "u long, v long"), "near-block-links")
 
 
@@ -421,13 +431,12 @@ def _linked(docs: DataFrame, k: int, percent: int, recall: float) -> tuple[DataF
     leaves = _deal(leaves, "leaf", _large(keys, "leaf", LEAF_BLOCK))
     met = leaves.repartition(partitions(docs.sparkSession), "leaf", "block").sortWithinPartitions("leaf", "block", "rep")
     found = materialize(map_arrow(met, lambda it: _leaf_links(it, cut), "u long, v long, same long, hub long"), "near-candidates")
-    classes = components(found)
-    members = classes.select(F.col("u").alias("rep"), F.col("v").alias("class")).unionByName(classes.select(F.col("v").alias("rep"), F.col("v").alias("class")).distinct())
     links = _along_hubs(rows, found, k, percent)
     linked = components(links)
-    more = _across(rows, members, linked, k, percent)
+    more = _across(rows, found, linked, k, percent)
     if more is not None:
-        linked = components(links.unionByName(more))
+        joined = components(more).select(F.col("u").alias("part"), F.col("v").alias("top"))
+        linked = linked.join(joined.hint("merge"), linked["v"] == joined["part"], "left").select("u", F.coalesce("top", "v").alias("v")).unionByName(joined.select(F.col("part").alias("u"), F.col("top").alias("v")))
     named = reps.join(linked.withColumnRenamed("u", "rep").hint("merge"), "rep", "left").select("n", "ka", "kb", "copies", F.coalesce("v", "rep").alias("component"))
     named = materialize(named, "near-named")
     narrow = profile.select("unit", "n", "ka", "kb")

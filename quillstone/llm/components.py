@@ -10,13 +10,15 @@ from .common import forget, join_counted, materialize
 MAX_ROUNDS = 40
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u: then each v is the smallest node of its component."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def _low(edges: DataFrame) -> DataFrame:
     """u, m, n: each node with the smallest it is linked to, and how many links it has."""
-    return materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "low")
+    return edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -29,19 +31,16 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct()
     edges = materialize(edges, "links")
-    before = None
     for _ in range(MAX_ROUNDS):
-        now = _print(edges)
-        if now == before or not now[0]:
+        if _stars(edges):
             return edges
-        before = now
+        n = 2 * edges.count()
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = _low(both)
-        least = join_counted(both, low, ["u"], "n", 2 * now[0]).withColumn("m", F.least("u", "m"))
+        least = join_counted(both, _low(both), ["u"], "n", n).withColumn("m", F.least("u", "m"))
         large = materialize(least.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct(), "large-star")
-        forget(edges, low)
+        forget(edges)
         low = _low(large)
-        hung = join_counted(large, low, ["u"], "n", 2 * now[0]).filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hung = join_counted(large, low, ["u"], "n", n).filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialize(hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        forget(large, low)
+        forget(large)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
