@@ -7,13 +7,16 @@ is the longest text; they are cut into short aligned pieces first, in a way that
 1.  In each window of LENGTH bytes the smallest hashed gram is its anchor. Equal windows have equal
     anchors at the same place, so a window need only be compared with windows of the same gram.
     Consecutive windows with one anchor make a piece; a text has a piece about every 40 bytes.
-2.  Pieces meet by gram (a shuffle of two hashes and a place a piece, no text). Of equal pieces all but
-    the earliest are repeated as a whole. Pieces of a gram that has different ones go on.
+2.  Pieces meet by gram and content (a shuffle of two hashes and a place a piece, no text; repeats inside
+    a slice are known before it and dealt anywhere). Of equal pieces all but the earliest are repeated as
+    a whole. Grams are counted, and the different pieces of a gram that has several go on.
 3.  Their bytes are fetched and aligned at the anchor, and the positional form of the collection
     Burrows-Wheeler transform is built over them: each round inserts one symbol of every piece, by a
     stable distribution in the order of the round before, and updates where the common part with the
     neighbour begins. Neighbours whose common part reaches back LENGTH columns hold the same window;
     all but the earliest of them are repeated. Shuffle runs are the sequential external files.
+4.  A gram with more different pieces than one task should hold is not transformed: its windows are
+    grouped by their bytes, by aggregation and a counted join, which no gram or window makes uneven.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
-from .common import materialize, partitions, table, units
+from .common import filter_words, forget, join_counted, materialize, may_be_among, partitions, table, units
 from .texts import blobs, raw, slices
 
 LENGTH = 100
@@ -36,8 +39,8 @@ REACH = LENGTH - GRAM  # a window's anchor starts at most so far behind its firs
 WIDTH = REACH + LENGTH  # columns of aligned pieces: from REACH before the anchor on
 #: Window starts handled at once in a long text, and pieces in one transform.
 SEGMENT, PIECES = 4 << 20, 40_000
-#: A gram of more different pieces than this is split by the bytes of CLASSES ranges of windows.
-LARGE, CLASSES = 200_000, 5
+#: A gram goes by windows if it has more different pieces than a quarter of a task's share of all, within these bounds.
+LARGE_LEAST, LARGE_MOST = 2000, 200_000
 
 _RNG = np.random.default_rng(411)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -119,7 +122,8 @@ def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """gram, piece, doc, place, known: equal pieces of a slice but the earliest are known repeats."""
+    """gram, piece, doc, place, salt. Equal pieces of a slice but the earliest are known repeats: they
+    need not meet any other, and have a salt instead of gram and piece; that of the others is 0."""
     for part in slices(batches, limit=2 << 20):
         gram, piece, text, anchor, lo, hi = pieces(*raw(part.column("text")))
         doc = part.column("doc_id").to_numpy()[text]
@@ -128,52 +132,26 @@ def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, piece, doc, place = gram[order], piece[order], doc[order], place[order]
         known = np.zeros(len(gram), dtype=bool)
         known[1:] = (gram[1:] == gram[:-1]) & (piece[1:] == piece[:-1])
+        salt = np.where(known, 1 + (np.arange(len(gram)) & 4095), 0).astype(np.int32)
+        gram[known] = piece[known] = 0
         yield pa.RecordBatch.from_arrays(
-            [pa.array(gram.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(doc), pa.array(place), pa.array(known)], ["gram", "piece", "doc", "place", "known"]
+            [pa.array(gram.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(doc), pa.array(place), pa.array(salt)], ["gram", "piece", "doc", "place", "salt"]
         )
 
 
 def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """gram, doc, place, repeated, from rows sorted by gram, piece, doc, place: rows after the first of
-    their piece are repeated; first rows of grams with several pieces go on. One row is held back."""
+    """gram, doc, place, repeated, from rows sorted by salt, gram, piece, doc, place: rows but the first
+    of their piece are repeated, and so are those with a salt."""
     at = (None, None)  # gram and piece of the row before
-    several = False  # that gram has had a second piece
-    held: tuple | None = None  # the only piece of that gram so far
     for batch in batches:
         if not batch.num_rows:
             continue
-        gram, piece, doc, place = (batch.column(c).to_numpy() for c in ("gram", "piece", "doc", "place"))
-        known = batch.column("known").to_numpy(zero_copy_only=False)
-        new_gram = np.ones(len(gram), dtype=bool)
-        new_gram[1:] = gram[1:] != gram[:-1]
-        new_gram[0] = gram[0] != at[0]
-        new_piece = new_gram.copy()
-        new_piece[1:] |= piece[1:] != piece[:-1]
-        new_piece[0] |= piece[0] != at[1]
-        group = np.cumsum(new_gram)  # 0: the gram that the batch before ended with
-        count = np.bincount(group, weights=new_piece, minlength=group[-1] + 1).astype(np.int64)
-        extra = []
-        if group[0] == 0:
-            if not several and count[0] and held is not None:
-                extra.append(held)
-            count[0] += 2 if several else 1
-        first = np.flatnonzero(new_piece)
-        go = first[count[group[first]] > 1]
-        # The last gram of the batch may get its second piece later: its only piece is held.
-        tail = int(group[-1])
+        gram, piece, salt = (batch.column(c).to_numpy() for c in ("gram", "piece", "salt"))
+        repeated = np.zeros(len(gram), dtype=bool)
+        repeated[1:] = (gram[1:] == gram[:-1]) & (piece[1:] == piece[:-1])
+        repeated[0] = (gram[0], piece[0]) == at
         at = (gram[-1], piece[-1])
-        several = bool(count[tail] > 1)
-        if tail > 0 or several:
-            held = None
-        if tail > 0 and not several:
-            i = int(first[group[first] == tail][0])
-            held = (gram[i], doc[i], place[i])
-        back = np.flatnonzero(~new_piece | known)
-        rows = np.concatenate([back, go])
-        cols = [gram[rows], doc[rows], place[rows]]
-        mark = np.concatenate([np.ones(len(back), dtype=bool), np.zeros(len(go) + len(extra), dtype=bool)])
-        cols = [np.concatenate([c, np.array([x[j] for x in extra], dtype=np.int64)]) for j, c in enumerate(cols)]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(mark)], ["gram", "doc", "place", "repeated"])
+        yield pa.RecordBatch.from_arrays([batch.column("gram"), batch.column("doc"), batch.column("place"), pa.array(repeated | (salt > 0))], ["gram", "doc", "place", "repeated"])
 
 
 def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +226,7 @@ def repeated_windows(symbols: np.ndarray, lo: np.ndarray, hi: np.ndarray, rank:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc, s, e: repeated ranges of texts, from pieces sorted by key; the pieces of a key stay together."""
+    """doc, s, e: repeated ranges of texts, from pieces sorted by gram; the pieces of a gram stay together."""
     held: list[pa.RecordBatch] = []
 
     def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -265,8 +243,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols[row, np.arange(len(data)) - np.repeat(offsets[:-1] - begin, width)] = data
         rank = np.empty(len(doc), dtype=np.int64)
         rank[np.lexsort((anchor, doc))] = np.arange(len(doc))
-        first, last = t["from"].to_numpy(), t["to"].to_numpy()
-        flags = repeated_windows(symbols, np.maximum(begin, first), np.minimum(hi - anchor + REACH, last), rank)
+        flags = repeated_windows(symbols, begin, hi - anchor + REACH, rank)
         padded = np.zeros((len(doc), flags.shape[1] + 2), dtype=np.int8)
         padded[:, 1:-1] = flags
         step = np.diff(padded, axis=1)
@@ -279,10 +256,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        key = batch.column("key").to_numpy()
+        key = batch.column("gram").to_numpy()
         cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
         last = int(cuts[-1]) if len(cuts) else 0
-        if held and held[-1].column("key")[-1].as_py() != key[0]:
+        if held and held[-1].column("gram")[-1].as_py() != key[0]:
             if n >= PIECES:
                 yield flush(held)
                 held, n = [], 0
@@ -333,45 +310,46 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _by_key(cut: DataFrame) -> DataFrame:
-    """Pieces with their key and window range: the gram, or for grams with very many different pieces
-    also the bytes that all windows of one of CLASSES ranges share."""
-    counted = cut.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE)
-    large = materialize(counted.select(F.col("gram").alias("large_gram")), "large-grams")
-    plain = cut.withColumn("key", F.col("gram")).withColumn("from", F.lit(0).cast("long")).withColumn("to", F.lit(REACH).cast("long"))
-    if large.isEmpty():
-        return plain
-    step = -(-(REACH + 1) // CLASSES)
-    begin = F.lit(REACH) - F.shiftright("place", 7).bitwiseAND(F.lit(127))  # column of the first byte
-    split = cut.join(large, F.col("gram") == F.col("large_gram"), "left")
-    ranges = F.array(*[F.lit(c * step).cast("long") for c in range(CLASSES)])
-    of = F.when(F.col("large_gram").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(ranges)
-    split = split.withColumn("from", F.explode(of)).withColumn("begin", begin)
-    # All windows from column c to c + step - 1 hold the bytes of columns c + step - 1 to c + LENGTH - 1.
-    core = F.substring("bytes", (F.col("from") + step - F.col("begin")).cast("int"), F.lit(LENGTH - step + 1))
-    key = F.when(F.col("from") < 0, F.col("gram")).otherwise(F.xxhash64("gram", "from", core))
-    fits = (F.col("from") < 0) | (F.col("from") + step - 1 >= F.col("begin"))
-    edge = split.withColumn("key", F.when(fits, key).otherwise(F.xxhash64("gram", "from", F.lit("short"))))
-    return edge.withColumn("to", F.when(F.col("from") < 0, F.lit(REACH)).otherwise(F.least(F.col("from") + step - 1, F.lit(REACH))).cast("long")).withColumn(
-        "from", F.greatest("from", F.lit(0).cast("long"))
-    )
+def _by_windows(cut: DataFrame) -> DataFrame:
+    """doc, s, e: the repeated windows of pieces, each with all windows of equal bytes."""
+    begin = F.shiftright("place", 14) - F.shiftright("place", 7).bitwiseAND(F.lit(127))
+    starts = F.explode(F.sequence(F.lit(0), F.length("bytes") - LENGTH)).alias("w")
+    windows = cut.select("doc", begin.alias("begin"), "bytes", starts).select("doc", (F.col("begin") + F.col("w")).alias("s"), F.substring("bytes", F.col("w") + 1, F.lit(LENGTH)).alias("window"))
+    seen = windows.groupBy("window").agg(F.min(F.struct("doc", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    seen = materialize(seen, "suffix-windows")
+    total = seen.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    again = join_counted(windows, seen, ["window"], "n", total).filter(F.struct("doc", "s") != F.col("first"))
+    return materialize(again.select("doc", "s", (F.col("s") + LENGTH).alias("e")), "suffix-window-ranges")
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """doc, s, e: byte ranges of docs (doc_id long and unique, text not null) covered by repeated windows."""
     spark = docs.sparkSession
-    rows = map_arrow(docs, _piece_rows, "gram long, piece long, doc long, place long, known boolean")
-    met = rows.repartition(partitions(spark), "gram").sortWithinPartitions("gram", "piece", "doc", "place")
+    rows = map_arrow(docs, _piece_rows, "gram long, piece long, doc long, place long, salt int")
+    met = rows.repartition(partitions(spark), "gram", "piece", "salt").sortWithinPartitions("salt", "gram", "piece", "doc", "place")
     sorted_out = materialize(map_arrow(met, _sort_out, "gram long, doc long, place long, repeated boolean"), "suffix-pieces")
     whole = sorted_out.filter("repeated").select(
         "doc", (F.shiftright("place", 14) - F.shiftright("place", 7).bitwiseAND(F.lit(127))).alias("s"), (F.shiftright("place", 14) - F.col("place").bitwiseAND(F.lit(127)) + LENGTH).alias("e")
     )
-    wanted = sorted_out.filter("NOT repeated").groupBy("doc").agg(F.collect_list(F.struct("gram", "place")).alias("wanted"))
+    different = sorted_out.filter("NOT repeated").select("gram", "doc", "place")
+    grams = materialize(different.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "suffix-grams")
+    total, most = grams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    words = materialize(filter_words(grams.select(F.xxhash64("gram").alias("h"))), "suffix-filter")
+    shared = join_counted(may_be_among(different, F.xxhash64("gram"), words), grams, ["gram"], "n", total).select("gram", "doc", "place")
+    wanted = shared.groupBy("doc").agg(F.collect_list(F.struct("gram", "place")).alias("wanted"))
     cut = map_arrow(docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["doc"]).select("doc_id", "text", "wanted"), _cut_pieces, "gram long, doc long, place long, bytes binary")
     cut = materialize(cut, "suffix-cut")
-    keyed = _by_key(cut).select("key", "doc", "place", "bytes", "from", "to")
-    dealt = keyed.repartition(partitions(spark), "key").sortWithinPartitions("key")
-    return whole.unionByName(map_arrow(dealt, _compare, "doc long, s long, e long"))
+    limit = min(LARGE_MOST, max(LARGE_LEAST, total // (4 * partitions(spark))))
+    found = whole
+    if most > limit:
+        # At most 4 * partitions grams, or total / LARGE_LEAST of them where that is less.
+        large = F.broadcast(grams.filter(F.col("n") > limit).select("gram"))
+        found = found.unionByName(_by_windows(cut.join(large, "gram", "left_semi")))
+        cut = cut.join(large, "gram", "left_anti")
+    dealt = cut.repartition(partitions(spark), "gram").sortWithinPartitions("gram")
+    found = materialize(found.unionByName(map_arrow(dealt, _compare, "doc long, s long, e long")), "suffix-ranges")
+    forget(sorted_out, grams, words)
+    return found
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -384,7 +362,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows, unit = units(ids)
     rows = rows.select(F.col("doc_id").alias("id"), F.col(unit).alias("doc_id"), "text")
-    found = materialize(repeated_ranges(rows.select("doc_id", "text")), "suffix-ranges")
+    found = repeated_ranges(rows.select("doc_id", "text"))
     per = found.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
     joined = rows.join(per.hint("merge"), rows["doc_id"] == per["doc"], "left")
     joined = joined.select(F.col("id").alias("doc_id"), "text", F.coalesce("ranges", F.array().cast("array<struct<s:long,e:long>>")).alias("ranges"))
