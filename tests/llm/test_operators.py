@@ -577,6 +577,41 @@ def test_neighbour_corner_cases(spark):
     assert ann.nearest(few.limit(0), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_odd_vectors(spark):
+    pick = np.random.default_rng(1)
+    rows = [(i, pick.normal(size=3).tolist()) for i in range(40)] + [(100 + i, pick.normal(size=2).tolist()) for i in range(30)] + [(None, [1.0, 1.0, 1.0]), (0, [9.0, 9.0, 9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("row", F.lit("r")).withColumn("parts", F.lit(1))
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id").isin(5, 100), k=7).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    for q in (5, 100):
+        mine = next(v for i, v in rows if i == q)
+        want = sorted(((-float(np.dot(v, mine)), i) for i, v in rows if i is not None and i != q and len(v) == len(mine)))[:7]
+        assert sorted(got[q]) == [(n + 1, i, round(-s, 9)) for n, (s, i) in enumerate(want)]
+
+
+def test_queries_whose_parts_hold_too_few(spark, monkeypatch):
+    pick = np.random.default_rng(2)
+    x = pick.normal(size=(400, 6)) * 0.05 + np.repeat(np.eye(6) * 4, [380, 4, 4, 4, 4, 4], axis=0)
+    fit = ann.fit_router
+
+    def narrow(*args):
+        router = fit(*args)
+        router.probes = 1
+        return router
+
+    monkeypatch.setattr(ann, "fit_router", narrow)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.col("vec_id") % 20 == 19, k=60, parts=16).groupBy("query_id").count().collect()
+    assert len(got) == 20 and all(r["count"] == 60 for r in got)
+
+
+def test_bins():
+    bins = ann._bins({-3: 5, 0: 4000, 1: 4000, 2: 4000, 3: 20_000}, {0: 30_000, 1: 1, 7: 2})
+    assert bins == {-3: (0, 1, 1), 0: (1, 1, 2), 1: (1, 1, 2), 2: (2, 1, 1), 3: (3, 3, 1), 7: (6, 1, 1)}
+    assert [ann.parts_for(n) for n in (0, 500, 10_000, 50_000, 10**9)] == [16, 16, 64, 128, 256]
+
+
 def test_parts_are_balanced():
     x = np.random.default_rng(3).normal(size=(1000, 8))
     of = ann.balanced_parts(x, ann.neighbour_graph(x, 6), 8)
