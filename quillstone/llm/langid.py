@@ -2,7 +2,7 @@
 
 Texts become normalised TF-IDF vectors of hashed character 1-, 2- and 3-grams. Each language has
 several centroids (spherical k-means of its training vectors); a text goes to the language of the
-centroid with the largest cosine. A text whose cosine is below the cut of that language and of its
+centroid with the largest cosine (of equal ones, to the language that comes first by name). A text whose cosine is below the cut of that language and of its
 number of letters is rejected; cuts stand in the gap between held-out texts and negatives.
 """
 
@@ -204,18 +204,20 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int = TRA
     The sample is bounded by per_language and rows; texts are counted on the executors whole, and only
     gram counts (at most DIMENSIONS a row) come to the driver, of one in HELD also those of its starts.
     """
-    spark = docs.sparkSession
-    labelled = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    usable = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text.alias("text"))
+    labelled = usable.select("lang", "doc_id", F.xxhash64("text").alias("th"))
     n_langs = labelled.select("lang").distinct().count()
     if not n_langs:
         return fit_model(np.zeros((0, DIMENSIONS)), [])
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= max(1, min(per_language, rows // n_langs))).select("doc_id").distinct()
-    chosen = materialize(chosen.limit(rows), "langid-sample")
-    # At most `rows` ids: small enough to broadcast at any size of the input.
-    texts = docs.filter("lang IS NOT NULL").join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", F.coalesce("text", F.lit("")).alias("text"))
-    counted = map_arrow(texts, _count_batches, "lang string, at array<int>, n array<int>, lettered boolean, held boolean, band int, negative boolean")
-    counted = counted.filter("lettered").limit(2 * rows * (1 + 2 * len(BANDS)))
+    # Ties end at equal rows, of which any serves: so the sample is the same in every run.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "th")
+    chosen = labelled.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= max(1, min(per_language, rows // n_langs)))
+    chosen = chosen.orderBy(F.xxhash64("lang"), "lang", "r").limit(rows).select("lang", "doc_id", "th").distinct()
+    chosen = materialize(chosen, "langid-sample")
+    # At most `rows` keys: small enough to broadcast at any size of the input. Equal rows count once.
+    texts = usable.withColumn("th", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "doc_id", "th"], "left_semi").dropDuplicates(["lang", "doc_id", "th"]).select("lang", "text")
+    counted = map_arrow(texts, _count_batches, "lang string, at array<int>, n array<int>, lettered boolean, held boolean, band int, negative boolean").filter("lettered")
     found = sorted((r["lang"], tuple(r["at"]), tuple(r["n"]), r["held"], r["band"], r["negative"]) for r in counted.collect())
 
     def dense(some: list[tuple]) -> np.ndarray:

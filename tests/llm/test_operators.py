@@ -353,6 +353,29 @@ def test_language_corner_cases(spark):
     assert langid.predict(empty(spark), model).count() == 0
 
 
+def test_language_sample_does_not_depend_on_partitions(spark):
+    rows = [(i // 3, f"{w} wort haus nummer {i}" if i % 5 else "same text", f"l{i % 40}") for i, w in enumerate(["der", "the", "el"] * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = [langid.fit(d, per_language=2, rows=20) for d in (docs, docs.repartition(7), docs.unionByName(docs))]
+    for m in models[1:]:
+        assert m.of == models[0].of and np.array_equal(m.centroids, models[0].centroids) and np.array_equal(m.least, models[0].least)
+
+
+def test_language_equals_plain_cosines(spark):
+    """Predictions against cosines worked out gram by gram."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in langid.predict(docs, model).limit(40).collect():
+        counts, letters = langid.gram_counts([texts[r.doc_id] or ""])
+        v = np.log1p(counts[0].astype(float)) * model.idf
+        if not letters[0]:
+            assert r.lang_pred == "und"
+            continue
+        cosines = [float(v @ c) / (np.linalg.norm(v) * np.linalg.norm(c)) for c in model.centroids]
+        assert r.lang_pred == model.of[int(np.argmax(cosines))] and abs(r.score - max(cosines)) < 1e-4
+
+
 POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."
 FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
 
