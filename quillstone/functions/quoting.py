@@ -11,48 +11,177 @@ import pandas as pd
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..shipping import arrow_udf
+from . import classes
+
+# What may stand before a quote and after it, what binds no number, what binds only the
+# number before it, and the marks of a table's grid.
+OPENERS = "([{\"'‘“„«‹¿¡"
+CLOSERS = ".,;:!?)]}\"'’”»›…"
+PLAIN = ".,;:!?)]}\"'’”»…®™©*†‡§¶#"
+POSTFIX = "%‰‱°′″℃℉"
+TABLE, TABLE_END, ROW, CELL, LEFT, ABOVE = "\ufdd0\ufdd1\ufdd2\ufdd3\ufdd4\ufdd5"
+
+
+class _Classes(dict):
+    """The class of each code point, found when it is first met: w space, g other gap, m mark, d number,
+    l letter, x marker, o opening mark, q mark that opens and closes, c closing mark, C closing mark that
+    looks like a sign, n other plain punctuation, p postfix sign, s sign (all else)."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        kind = unicodedata.category(c)
+        if c == " ":
+            k = "w"
+        elif classes.is_gap(point):
+            k = "g"
+        elif point == 0xFFFC or 0xFDD0 <= point <= 0xFDEF:
+            k = "x"
+        elif kind[0] == "N":
+            k = "d"
+        elif kind[0] == "L" and kind != "Lm":
+            k = "l"
+        elif kind[0] == "M":
+            k = "m"
+        elif c in OPENERS and c != "‹":
+            k = "q" if c in CLOSERS else "o"
+        elif c in CLOSERS:
+            k = "c" if c in PLAIN else "C"
+        else:
+            k = "n" if c in PLAIN or kind == "Pd" else "p" if c in POSTFIX else "s"
+        self[point] = k
+        return k
+
+
+_CLASSES = _Classes()
+# On classes. Backwards from a quote: opening marks up to a space or the start; a number or a sign before the space.
+_OPENED, _CLOSED = re.compile("[oq]*(?:w|$)"), re.compile("[cqC]+(?:w|$)")
+_NUMBER = re.compile("[wgm]*d")
+_SIGN_BEFORE = re.compile("[wgmoq]*(?:[sC]|[cnp][moqcnp]*[sC])")
+_SIGN_AFTER = re.compile("[wgmoq]*[spC]")
+_WORD = re.compile("[^wg]+")
+
+
+class Grid:
+    """The tables of a text: for a place in a cell, what the cells beside it begin and end with."""
+
+    def __init__(self, text: str, kinds: str):
+        self.kinds, self.cells = kinds, []
+        for m in re.finditer(f"{TABLE}[^{TABLE_END}]*", text):
+            rows: list[list[tuple[str, int, int]]] = []
+            for part in re.finditer(f"[{ROW}{CELL}{LEFT}{ABOVE}][^{ROW}{CELL}{LEFT}{ABOVE}]*", m.group()):
+                mark, at = part.group()[0], m.start() + part.start() + 1
+                if mark == ROW:
+                    rows.append([])
+                elif rows:
+                    rows[-1].append((mark, at, m.start() + part.end()))
+            self._place(rows)
+
+    def _place(self, rows: list) -> None:
+        owner: list[list] = []
+        for r, slots in enumerate(rows):
+            owner.append([])
+            for c, (mark, start, end) in enumerate(slots):
+                if mark == CELL:
+                    cell = {"start": start, "end": end, "spans": [], "sides": None}
+                    self.cells.append(cell)
+                elif mark == LEFT:
+                    cell = owner[r][c - 1] if c else None
+                else:
+                    cell = owner[r - 1][c] if r and c < len(owner[r - 1]) else None
+                owner[r].append(cell)
+        for row in owner:
+            for c, cell in enumerate(row):
+                if cell is not None and (c == 0 or row[c - 1] is not cell):
+                    last = c
+                    while last + 1 < len(row) and row[last + 1] is cell:
+                        last += 1
+                    cell["spans"].append((row[:c], row[last + 1 :]))
+
+    def _words(self, cells: list) -> list[str]:
+        return [w for cell in cells if cell is not None for w in _WORD.findall(self.kinds[cell["start"] : cell["end"]])]
+
+    def beside(self, at: int) -> tuple[list[str], list[str]]:
+        """The words (as classes) of all cells left and right of the cell that holds a place."""
+        for cell in self.cells:
+            if cell["start"] <= at < cell["end"]:
+                if cell["sides"] is None:
+                    cell["sides"] = tuple(self._words([x for span in cell["spans"] for x in span[side]]) for side in (0, 1))
+                return cell["sides"]
+        return [], []
+
+
+class Searched:
+    """A text that quotes are looked up in."""
+
+    def __init__(self, text: str):
+        self.text, self._kinds, self._back, self._grid = text, None, "", None
+
+    def _prepare(self) -> None:
+        if self._kinds is None:
+            self._kinds = self.text.translate(_CLASSES)
+            self._back = self._kinds[::-1]
+            self._grid = Grid(self.text, self._kinds) if TABLE in self.text else None
+
+    def _begins(self, at: int, quote: str) -> bool:
+        opened = _OPENED.match(self._back, len(self._back) - at)
+        if not opened:
+            return False
+        if not opened.group().endswith("w"):
+            return True  # the start of the text
+        before, number = opened.end(), _NUMBER.match(quote)
+        if _SIGN_BEFORE.match(self._back, before) or (number and _NUMBER.match(self._back, before)):
+            return False
+        if self._grid is None:
+            return True
+        words, _ = self._grid.beside(at)
+        return not any(_SIGN_BEFORE.match(w[::-1]) or (number and _NUMBER.match(w[::-1])) for w in words)
+
+    def _ends(self, at: int, quote: str) -> bool:
+        if at == len(self.text):
+            return True
+        if self._kinds[at] != "w":
+            return bool(_CLOSED.match(self._kinds, at))
+        if not _NUMBER.match(quote[::-1]):
+            return True
+        if _NUMBER.match(self._kinds, at + 1) or _SIGN_AFTER.match(self._kinds, at + 1):
+            return False
+        if self._grid is None:
+            return True
+        _, words = self._grid.beside(at)
+        return not any(_NUMBER.match(w) or _SIGN_AFTER.match(w) for w in words)
+
+    def find(self, quote: str) -> tuple[int, int] | None:
+        """Code-point span of the first place where the quote may begin and end, or none."""
+        at = self.text.find(quote) if quote else -1
+        if at < 0:
+            return None
+        self._prepare()
+        kinds = quote.translate(_CLASSES)
+        if not kinds.strip("wg"):
+            return None
+        while at >= 0:
+            if self._begins(at, kinds) and self._ends(at + len(quote), kinds):
+                return at, at + len(quote)
+            at = self.text.find(quote, at + 1)
+        return None
 
-# Punctuation that may stand before and after a quote, and signs that change a number.
-OPENERS = frozenset("([{\"'‘“„«‹¿¡")
-CLOSERS = frozenset(".,;:!?)]}\"'’”»›…")
-SIGNS = frozenset("+-−±<>≤≥=≈~×%‰/")
 
-
-def word(c: str) -> bool:
-    return unicodedata.category(c)[0] in "LNM" or c == "_"
-
-
-def _clear_left(text: str, at: int) -> bool:
-    i = at
-    while i > 0 and text[i - 1] in OPENERS:
-        i -= 1
-    return i == 0 or text[i - 1] == " "
-
-
-def _clear_right(text: str, at: int) -> bool:
-    i = at
-    while i < len(text) and text[i] in CLOSERS:
-        i += 1
-    return i == len(text) or text[i] == " "
+def find(text: str, quote: str) -> tuple[int, int] | None:
+    return Searched(text).find(quote)
 
 
-def _splits_number(text: str, start: int, end: int) -> bool:
-    """A space at an edge that groups digits or parts a sign from its number."""
-    before = text[start - 2] if start >= 2 and text[start - 1] == " " else ""
-    after = text[end + 1] if end + 1 < len(text) and text[end] == " " else ""
-    first, last = text[start], text[end - 1]
-    return bool((before and first.isdigit() and (before.isdigit() or before in SIGNS)) or (after and last.isdigit() and (after.isdigit() or after in SIGNS)))
+def searchable(quote: str) -> bool:
+    """Whether a quote holds anything that a reader sees, and no marker of tables and pictures."""
+    kinds = quote.translate(_CLASSES)
+    return bool(kinds.strip("wg")) and "x" not in kinds
 
 
-def find(text: str, quote: str) -> tuple[int, int] | None:
-    """Code-point span of the first place where the quote may begin and end, or none."""
-    at = text.find(quote) if quote.strip() else -1
-    while at >= 0:
-        end = at + len(quote)
-        if _clear_left(text, at) and _clear_right(text, end) and not _splits_number(text, at, end):
-            return at, end
-        at = text.find(quote, at + 1)
-    return None
+def _parts_number(text: str, at: int) -> bool:
+    """Whether a cut at the space at this place would part a number, or a sign from its number."""
+    kinds = text.translate(_CLASSES)
+    back, before, after = kinds[::-1], len(kinds) - at, at + 1
+    number_before, number_after = _NUMBER.match(back, before), _NUMBER.match(kinds, after)
+    return bool(_SIGN_BEFORE.match(back, before) or (number_before and (number_after or _SIGN_AFTER.match(kinds, after))))
 
 
 _SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -61,7 +190,14 @@ _SEGMENT = StructType([StructField("kind", StringType()), StructField("text", St
 
 def _locate(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, quotes in parts:
-        found = [find(t, q) if t is not None and q is not None else None for t, q in zip(texts, quotes)]
+        last, found = None, []
+        for t, q in zip(texts, quotes):  # pairs of one text come together: it is read once
+            if t is None or q is None:
+                found.append(None)
+                continue
+            if last is None or last.text != t:
+                last = Searched(t)
+            found.append(last.find(q))
         yield pd.DataFrame({"start": pd.array([f and f[0] if f else None for f in found], "Int32"), "end": pd.array([f[1] if f else None for f in found], "Int32")})
 
 
@@ -104,7 +240,7 @@ def cut(text: str, limit: int = LIMIT) -> list[tuple[int, int]]:
         best = None
         for i in sorted((m.start() + start for m in re.finditer(" ", text[start + 1 : stop])), key=lambda i: abs(i + 1 - aim)):
             i += 1
-            if not _splits_number(text, i + 1 if i + 1 < len(text) else i, i):
+            if not _parts_number(text, i):
                 best = i
                 break
         end = best if best is not None and best > start else stop

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 from collections.abc import Iterator
 
@@ -10,13 +11,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..shipping import arrow_udf
+from . import classes
 
-# The code points that normalisation drops, expands, or takes for white space and bullets.
-INVISIBLE = "­​﻿⁠"
+# The ligatures that normalisation expands.
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬆ": "st"}
-SPACES = "\t\n\x0b\f\r    -     　"
-BULLETS = "•·▪●◦‣⁃"
-FORBIDDEN = "[\\x00-\\x08\\x0E-\\x1F\\x7F-\\x9F\\uFDD0-\\uFDEF\\uFFFE\\uFFFF]"
+INVISIBLE = classes.pattern(*classes.INVISIBLE)
+SPACES = classes.pattern(*classes.WHITESPACE)
+IN_LINE = classes.pattern(*(p for p in classes.WHITESPACE if p not in (0x09, 0x0A)))
+BULLETS = classes.pattern(*classes.BULLETS)
+# A well-formed string of the JVM holds no single surrogates: their range is left out.
+FORBIDDEN = f"[{classes.pattern(*(r for r in classes.FORBIDDEN if r[0] != 0xD800))}]"
 
 
 def _nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -28,26 +32,41 @@ def _nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 nfc = arrow_udf(_nfc, "string")
 
 
+@functools.cache
+def _decomposing() -> str:
+    """The code points, marks apart, that composition replaces by others, as ranges of a character class."""
+    points = [p for p in range(0x110000) if not 0xD800 <= p <= 0xDFFF and unicodedata.normalize("NFC", chr(p)) != chr(p)]
+    runs: list[list[int]] = []
+    for p in points:
+        if runs and p == runs[-1][1] + 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return classes.pattern(*map(tuple, runs))
+
+
 def compose(c: Column) -> Column:
-    """NFC; text below U+0300 is composed already, so most rows never leave the JVM."""
-    return F.when(c.rlike("[^\\x00-\\u02FF]"), nfc(c)).otherwise(c)
+    """NFC. Text without marks, joining letters and the few other code points that it changes is composed
+    already; only other texts are sent to Python, the rest goes there as null."""
+    open_ = c.rlike(f"[\\p{{M}}\\u1100-\\u11ff{_decomposing()}]")
+    return F.coalesce(nfc(F.when(open_, c)), c)
 
 
 def drop_invisible(c: Column) -> Column:
     """Invisible characters go; a soft hyphen takes the line break behind it along."""
-    c = F.regexp_replace(c, "­\r?\n", "")
-    return F.regexp_replace(c, f"[{INVISIBLE}]", "")
+    return F.regexp_replace(c, f"\\u00ad\r?\n|[{INVISIBLE}]", "")
 
 
 def expand_ligatures(c: Column) -> Column:
+    out = c
     for one, many in LIGATURES.items():
-        c = F.replace(c, F.lit(one), F.lit(many))
-    return c
+        out = F.replace(out, F.lit(one), F.lit(many))
+    return F.when(c.rlike("[\\ufb00-\\ufb06]"), out).otherwise(c)
 
 
 def plain_bullets(c: Column) -> Column:
-    """A bullet at the start of a line (not of the text, not on a line with a tab) before white space becomes a space."""
-    return F.regexp_replace(c, f"(?<=\n)[{BULLETS}](?=[  ])(?=[^\n\t]*(?:\n|$))", " ")
+    """Bullets at the start of a line (not of the text, not on a line with a tab), each before white space, become a space."""
+    return F.regexp_replace(c, f"(?<=\n)(?:[{IN_LINE}]*[{BULLETS}](?=[{SPACES}]))+(?=[^\n\t]*(?:\n|$))", " ")
 
 
 def collapse(c: Column) -> Column:
@@ -61,8 +80,10 @@ def collapse_template(c: Column) -> Column:
 
 
 def normalize(c: Column) -> Column:
-    """The order matters: drop, expand, compose, bullets, white space."""
-    return collapse(plain_bullets(compose(expand_ligatures(drop_invisible(c)))))
+    """The order matters: drop, expand, compose, bullets, white space. Text that holds a forbidden
+    character is null: it cannot be compared."""
+    allowed = F.when(~c.rlike(FORBIDDEN), c)
+    return collapse(plain_bullets(compose(expand_ligatures(drop_invisible(allowed)))))
 
 
 def forbidden_at(c: Column) -> Column:

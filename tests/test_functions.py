@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as s
 from pyspark.sql import functions as F
 
-from quillstone.functions import hashing, quoting, text, xhtml
+from quillstone.functions import classes, hashing, quoting, text, xhtml
 
 
 def values(spark, rows, *columns):
@@ -79,6 +79,62 @@ def test_quote_edges(body, quote, at):
     assert quoting.find(body, quote) == at
 
 
+def cells(*rows):
+    """A grid of cells: text, or < and ^ for slots covered from the left and from above."""
+    slot = lambda c: {"<": quoting.LEFT, "^": quoting.ABOVE}.get(c, f"{quoting.CELL} {c} ")
+    return quoting.TABLE + "".join(quoting.ROW + "".join(slot(c) for c in r) for r in rows) + quoting.TABLE_END
+
+
+@pytest.mark.parametrize(
+    "body,cut,whole",
+    [
+        # units, decimals, brackets, signs joined to a number
+        ("The patient’s dose is 7 mg/m² weekly.", ["dose is 7 mg/m", "7 mg/", "e", "The patient"], ["7 mg/m² weekly", "The patient’s", "weekly."]),
+        ("Inject 3.5 ml slowly, then 12,5 ml.", ["Inject 3", "Inject 3.", "then 12", "5 ml slowly"], ["Inject 3.5 ml", "slowly", "then 12,5 ml"]),
+        ("Stop (see part 5.1) at once.", ["see part 5", "(see part 5", "1) at once"], ["see part 5.1", "(see part 5.1)", "at once"]),
+        ("Freeze at -40 °C or −60 °C.", ["40 °C or", "60 °C"], ["-40 °C or", "−60 °C"]),
+        ("For <15 kg or ≥80 kg; if ≥ 65 years.", ["15 kg or", "80 kg", "65 years"], ["<15 kg or", "≥ 65 years", "For"]),
+        ("Use non-sterile gloves. Won't keep.", ["sterile gloves", "t keep", "Won"], ["non-sterile gloves", "Won't keep"]),
+        # grouped numbers across spaces, thin spaces, ignored and blank code points
+        ("Up to 2 500 000 IU.", ["Up to 2", "500 000 IU", "Up to 2 500"], ["Up to", "2 500 000 IU"]),
+        ("Give 20\u2009 000 IU or 7\u2063 000 IU.", ["000 IU or", "Give 20", "000 IU.", "Give 20\u2009"], ["Give 20\u2009 000 IU or"]),
+        ("Dose 30\u2800 000 IU. Or 4\U000e0020 000 IU.", ["Dose 30", "000 IU.", "Or 4\U000e0020"], ["Dose", "Or"]),
+        ("Take 3 ½ spoons.", ["½ spoons", "Take 3"], ["spoons."]),
+        # signs across spaces, brackets, marks and look-alikes
+        ("Rate < (25 ml/min). See (part 9).", ["(25 ml/min).", "25 ml/min"], ["(part 9).", "part 9", "Rate"]),
+        ("Rate ≮ 25 ml. Rate <\u0332 35 ml. Rate <= 45 ml. Mean 9 +/- 4 mg.", ["25 ml.", "35 ml.", "45 ml.", "4 mg.", "Mean 9"], ["Rate", "Mean"]),
+        ("Rate ❮ 25 ml. Rate ‹25 ml. Rate < ( 35 ml ).", ["25 ml.", "35 ml"], ["Rate"]),
+        ("Count 50 × 10⁹/l. Down by 12 %. Half 1 / 2 cup.", ["Count 50", "Down by 12", "2 cup.", "Half 1"], ["Count", "Down by"]),
+        ("Count 50 (× 10⁹/l). Some 20 \u0301% of.", ["Count 50", "Some 20"], ["Count", "Some"]),
+        # what binds nothing: postfix signs before a quote, dashes, reference marks, plain punctuation
+        ("In 15 % 40 people. Stage 2* 60 mg. Brand® 70 mg. Range 8 – 9 mg.", ["In 15"], ["40 people.", "60 mg.", "70 mg.", "9 mg.", "Range 8"]),
+        ("Ratio was 0.61 (90% sure).", [], ["Ratio was 0.61"]),
+        ("Code \U0001d4007 mg. Then \U0001d401 dose.", ["7 mg"], ["\U0001d401 dose"]),
+        # cells are drawn side by side
+        (cells(["Adults", "10", "000 IU"], ["Old", "if <", "5 mg"]), ["10", "000 IU", "5 mg"], ["Adults", "Old"]),
+        ("x " + cells(["20", "000 IU"], ["a", "IU"]), ["000 IU"], ["IU"]),
+        (cells(["10", "Adults"], ["^", "000 IU"]), ["10", "000 IU"], ["Adults"]),
+        (cells(["5", "<", "000 mg"], ["x < then", "30 ml", "y"]), ["5", "000 mg", "30 ml"], ["x"]),
+        (cells(["30", "%"], ["40", "(%)"]), ["30", "40"], []),
+    ],
+)
+def test_where_quotes_may_begin_and_end(body, cut, whole):
+    assert [q for q in cut if quoting.find(body, q)] == []
+    for q in whole:
+        start, end = quoting.find(body, q)
+        assert body[start:end] == q
+
+
+def test_quotes_that_show_nothing():
+    assert not any(map(quoting.searchable, ["", " ", "\u2009\u200b", "a\ufffcb", "a\ufdd2b"]))
+    assert quoting.searchable("a b")
+
+
+def test_code_point_classes():
+    assert all(classes.is_gap(ord(c)) for c in " \t\u2009\u2800\u200b\ufe0f") and not any(classes.is_gap(ord(c)) for c in "a1-\u1680\ufffc")
+    assert all(classes.is_word(c) for c in "é1\u0301\u200d\u00ad") and not any(classes.is_word(c) for c in " .-°")
+
+
 @given(s.text(alphabet="ab 1.é😀", max_size=400))
 @settings(max_examples=150, deadline=None)
 def test_chunks_lose_only_spaces(t):
