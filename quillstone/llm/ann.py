@@ -24,8 +24,8 @@ from .common import materialize, partitions, table
 #: the rows between PARTS and PARTS_MOST, for which the sample holds enough rows each.
 SAMPLE, PARTS, PARTS_MOST = 4000, 16, 256
 NEIGHBOURS, TARGET = 12, 0.95
-#: Rows of a bin, and queries of a bin, that one task compares.
-BLOCK, QUERY_BLOCK = 8192, 20_000
+#: Rows of a bin (a task's share of the table within these bounds), and queries of a bin, that one task compares.
+BLOCK_LEAST, BLOCK_MOST, QUERY_BLOCK = 1024, 8192, 20_000
 
 
 def usable(v: Column) -> Column:
@@ -230,8 +230,8 @@ def _rank(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         yield from flush()
 
 
-def _bins(sizes: dict[int, int], loads: dict[int, int]) -> dict[int, tuple[int, int, int]]:
-    """(first bin, bins, query blocks) of every part. Parts of more than BLOCK rows, and those of a width
+def _bins(sizes: dict[int, int], loads: dict[int, int], block: int) -> dict[int, tuple[int, int, int]]:
+    """(first bin, bins, query blocks) of every part. Parts of more than block rows, and those of a width
     of their own, have bins to themselves; others share one as long as it has room."""
     out, at, shared, room = {}, 0, [], 0
 
@@ -243,12 +243,12 @@ def _bins(sizes: dict[int, int], loads: dict[int, int]) -> dict[int, tuple[int,
 
     for p in sorted({*sizes, *loads}):
         n = sizes.get(p, 0)
-        if p < 0 or n > BLOCK:
+        if p < 0 or n > block:
             close()
-            out[p] = (at, max(1, -(-n // BLOCK)), max(1, -(-loads.get(p, 0) // QUERY_BLOCK)))
+            out[p] = (at, max(1, -(-n // block)), max(1, -(-loads.get(p, 0) // QUERY_BLOCK)))
             at += out[p][1]
             continue
-        if room + n > BLOCK:
+        if room + n > block:
             close()
         shared.append(p)
         room += n
@@ -262,7 +262,7 @@ def _search(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     # One row a part (or another width), however large the table is.
     sizes = {r["p"]: r["n"] for r in placed.groupBy(F.col("parts")[0].alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
     loads = {r["p"]: r["n"] for r in asked.select(F.explode("parts").alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bins = _bins(sizes, loads)
+    bins = _bins(sizes, loads, min(BLOCK_MOST, max(BLOCK_LEAST, sum(sizes.values()) // partitions(spark))))
     spread = F.create_map(*[x for p, (first, n, blocks) in bins.items() for x in (F.lit(p), F.struct(F.lit(first).alias("first"), F.lit(n).alias("n"), F.lit(blocks).alias("blocks")))])
     h = F.xxhash64("row")
     own = spread[F.col("parts")[0]]

@@ -630,7 +630,7 @@ def test_queries_whose_parts_hold_too_few(spark, monkeypatch):
 
 
 def test_bins():
-    bins = ann._bins({-3: 5, 0: 4000, 1: 4000, 2: 4000, 3: 20_000}, {0: 30_000, 1: 1, 7: 2})
+    bins = ann._bins({-3: 5, 0: 4000, 1: 4000, 2: 4000, 3: 20_000}, {0: 30_000, 1: 1, 7: 2}, 8192)
     assert bins == {-3: (0, 1, 1), 0: (1, 1, 2), 1: (1, 1, 2), 2: (2, 1, 1), 3: (3, 3, 1), 7: (6, 1, 1)}
     assert [ann.parts_for(n) for n in (0, 500, 10_000, 50_000, 10**9)] == [16, 16, 64, 128, 256]
 
