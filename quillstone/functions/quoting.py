@@ -203,6 +203,14 @@ def _locate(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFra
 
 locate = arrow_udf(_locate, _SPAN)
 
+def _askable(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Whether a normalised quote can be looked for at all (null: it held a forbidden character)."""
+    for s in parts:
+        yield s.map(lambda q: isinstance(q, str) and searchable(q)).astype(bool)
+
+
+may_be_asked = arrow_udf(_askable, "boolean")
+
 LIMIT = 2000
 
 

@@ -175,14 +175,6 @@ def w13(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.sum("l_quantity").over(over).alias("carried"))
 
 
-@query("j12_quote_sections", f"WITH {SECTIONS_SQL}, q AS (SELECT item_id, split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) AS quote FROM benchmark), h AS (SELECT q.item_id, s.doc_id, s.pos, row_number() OVER (PARTITION BY q.item_id ORDER BY s.doc_id, s.pos) AS r FROM sections s JOIN q ON contains(s.body, q.quote)) SELECT item_id, doc_id, pos FROM h WHERE r = 1")
-def j12(spark: SparkSession, sf: str) -> DataFrame:
-    """The first section, in document order, that holds a quote."""
-    q = joins.small(table(spark, sf, "benchmark").select("item_id", F.substring_index("text", " ", 2).alias("quote")), 2000)
-    hit = sections(spark, sf).join(q, F.contains("body", "quote")).select("item_id", F.struct("doc_id", "pos").alias("at"))
-    return hit.groupBy("item_id").agg(F.min("at").alias("at")).select("item_id", "at.doc_id", "at.pos")
-
-
 @query("j21_binding", "SELECT s_suppkey, count(n_nationkey) = 1 AS bound FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")
 def j21(spark: SparkSession, sf: str) -> DataFrame:
     n = joins.small(table(spark, sf, "nation").select("n_nationkey"))

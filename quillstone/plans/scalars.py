@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, quoting, text, xhtml
 from ..sources.tables import table
+from .edges_sql import FORBIDDEN, WHITE, normal
 from .model import SECTIONS_SQL, sections
 from .registry import Registry
 
@@ -78,18 +79,18 @@ def n3(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.sha2(text.compose(F.col("text")), 256).alias("sha"))
 
 
-@query("n5_collapse", "SELECT doc_id, sha256(trim(regexp_replace(text, '[ \t\r\n\f\v]+', ' ', 'g'))) AS sha FROM documents")
+@query("n5_collapse", f"SELECT doc_id, sha256(trim(regexp_replace(text, '[{WHITE}]+', ' ', 'g'))) AS sha FROM documents")
 def n5(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.sha2(text.collapse(F.col("text")), 256).alias("sha"))
 
 
-@query("n_normalize", "SELECT doc_id, sha256(trim(regexp_replace(nfc_normalize(regexp_replace(text, '[­​﻿⁠]', '', 'g')), '[ \t\r\n\f\v]+', ' ', 'g'))) AS sha FROM documents")
+@query("n_normalize", f"SELECT doc_id, sha256({normal('text')}) AS sha FROM documents")
 def n_all(spark: SparkSession, sf: str) -> DataFrame:
     """The whole normalisation (the tables hold no bullets or ligatures: those are tested by hand-made rows)."""
     return table(spark, sf, "documents").select("doc_id", F.sha2(text.normalize(F.col("text")), 256).alias("sha"))
 
 
-@query("n6_forbidden", "SELECT doc_id, regexp_matches(text, '[\\x00-\\x08\\x0E-\\x1F]') AS refused FROM documents")
+@query("n6_forbidden", f"SELECT doc_id, regexp_matches(text, '[{FORBIDDEN}]') AS refused FROM documents")
 def n6(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.forbidden_at(F.col("text")).isNotNull().alias("refused"))
 
@@ -145,13 +146,6 @@ def x4(spark: SparkSession, sf: str) -> DataFrame:
     return spark.range(1, 1500).select(n.alias("n"), n.cast("string").alias("decimal"), text.base26_letter(n).alias("lower"), F.upper(text.base26_letter(n)).alias("upper"), text.roman(n).alias("roman"), text.repeated_letter(n).alias("label"))
 
 
-@query("q1_locate_quote")
-def q1(spark: SparkSession, sf: str) -> DataFrame:
-    """Quotes (the first five words of a line) located by the edge rule; the plain search runs before the UDF."""
-    s = sections(spark, sf).withColumn("quote", F.substring_index("body", " ", 5)).filter(F.length("quote") > 3)
-    return s.filter(F.contains("body", "quote")).select("doc_id", "pos", quoting.locate(F.col("body"), F.col("quote")).alias("at")).select("doc_id", "pos", "at.start", "at.end")
-
-
 @query("q3_chunks")
 def q3(spark: SparkSession, sf: str) -> DataFrame:
     """Documents cut into chunks of at most 2,000 UTF-16 units at spaces."""
