@@ -32,6 +32,12 @@ def _nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 nfc = arrow_udf(_nfc, "string")
 
 
+def unusual(c: Column) -> Column:
+    """The characters of a text but printable ASCII, tab, line breaks and Latin letters, on which no rule
+    but white space bears. It is mostly empty, and costs less than any test of the whole text."""
+    return F.regexp_replace(c, "[\\x20-\\x7e\\n\\t\\r\\u00a0-\\u00ac\\u00ae-\\u02ff]+", "")
+
+
 @functools.cache
 def _decomposing() -> str:
     """The code points, marks apart, that composition replaces by others, as ranges of a character class."""
@@ -48,7 +54,7 @@ def _decomposing() -> str:
 def compose(c: Column) -> Column:
     """NFC. Text without marks, joining letters and the few other code points that it changes is composed
     already; only other texts are sent to Python, the rest goes there as null."""
-    open_ = c.rlike(f"[\\p{{M}}\\u1100-\\u11ff{_decomposing()}]")
+    open_ = unusual(c).rlike(f"[\\p{{M}}\\u1100-\\u11ff{_decomposing()}]")
     return F.coalesce(nfc(F.when(open_, c)), c)
 
 
@@ -61,7 +67,7 @@ def expand_ligatures(c: Column) -> Column:
     out = c
     for one, many in LIGATURES.items():
         out = F.replace(out, F.lit(one), F.lit(many))
-    return F.when(c.rlike("[\\ufb00-\\ufb06]"), out).otherwise(c)
+    return F.when(unusual(c).rlike("[\\ufb00-\\ufb06]"), out).otherwise(c)
 
 
 def plain_bullets(c: Column) -> Column:
@@ -82,8 +88,10 @@ def collapse_template(c: Column) -> Column:
 def normalize(c: Column) -> Column:
     """The order matters: drop, expand, compose, bullets, white space. Text that holds a forbidden
     character is null: it cannot be compared."""
-    allowed = F.when(~c.rlike(FORBIDDEN), c)
-    return collapse(plain_bullets(compose(expand_ligatures(drop_invisible(allowed)))))
+    odd = unusual(c)
+    plain = F.when(odd.rlike(f"[{INVISIBLE}\\ufb00-\\ufb06]"), expand_ligatures(drop_invisible(c))).otherwise(c)
+    whole = compose(F.when(~odd.rlike(FORBIDDEN), plain))
+    return collapse(F.when(odd.rlike(f"[{BULLETS}]"), plain_bullets(whole)).otherwise(whole))
 
 
 def forbidden_at(c: Column) -> Column:
