@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, conformance, documents, files, quotes, scalars, scans, streams
+from . import aggregates, conformance, documents, files, quotes, scalars, scans, streams, verification
 
-MODULES = (quotes, documents, aggregates, scans, scalars, streams, conformance, files)
+MODULES = (quotes, verification, documents, aggregates, scans, scalars, streams, conformance, files)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 for module in MODULES:

@@ -23,8 +23,9 @@ sections AS (SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10))
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, pos, s, e: where each section stands in its document, in code points."""
     order = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    e = (F.sum(F.length("body") + 1).over(order) - 1).cast("int")
-    return sections(spark, sf_dir).select("doc_id", "pos", (e - F.length("body")).alias("s"), e.alias("e"))
+    narrow = sections(spark, sf_dir).select("doc_id", "pos", F.length("body").alias("n"))  # no text goes through the window
+    placed = narrow.withColumn("e", (F.sum(F.col("n") + 1).over(order) - 1).cast("int"))
+    return placed.select("doc_id", "pos", (F.col("e") - F.col("n")).alias("s"), "e")
 
 
 SPANS_SQL = (

@@ -152,19 +152,6 @@ def q3(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.posexplode(quoting.chunks(F.coalesce("text", F.lit("")))).alias("n", "c")).select("doc_id", "n", "c.start", "c.end")
 
 
-@query("q4_diff_hint", "WITH p AS (SELECT conv_id, turn, text AS a, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations) SELECT conv_id, turn, len(string_split(a, ' ')) AS words_before, len(string_split(b, ' ')) AS words_after, sha256(a) = sha256(b) AS equal FROM p WHERE b IS NOT NULL")
-def q4(spark: SparkSession, sf: str) -> DataFrame:
-    after = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    c = table(spark, sf, "conversations").withColumn("after", after).filter("after IS NOT NULL")
-    return c.select("conv_id", "turn", F.size(F.split("text", " ")).cast("long").alias("words_before"), F.size(F.split("after", " ")).cast("long").alias("words_after"), (F.sha2("text", 256) == F.sha2("after", 256)).alias("equal"))
-
-
-@query("q5_word_cuts", "SELECT doc_id, regexp_matches(substr(text, 50, 2), '^[A-Za-z0-9]{2}$') AS cuts FROM documents WHERE length(text) > 60")
-def q5(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether a span edge at a place would cut a word."""
-    return table(spark, sf, "documents").filter(F.length("text") > 60).select("doc_id", F.substring("text", 50, 2).rlike("^[A-Za-z0-9]{2}$").alias("cuts"))
-
-
 @query("q6_name_search", "SELECT p_partkey FROM part WHERE contains(lower(trim(p_name)), lower('Re'))")
 def q6(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").filter(F.contains(F.lower(F.trim("p_name")), F.lower(F.lit("Re")))).select("p_partkey")

@@ -211,16 +211,6 @@ def j3(spark: SparkSession, sf: str) -> DataFrame:
     return d.join(l, "doc_id", "full_outer").select("doc_id", F.when(F.col("l").isNull(), "missing-provenance").when(F.col("d").isNull(), "orphan").otherwise("paired").alias("state"))
 
 
-@query(
-    "j4_spans_on_pages",
-    f"WITH {SPANS_SQL}, pages2 AS (SELECT doc_id, CAST(length(text) AS INT) AS n FROM documents WHERE source <> 'src9') SELECT s.doc_id, s.pos, CASE WHEN p.n IS NULL THEN 'page-not-found' WHEN p.n - 10 > p.n THEN 'page-malformed' WHEN s.s < 0 OR s.e > p.n - 10 THEN 'outside-body' WHEN s.s >= s.e THEN 'span-order' END AS reason FROM spans s LEFT JOIN pages2 p USING (doc_id)",
-)
-def j4(spark: SparkSession, sf: str) -> DataFrame:
-    """Spans against their page's body; the first failing rule is the reason."""
-    p = table(spark, sf, "documents").filter("source <> 'src9'").select("doc_id", F.lit(1).alias("page"), F.length("text").alias("page_length"), F.lit(0).alias("body_start"), (F.length("text") - 10).alias("body_end"))
-    return span_ops.resolve(spans(spark, sf).withColumn("page", F.lit(1)), p).select("doc_id", "pos", "reason")
-
-
 @query(
     "j5_overlap",
     f"WITH {SPANS_SQL}, w AS (SELECT doc_id, pos, s, e + CASE WHEN pos % 3 = 1 THEN 5 ELSE 0 END AS e FROM spans), l AS (SELECT *, lag(e) OVER d AS be, lag(pos) OVER d AS bo FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY s, e, pos)) SELECT doc_id, pos, bo AS other FROM l WHERE s < be AND pos <> bo",
