@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -11,6 +13,8 @@ import pandas as pd
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..shipping import arrow_udf
+from . import classes
+from .quoting import ABOVE, CELL, LEFT, ROW, TABLE, TABLE_END
 
 # The elements and attributes that narrative may hold.
 BLOCK = frozenset("div p h1 h2 h3 h4 h5 h6 ul ol li table thead tbody tfoot tr td th caption blockquote dl dt dd hr".split())
@@ -20,16 +24,24 @@ PARENTS = {
     "caption": {"table"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"},
     "tr": {"table", "thead", "tbody", "tfoot"}, "td": {"tr"}, "th": {"tr"}, "li": {"ol", "ul"},
 }
-ATTRIBUTES = frozenset("class id lang style title xmlns xml:lang colspan rowspan start type src alt".split())
 ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
-SUPER = dict(zip("0123456789+-=()n", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻⁼⁽⁾ⁿ"))
-SUB = dict(zip("0123456789+-=()", "₀₁₂₃₄₅₆₇₈₉₊₋₌₍₎"))
+GREY = "background-color: silver;"
+SUPER = dict(zip("0123456789+-−=()", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻⁻⁼⁽⁾"))
+SUB = dict(zip("0123456789+-−=()", "₀₁₂₃₄₅₆₇₈₉₊₋₋₌₍₎"))
+PICTURE = "\ufffc"
+#: Slots that the tables of one narrative may cover together, and base64 characters of a picture.
+SLOTS, PICTURE_LENGTH = 50_000, 1_398_104
 DEPTH = 64
 
 _TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)((?:\s+[A-Za-z][\w:.-]*\s*=\s*(?:\"[^\"<]*\"|'[^'<]*'))*)\s*(/?)>")
 _ATTRIBUTE = re.compile(r"([A-Za-z][\w:.-]*)\s*=\s*(\"[^\"<]*\"|'[^'<]*')")
 _ENTITY = re.compile(r"&(?:#([0-9]{1,7})|#x([0-9A-Fa-f]{1,6})|([A-Za-z]+));")
-_FORBIDDEN = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f﷐-﷯￾￿]")
+_FORBIDDEN = re.compile(f"[{classes.pattern(*classes.FORBIDDEN)}]")
+_RESERVED = re.compile(f"[{classes.pattern(*classes.RESERVED)}]")
+_BREAKS = re.compile("[\u00ad\u200b]")
+_SPAN = re.compile("[1-9][0-9]{0,2}|1000")
+_TOKEN = re.compile("[A-Za-z0-9_.:-]{1,32}")
+_PICTURE = re.compile("data:image/(?:png|jpeg);base64,([A-Za-z0-9+/]+={0,2})")
 
 
 class Refused(ValueError):
@@ -39,7 +51,9 @@ class Refused(ValueError):
 
 
 def list_marker(style: str, n: int) -> str:
-    """Marker of the nth item: 1, a, A, i or I style."""
+    """Marker of the nth item: 1, a, A, i or I style; a number that the style has no form for is decimal."""
+    if n < 1 or (style in "iI" and n > 3999):
+        return f"{n}. "
     if style in "iI":
         text = ""
         for value, mark in ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
@@ -55,32 +69,135 @@ def list_marker(style: str, n: int) -> str:
     return (text.upper() if style in "AI" else text) + ". "
 
 
+def attribute_fits(element: str, name: str, value: str, root: bool) -> bool:
+    """Whether an attribute may stand on an element, with a value that can carry no text."""
+    if name == "xmlns":
+        return root and value == "http://www.w3.org/1999/xhtml"
+    if name in ("lang", "xml:lang"):
+        return root and bool(_TOKEN.fullmatch(value))
+    if name in ("colspan", "rowspan"):
+        return element in ("td", "th") and bool(_SPAN.fullmatch(value))
+    if name == "src":
+        data = _PICTURE.fullmatch(value) if element == "img" else None
+        return bool(data) and len(data[1]) % 4 == 0 and len(data[1]) <= PICTURE_LENGTH
+    shapes = {"scope": ("th", _TOKEN), "type": ("ol", re.compile("[1aAiI]")), "start": ("ol", re.compile("0|-?[1-9][0-9]{0,3}")), "style": ("span", re.compile(re.escape(GREY)))}
+    on, shape = shapes.get(name, (None, None))
+    return on == element and bool(shape.fullmatch(value))
+
+
+def script(element: str, c: str) -> str | None:
+    """What raised or lowered text makes of a character; None if it has no such form."""
+    own = SUPER if element == "sup" else SUB
+    if c in own:
+        return own[c]
+    if c in own.values() or (element == "sub" and c == "∞"):
+        return c
+    kind = unicodedata.category(c)
+    other = SUB if element == "sup" else SUPER
+    return None if c in "±∓" or c in other.values() or kind[0] == "N" or kind in ("Sm", "Ps", "Pe", "Pd") else c
+
+
+class Grid:
+    """One table while it is read: which columns cells of rows above still reach into, and what is wrong.
+
+    A cell takes the first free slot of its row. Slots that a cell covers but does not begin in are
+    written as markers, so the text tells which cells stand side by side."""
+
+    def __init__(self):
+        self.hanging: dict[int, int] = {}  # column: further rows that a cell from above covers
+        self.fresh: dict[int, int] = {}
+        self.taken: set[int] = set()
+        self.at, self.width, self.single, self.narrow, self.span = 0, None, False, set(), 1
+        self.seen: list[str] = []
+
+    def part(self, name: str) -> str | None:
+        """Take note of a caption, row group or bare row; the refusal if it may not come here."""
+        if name == "tr":
+            return "table-structure" if set(self.seen) & {"thead", "tbody", "tfoot"} else None
+        if "tr" in self.seen or (name == "caption" and self.seen):
+            return "table-structure"
+        ranks = {"caption": 0, "thead": 1, "tbody": 2, "tfoot": 3}
+        last = max((ranks[x] for x in self.seen), default=0)
+        return "table-section-order" if name != "caption" and (ranks[name] < last or (ranks[name] == last and name != "tbody")) else None
+
+    def row(self) -> str:
+        self.fresh, self.taken, self.at, self.single = {}, set(self.hanging), 0, False
+        return ROW
+
+    def cell(self, columns: int, rows: int) -> str:
+        """Markers before a cell."""
+        passed = ""
+        while self.at in self.hanging:
+            passed += f"\t{ABOVE}\t"
+            self.at += 1
+        own = range(self.at, self.at + columns)
+        if any(c in self.taken for c in own):
+            raise ValueError
+        self.taken |= set(own)
+        if rows > 1:
+            self.fresh |= dict.fromkeys(own, rows - 1)
+        else:
+            self.single = True
+        if columns == 1:
+            self.narrow.add(self.at)
+        self.at, self.span = self.at + columns, columns
+        return passed
+
+    def end_row(self) -> str:
+        passed = "".join(f"\t{ABOVE}\t" for c in self.hanging if c >= self.at)
+        whole = self.taken == set(range(len(self.taken)))
+        if (self.taken and not self.single) or not whole or self.width not in (None, len(self.taken)):
+            raise ValueError
+        self.width = len(self.taken)
+        self.hanging = {c: n - 1 for c, n in self.hanging.items() if n > 1} | self.fresh
+        return passed
+
+    def end_group(self) -> None:
+        if self.hanging:
+            raise ValueError
+
+    def end(self) -> None:
+        if self.hanging or set(range(self.width or 0)) - self.narrow:
+            raise ValueError
+
+
 def to_text(div: str) -> str:
     """Text of a narrative div; raises Refused with the first offence and its code-point offset."""
-    if m := _FORBIDDEN.search(div):
-        raise Refused("forbidden-character", m.start())
+    for pattern, code in ((_FORBIDDEN, "forbidden-character"), (_RESERVED, "reserved-character"), (_BREAKS, "invisible-character")):
+        if m := pattern.search(div):
+            raise Refused(code, m.start())
     out: list[str] = []
     stack: list[list] = []  # name, offset, list style, next number
-    at, closed = 0, False
+    grids: list[Grid] = []
+    at, closed, slots, cells = 0, False, 0, 0
 
     def write(text: str, offset: int) -> None:
         if not stack:
             if text.strip(" \t\r\n"):
                 raise Refused("text-outside-root", offset)
             return
-        script = next((s[0] for s in reversed(stack) if s[0] in ("sup", "sub")), None)
-        if script:
-            table = SUPER if script == "sup" else SUB
-            try:
-                text = "".join(c if c == " " else table[c] for c in text)
-            except KeyError:
-                raise Refused("unmappable-script", offset) from None
+        if stack[-1][0] in ("sup", "sub"):
+            raised = [script(stack[-1][0], c) for c in text]
+            if None in raised:
+                raise Refused("unmappable-script", offset + raised.index(None))
+            text = "".join(raised)
         elif stack[-1][0] in ("ol", "ul") and text.strip(" \t\r\n"):
             raise Refused("list-content", offset)
         elif stack[-1][0] in ("table", "thead", "tbody", "tfoot", "tr") and text.strip(" \t\r\n"):
             raise Refused("table-content", offset)
+        if "]]>" in text:
+            raise Refused("cdata", offset + text.index("]]>"))
         out.append(text)
 
+    def shaped(step, *args):
+        try:
+            return step(*args)
+        except ValueError:
+            raise Refused("table-shape", at) from None
+
+    def line_break(name: str) -> str:
+        return "\t" if name in ("td", "th") or cells else "\n"
+
     while at < len(div):
         c = div[at]
         if c == "&":
@@ -93,8 +210,9 @@ def to_text(div: str) -> str:
             text = chr(code) if code is not None else ENTITIES.get(m[3])
             if text is None:
                 raise Refused("unknown-entity", at)
-            if _FORBIDDEN.match(text):
-                raise Refused("forbidden-character", at)
+            for pattern, refusal in ((_FORBIDDEN, "forbidden-character"), (_RESERVED, "reserved-character"), (_BREAKS, "invisible-character")):
+                if pattern.match(text):
+                    raise Refused(refusal, at)
             write(text, at)
             at = m.end()
         elif c == "<":
@@ -109,8 +227,9 @@ def to_text(div: str) -> str:
                 raise Refused("uppercase-element", at)
             if name not in BLOCK and name not in INLINE and name != "br":
                 raise Refused("unknown-element", at)
-            pairs = dict(_ATTRIBUTE.findall(attributes))
-            if set(pairs) - ATTRIBUTES or end and pairs:
+            pairs = {k: v[1:-1] for k, v in _ATTRIBUTE.findall(attributes)}
+            fits = all(attribute_fits(name, k, v, not stack) for k, v in pairs.items())
+            if not fits or end and pairs or (name == "img" and "src" not in pairs):
                 raise Refused("forbidden-attribute", at)
             if closed:
                 raise Refused("multiple-roots", at)
@@ -123,8 +242,18 @@ def to_text(div: str) -> str:
                     raise Refused("misnested-tag", at)
                 stack.pop()
                 closed = not stack
+                if name in ("thead", "tbody", "tfoot"):
+                    shaped(grids[-1].end_group)
+                elif name == "table":
+                    shaped(grids.pop().end)
+                    out.append("\n" + TABLE_END)
+                elif name == "tr":
+                    out.append(shaped(grids[-1].end_row))
+                cells -= name in ("td", "th")
                 if name in BLOCK:
-                    out.append("\n")
+                    out.append(line_break(name))
+                if name in ("td", "th"):
+                    out.append(f"\t{LEFT}\t" * (grids[-1].span - 1))
             elif bool(empty) != (name in VOID):
                 raise Refused("void-element", at)
             else:
@@ -135,19 +264,44 @@ def to_text(div: str) -> str:
                     raise Refused("list-content", at)
                 if parent in ("table", "thead", "tbody", "tfoot", "tr") and name not in PARENTS:
                     raise Refused("table-content", at)
-                if any(s[0] in ("sup", "sub") for s in stack) and name in BLOCK:
+                if parent in ("sup", "sub"):
                     raise Refused("script-content", at)
+                if name == "hr" and cells:
+                    raise Refused("table-content", at)
                 if len(stack) >= DEPTH:
                     raise Refused("nesting-depth", at)
+                if name == "table" and grids:
+                    raise Refused("table-structure", at)
+                if name in ("caption", "thead", "tbody", "tfoot", "tr") and grids:
+                    if (name != "tr" or parent == "table") and (refusal := grids[-1].part(name)):
+                        raise Refused(refusal, at)
+                    if name != "tr" or parent == "table":
+                        grids[-1].seen.append(name)
+                if name in ("td", "th"):
+                    columns, rows = int(pairs.get("colspan", 1)), int(pairs.get("rowspan", 1))
+                    slots += columns * rows
+                    if slots > SLOTS:
+                        raise Refused("table-size", at)
+                    out.append(shaped(grids[-1].cell, columns, rows))
                 if name in BLOCK or name == "br":
-                    out.append("\n")
+                    out.append(line_break(name))
+                if name == "table":
+                    out.append(TABLE)
+                    grids.append(Grid())
+                elif name == "tr":
+                    out.append(grids[-1].row())
+                elif name in ("td", "th"):
+                    out.append(CELL + "\t")
+                elif name == "img":
+                    out.append(PICTURE + hashlib.sha256(pairs["src"].encode()).hexdigest() + PICTURE)
                 if name == "li" and parent == "ol":
                     out.append(list_marker(stack[-1][2], stack[-1][3]))
                     stack[-1][3] += 1
-                if not empty:
-                    value = lambda k, d: pairs.get(k, f'"{d}"')[1:-1]
-                    start = value("start", "1")
-                    stack.append([name, at, value("type", "1"), int(start) if start.isdigit() else 1])
+                if empty:
+                    out.append(line_break(name) if name in BLOCK else "")
+                else:
+                    cells += name in ("td", "th")
+                    stack.append([name, at, pairs.get("type", "1"), int(pairs.get("start", 1))])
             at = m.end()
         else:
             stop = min((i for i in (div.find("<", at), div.find("&", at)) if i >= 0), default=len(div))

@@ -162,7 +162,10 @@ def test_alignment_score():
     "div,want",
     [
         ("<div><b>ﬃ</b></div>", "\nﬃ\n"), ("<div><p>a &amp; b</p></div>", "\n\na & b\n\n"), ("<div>10<sup>9</sup></div>", "\n10⁹\n"),
-        ('<div><ol type="i" start="4"><li>x</li></ol></div>', "\n\n\niv. x\n\n\n"), ("<div>a<br/>b</div>", "\na\nb\n"),
+        ('<div><ol type="i" start="4"><li>x</li></ol></div>', "\n\n\niv. x\n\n\n"), ("<div>a<br/>b</div>", "\na\nb\n"), ("<div><sup>a−2</sup><sub>x(1)</sub></div>", "\na⁻²x₍₁₎\n"),
+        ('<div><table><tr><td rowspan="2">a</td><td>b</td></tr><tr><td>c<br/>d</td></tr></table></div>', "\n\n\ufdd0\n\ufdd2\t\ufdd3\ta\t\t\ufdd3\tb\t\n\n\ufdd2\t\ufdd5\t\t\ufdd3\tc\td\t\n\n\ufdd1\n\n"),
+        ('<div><table><tr><td colspan="2">a</td></tr><tr><td>b</td><td>c</td></tr></table></div>', "\n\n\ufdd0\n\ufdd2\t\ufdd3\ta\t\t\ufdd4\t\n\n\ufdd2\t\ufdd3\tb\t\t\ufdd3\tc\t\n\n\ufdd1\n\n"),
+        ('<div><img src="data:image/png;base64,AAAA"/></div>', "\n\ufffc" + hashlib.sha256(b"data:image/png;base64,AAAA").hexdigest() + "\ufffc\n"),
     ],
 )
 def test_narrative_text(div, want):
@@ -175,7 +178,11 @@ def test_narrative_text(div, want):
         ("<!DOCTYPE html>", "doctype"), ("<div><!-- x --></div>", "comment"), ("<div><u>x</u></div>", "unknown-element"), ("<p>x</p>", "root-not-div"), ("<div>a & b</div>", "stray-amp"),
         ("<div>&nope;</div>", "unknown-entity"), ("<div><b></div>", "misnested-tag"), ("<div>", "unbalanced-tag"), ("<div/>", "void-element"), ("<div><br></div>", "void-element"),
         ("<DIV></DIV>", "uppercase-element"), ('<div onclick="x"></div>', "forbidden-attribute"), ("<div></div><div></div>", "multiple-roots"), ("x<div></div>", "text-outside-root"),
-        ("<div><sup>Q</sup></div>", "unmappable-script"), ("<div><li>x</li></div>", "list-content"), ("<div>1 < 2</div>", "stray-lt"), ("<div>\x01</div>", "forbidden-character"),
+        ("<div><sup>½</sup></div>", "unmappable-script"), ("<div><sub>⁵</sub></div>", "unmappable-script"), ("<div>a\u00adb</div>", "invisible-character"), ("<div>\ufdd0</div>", "reserved-character"),
+        ("<div><span style='color: red'>x</span></div>", "forbidden-attribute"), ("<div><img/></div>", "forbidden-attribute"), ("<div><table><tr><td>a</td></tr><tr><td>b</td><td>c</td></tr></table></div>", "table-shape"),
+        ('<div><table><tr><td rowspan="2">a</td></tr></table></div>', "table-shape"), ('<div><table><tr><td colspan="1000" rowspan="51">a</td></tr></table></div>', "table-size"),
+        ("<div><table><tbody><tr><td>a</td></tr></tbody><thead><tr><td>b</td></tr></thead></table></div>", "table-section-order"), ("<div><table><tr><td>a</td></tr><caption>x</caption></table></div>", "table-structure"),
+        ("<div><table><tr><td><table></table></td></tr></table></div>", "table-structure"), ("<div><table><tr><td><hr/></td></tr></table></div>", "table-content"), ("<div><li>x</li></div>", "list-content"), ("<div>1 < 2</div>", "stray-lt"), ("<div>\x01</div>", "forbidden-character"),
     ],
 )
 def test_narrative_refusals(div, code):
