@@ -36,10 +36,10 @@ def resolve(spans: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def outside(places: DataFrame, others: DataFrame, key: list[str]) -> DataFrame:
-    """places (s, e) that no place of ``others`` of the same key contains."""
-    o = others.select(*key, F.col("s").alias("os"), F.col("e").alias("oe"))
-    same = [places[k] == o[k] for k in key]
-    held = (o["os"] <= places["s"]) & (places["e"] <= o["oe"])
-    for c in same:
-        held = held & c
-    return places.join(o, held, "left_anti")
+    """places (key, pos, s, e) that no place of ``others`` of the same key contains: one sweep by start, in
+    which a place is contained if an earlier start reaches at least as far. Nothing is paired."""
+    o = others.select(*key, "s", "e", F.lit(None).cast("long").alias("pos"), F.lit(0).alias("kind"))
+    p = places.select(*key, "s", "e", F.col("pos").cast("long").alias("pos"), F.lit(1).alias("kind"))
+    over = Window.partitionBy(*key).orderBy("s", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = o.unionByName(p).withColumn("reach", F.max(F.when(F.col("kind") == 0, F.col("e"))).over(over))
+    return swept.filter((F.col("kind") == 1) & ~F.coalesce(F.col("reach") >= F.col("e"), F.lit(False))).drop("kind", "reach")

@@ -40,23 +40,36 @@ def src4(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").filter("user_id = 3").orderBy(F.desc("ts"), "event_id").limit(20).select("event_id", "user_id", "ts")
 
 
+BUDGET = 6000
+
+
 @query(
     "src5_hash_pinned_read",
-    "WITH pins AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'stale' ELSE sha256(text) END AS pin FROM documents WHERE text IS NOT NULL) SELECT d.doc_id, length(d.text) AS n_code_points, sha256(d.text) = p.pin AS trusted FROM documents d JOIN pins p USING (doc_id)",
+    f"""WITH p AS (SELECT doc_id // 3 AS submission, doc_id, text, CASE WHEN doc_id % 10 = 7 THEN repeat('0', 64) ELSE sha256(text) END AS pin, sum(octet_length(encode(text))) OVER (PARTITION BY doc_id // 3 ORDER BY doc_id) AS used FROM documents WHERE text IS NOT NULL)
+SELECT submission, doc_id, CASE WHEN used > {BUDGET} THEN 'too-large' WHEN sha256(text) <> pin THEN 'hash-mismatch' ELSE 'trusted' END AS outcome FROM p""",
 )
 def src5(spark: SparkSession, sf: str) -> DataFrame:
-    """Reads are trusted only if the content hashes to the pin that came with the request."""
+    """Parts of submissions (three documents each) against their pins: parts share one byte budget and are read
+    in order, so what comes after it is used up is not looked at; what is read is trusted only if it hashes to
+    its pin. Lengths and digests are taken in the scan: no text is shuffled, and pins are digests."""
     docs = table(spark, sf, "documents").filter("text IS NOT NULL")
-    pins = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, "stale").otherwise(hashing.sha256_text(F.col("text"))).alias("pin"))
-    return docs.join(pins, "doc_id").select("doc_id", F.length("text").cast("long").alias("n_code_points"), (hashing.sha256_text(F.col("text")) == F.col("pin")).alias("trusted"))
+    parts = docs.select(F.expr("doc_id DIV 3").alias("submission"), "doc_id", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("sha"))
+    pin = F.when(F.col("doc_id") % 10 == 7, F.lit("0" * 64)).otherwise(F.col("sha"))
+    used = F.sum("n").over(Window.partitionBy("submission").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return parts.withColumns({"pin": pin, "used": used}).select("submission", "doc_id", F.when(F.col("used") > BUDGET, "too-large").when(F.col("sha") != F.col("pin"), "hash-mismatch").otherwise("trusted").alias("outcome"))
 
 
-@query("src6_strict_json", "SELECT event_id, json_valid(props) AS readable, json_extract_string(props, '$.page') AS page FROM events")
+@query(
+    "src6_strict_json",
+    "SELECT event_id, json_valid(props) AND event_id % 7 <> 3 AND event_id % 11 <> 5 AS readable FROM events",
+)
 def src6(spark: SparkSession, sf: str) -> DataFrame:
-    """Properties as VARIANT; what is no JSON is null, not an error."""
-    e = table(spark, sf, "events")
-    v = F.try_parse_json("props")
-    return e.select("event_id", v.isNotNull().alias("readable"), F.try_variant_get(v, "$.page", "string").alias("page"))
+    """Properties read strictly: what is no JSON, or names a key of an object twice, is refused. Every seventh
+    row is given a second key of a name here, every eleventh a missing brace."""
+    e, n = table(spark, sf, "events"), F.col("event_id")
+    twice = F.concat(F.lit('{"x": {"k": 1, "k": 2}, "y": '), "props", F.lit("}"))
+    given = F.when(n % 7 == 3, twice).when(n % 11 == 5, F.concat("props", F.lit("}"))).otherwise(F.col("props"))
+    return e.select("event_id", hashing.canonical_json(given).isNotNull().alias("readable"))
 
 
 @query("src15_json_lines", "SELECT doc_id, lang, n_chars FROM documents")
@@ -66,10 +79,15 @@ def src15(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.from_json("line", "doc_id long, lang string, n_chars long", {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
-@query("src16_prefix_listing", "SELECT page_id, url FROM pages WHERE starts_with(url, 'http') ORDER BY url, page_id LIMIT 1000")
+LISTED = 100_000
+
+
+@query("src16_prefix_listing", f"SELECT page_id, url, count(*) OVER () > {LISTED} AS refused FROM pages WHERE starts_with(url, 'http')")
 def src16(spark: SparkSession, sf: str) -> DataFrame:
-    """One listing page of a prefix; the prefix is pushed to the scan."""
-    return table(spark, sf, "pages").filter(F.col("url").startswith("http")).orderBy("url", "page_id").limit(1000).select("page_id", "url")
+    """The whole listing of a prefix, which is pushed to the scan; a listing of more than 100,000 names is refused (flagged)."""
+    named = table(spark, sf, "pages").filter(F.col("url").startswith("http")).select("page_id", "url")
+    over = named.limit(LISTED + 1).agg((F.count(F.lit(1)) > LISTED).alias("refused"))
+    return named.crossJoin(F.broadcast(over))  # one row
 
 
 @query("src17_point_query", "SELECT conv_id AS id, turn AS version_id FROM conversations WHERE conv_id = 5 AND turn = 0 LIMIT 1")
@@ -88,6 +106,26 @@ def src18(spark: SparkSession, sf: str) -> DataFrame:
     return d.groupBy("content_sha256").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n_copies"))
 
 
+def stored(docs: DataFrame, digests: DataFrame) -> DataFrame:
+    """content_sha256, source, result: the reads of the store for asked digests; result is the reading of the
+    source (its number of sections), and both are null where nothing is stored under the digest."""
+    kept = docs.select(hashing.sha256_text(F.coalesce("text", F.lit(""))).alias("content_sha256"), F.coalesce("text", F.lit("")).alias("source"))
+    asked = kept.join(joins.small(digests), "content_sha256", "left_semi").dropDuplicates(["content_sha256"])
+    return digests.join(asked, "content_sha256", "left").select("content_sha256", "source", F.when(F.col("source").isNotNull(), F.size(F.split("source", "\n"))).alias("result"))
+
+
+@query(
+    "src18_store_reads",
+    "WITH a AS (SELECT DISTINCT CASE WHEN item_id % 2 = 0 THEN sha256(coalesce((SELECT text FROM documents d WHERE d.doc_id = item_id), '')) ELSE sha256('absent' || item_id) END AS content_sha256 FROM benchmark), s AS (SELECT sha256(coalesce(text, '')) AS content_sha256, any_value(coalesce(text, '')) AS source FROM documents GROUP BY 1) SELECT content_sha256, sha256(source) AS source_sha256, CAST(len(string_split(source, chr(10))) AS INT) AS result FROM a LEFT JOIN s USING (content_sha256)",
+)
+def src18b(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources and results read back by digest; every second digest is not stored."""
+    d = table(spark, sf, "documents")
+    known = table(spark, sf, "benchmark").select("item_id").join(d.select(F.col("doc_id").alias("item_id"), "text"), "item_id", "left")
+    digest = F.when(F.col("item_id") % 2 == 0, F.sha2(F.coalesce("text", F.lit("")), 256)).otherwise(F.sha2(F.concat(F.lit("absent"), F.col("item_id").cast("string")), 256))
+    return stored(d, known.select(digest.alias("content_sha256")).distinct()).select("content_sha256", F.sha2("source", 256).alias("source_sha256"), "result")
+
+
 @query("f1_flatten_sections", f"WITH {SECTIONS_SQL} SELECT doc_id, pos, 'section[' || pos || ']' AS path, sha256(body) AS body_sha256 FROM sections")
 def f1(spark: SparkSession, sf: str) -> DataFrame:
     """All sections in document order, each with its path; a generator, no shuffle."""

@@ -91,13 +91,13 @@ def w10(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "w11_block_cap",
-    "WITH b AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS n, count(*) OVER (PARTITION BY conv_id) AS total FROM conversations) SELECT conv_id, turn, 'block-' || lpad(CAST(n AS VARCHAR), 2, '0') AS block, greatest(total - 2, 0) AS not_shown FROM b WHERE n <= 2",
+    "WITH b AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS n, count(*) OVER (PARTITION BY conv_id) AS total FROM conversations) SELECT conv_id, turn, 'block-' || lpad(CAST(n AS VARCHAR), 2, '0') AS block, greatest(total - 8, 0) AS not_shown FROM b WHERE n <= 8",
 )
 def w11(spark: SparkSession, sf: str) -> DataFrame:
     """Numbered blocks up to a cap, and how many are not shown."""
     own = Window.partitionBy("conv_id")
     b = table(spark, sf, "conversations").select("conv_id", "turn", F.row_number().over(own.orderBy("turn", "role")).alias("n"), F.count(F.lit(1)).over(own).alias("total"))
-    return b.filter("n <= 2").select("conv_id", "turn", F.format_string("block-%02d", "n").alias("block"), F.greatest(F.col("total") - 2, F.lit(0)).alias("not_shown"))
+    return b.filter("n <= 8").select("conv_id", "turn", F.format_string("block-%02d", "n").alias("block"), F.greatest(F.col("total") - 8, F.lit(0)).alias("not_shown"))
 
 
 @query("w12_first_appearance", "SELECT body_sha256, doc_id, pos FROM (SELECT sha256(text) AS body_sha256, conv_id AS doc_id, turn AS pos, row_number() OVER (PARTITION BY text ORDER BY conv_id, turn) r FROM conversations WHERE text IS NOT NULL) WHERE r = 1")
@@ -284,13 +284,19 @@ def j11(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("j15_as_of", "SELECT o.o_orderkey, max(e.ts) AS as_of FROM orders o LEFT JOIN events e ON e.user_id = o.o_custkey % 50 AND e.ts <= TIMESTAMP '2024-01-10' + to_days(CAST(o.o_orderkey % 15 AS INT)) GROUP BY 1")
 def j15(spark: SparkSession, sf: str) -> DataFrame:
-    """As-of: the newest entry at or before a time, by an equi-join and a running maximum."""
-    e = table(spark, sf, "events").select(F.col("user_id").alias("k"), "ts", F.lit(None).cast("long").alias("o_orderkey"))
+    """As-of: the newest entry at or before a time. Keys are cut into days: a running maximum inside each
+    day, and the newest entry of all days before, carried along a key's few days. So a key with very many
+    entries is as many tasks as it has days."""
+    e = table(spark, sf, "events").select(F.col("user_id").alias("k"), "ts", F.to_date("ts").alias("day"), F.lit(None).cast("long").alias("o_orderkey"))
     at = F.expr("timestamp_ntz'2024-01-10 00:00:00' + make_dt_interval(cast(o_orderkey % 15 as int))")
-    o = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("k"), at.alias("ts"), "o_orderkey")
-    over = Window.partitionBy("k").orderBy("ts", F.col("o_orderkey").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = e.unionByName(o).withColumn("as_of", F.max(F.when(F.col("o_orderkey").isNull(), F.col("ts"))).over(over))
-    return both.filter("o_orderkey IS NOT NULL").select("o_orderkey", "as_of")
+    o = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("k"), at.alias("ts"), F.to_date(at).alias("day"), "o_orderkey")
+    both = e.unionByName(o)
+    is_event = F.col("o_orderkey").isNull()
+    days = both.groupBy("k", "day").agg(F.max(F.when(is_event, F.col("ts"))).alias("newest"))
+    carried = days.select("k", "day", F.max("newest").over(Window.partitionBy("k").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    inside = Window.partitionBy("k", "day").orderBy("ts", F.col("o_orderkey").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = both.withColumn("own", F.max(F.when(is_event, F.col("ts"))).over(inside)).filter("o_orderkey IS NOT NULL")
+    return seen.join(carried, ["k", "day"]).select("o_orderkey", F.coalesce("own", "carried").alias("as_of"))
 
 
 @query(
@@ -356,16 +362,19 @@ def l3(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("present"))
 
 
-@query("l5_canonical_order", "SELECT user_id, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_type, event_id) AS ids FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1")
+@query("l5_canonical_order", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id) AS place FROM events WHERE event_type IN ('error', 'signup')")
 def l5(spark: SparkSession, sf: str) -> DataFrame:
+    """Findings in canonical order, each with its place: rows, not one list a key."""
     e = table(spark, sf, "events").filter(F.col("event_type").isin("error", "signup"))
-    return e.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_type", "event_id"))), lambda x: x["event_id"].cast("string")), ",").alias("ids"))
+    return e.select("user_id", "event_id", F.row_number().over(Window.partitionBy("user_id").orderBy("event_type", "event_id")).cast("long").alias("place"))
 
 
-@query("l6_capped_lists", "SELECT l_partkey, array_to_string(list_slice(list_sort(list(DISTINCT l_suppkey)), 1, 3), ',') AS identifiers FROM lineitem GROUP BY 1")
+@query("l6_capped_lists", "SELECT l_partkey, array_to_string(list_slice(list_sort(list(DISTINCT l_suppkey)), 1, 20), ',') AS identifiers FROM lineitem GROUP BY 1")
 def l6(spark: SparkSession, sf: str) -> DataFrame:
-    """Identifier lists cut at a length."""
-    return table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.array_join(F.slice(F.array_sort(F.collect_set("l_suppkey")), 1, 3), ",").alias("identifiers"))
+    """The first twenty identifiers of each product: a rank limit below the shuffle, then lists of bounded length."""
+    pairs = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    first = pairs.withColumn("n", F.row_number().over(Window.partitionBy("l_partkey").orderBy("l_suppkey"))).filter("n <= 20")
+    return first.groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_list("l_suppkey")), ",").alias("identifiers"))
 
 
 # sets
@@ -381,10 +390,14 @@ def u2(spark: SparkSession, sf: str) -> DataFrame:
     "WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark), ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i+7], ' '))) AS s FROM w WHERE len(w) >= 8), bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i+7], ' '))) AS s FROM b WHERE len(w) >= 8) SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY 1, 2",
 )
 def u3(spark: SparkSession, sf: str) -> DataFrame:
-    """Shared runs of eight words: benchmark shingles against all documents' shingles, by their hash,
-    checked by the words themselves."""
-    of = lambda t, k: table(spark, sf, t).filter("text IS NOT NULL").select(k, F.explode(text.shingles(F.col("text"), 8)).alias("s"))
-    return of("documents", "doc_id").join(joins.small(of("benchmark", "item_id"), 100_000), "s").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
+    """Shared runs of eight words: two 64-bit hashes a run, the benchmark's against all documents'. No words
+    are shuffled, and documents' runs not at all while the benchmark is small."""
+
+    def of(name: str, key: str) -> DataFrame:
+        runs = F.transform(F.array(text.words(F.col("text"))), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 7, F.lit(1))), lambda i: F.struct(F.xxhash64(F.slice(w, i, 8)).alias("a"), F.xxhash64(F.lit(7), F.slice(w, i, 8)).alias("b"), F.size(F.slice(w, i, 8)).alias("n"))))
+        return table(spark, sf, name).filter("text IS NOT NULL").select(key, F.explode(F.array_distinct(F.filter(runs[0], lambda r: r["n"] == 8))).alias("r")).select(key, "r.a", "r.b")
+
+    return of("documents", "doc_id").join(joins.small(of("benchmark", "item_id"), 100_000), ["a", "b"]).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
 
 
 @query("u5_issue_union", "SELECT doc_id, 'short' AS issue FROM documents WHERE n_chars < 100 UNION ALL SELECT doc_id, 'unlabelled' FROM documents ANTI JOIN labels USING (doc_id)")
