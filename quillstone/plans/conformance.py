@@ -23,54 +23,11 @@ def template_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "template int, pattern string, anchor string")
 
 
-@query("f9_target_tree", "WITH t AS (SELECT c_custkey, c_nationkey, c_mktsegment, lag(c_nationkey) OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS prev FROM customer) SELECT c_custkey, n_nationkey IS NULL AS unknown_code, coalesce(c_nationkey < prev, false) AS out_of_order FROM t LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey < 4")
-def f9(spark: SparkSession, sf: str) -> DataFrame:
-    """Codes that the target does not know, and siblings out of order."""
-    prev = F.lag("c_nationkey").over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
-    known = joins.small(table(spark, sf, "nation").filter("n_regionkey < 4").select("n_nationkey"))
-    c = table(spark, sf, "customer").withColumn("prev", prev).join(known, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return c.select("c_custkey", F.col("n_nationkey").isNull().alias("unknown_code"), F.coalesce(F.col("c_nationkey") < F.col("prev"), F.lit(False)).alias("out_of_order"))
-
-
-@query("f10_profiles", "SELECT p_partkey, list_contains(string_split(p_type, ' '), 'STEEL') AS has_profile FROM part")
-def f10(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select("p_partkey", F.array_contains(F.split("p_type", " "), "STEEL").alias("has_profile"))
-
-
-@query("f14_source_kind", "SELECT doc_id, CASE WHEN lang = 'en' AND source IS NULL THEN 'source-missing' WHEN lang <> 'en' AND n_chars > 5000 THEN 'kind-mismatch' ELSE 'consistent' END AS state FROM documents")
-def f14(spark: SparkSession, sf: str) -> DataFrame:
-    en = F.col("lang") == "en"
-    return table(spark, sf, "documents").select("doc_id", F.when(en & F.col("source").isNull(), "source-missing").when(~en & (F.col("n_chars") > 5000), "kind-mismatch").otherwise("consistent").alias("state"))
-
-
-@query("f17_page_alignment", f"WITH {SECTIONS_SQL}, s AS (SELECT doc_id, max(pos) + 1 AS n FROM sections GROUP BY 1) SELECT d.doc_id, s.n = length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS aligned FROM documents d JOIN s USING (doc_id)")
-def f17(spark: SparkSession, sf: str) -> DataFrame:
-    s = sections(spark, sf).groupBy("doc_id").agg((F.max("pos") + 1).alias("n"))
-    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    return table(spark, sf, "documents").join(s, "doc_id").select("doc_id", (F.col("n") == breaks).alias("aligned"))
-
-
-@query("f18_submission_gate", "SELECT doc_id, array_to_string(list_filter([CASE WHEN text IS NULL OR text = '' THEN 'empty' END, CASE WHEN n_chars <> length(text) THEN 'count' END, CASE WHEN lang NOT IN ('en', 'fr') THEN 'language' END, CASE WHEN contains(text, '<') THEN 'markup' END], lambda x: x IS NOT NULL), ',') AS issues FROM documents")
-def f18(spark: SparkSession, sf: str) -> DataFrame:
-    """All gates in one pass; a submission passes if no issue is left."""
-    t = F.col("text")
-    issues = F.array(
-        F.when(t.isNull() | (t == ""), "empty"), F.when(F.col("n_chars") != F.length(t), "count"), F.when(~F.col("lang").isin("en", "fr"), "language"), F.when(F.contains(t, F.lit("<")), "markup")
-    )
-    return table(spark, sf, "documents").select("doc_id", F.array_join(F.array_compact(issues), ",").alias("issues"))
-
-
 @query("f19_source_allow_list", "SELECT doc_id FROM documents WHERE source IN ('src1', 'src2', 'src3') AND NOT starts_with(coalesce(text, ''), 'urn:')")
 def f19(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").filter(F.col("source").isin("src1", "src2", "src3") & ~F.coalesce("text", F.lit("")).startswith("urn:")).select("doc_id")
 
 
-@query("f22_json_shape", "SELECT event_id, len(json_keys(props)) AS n_keys FROM events WHERE json_valid(props)")
-def f22(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").filter(F.try_parse_json("props").isNotNull())
-    return e.select("event_id", F.size(F.json_object_keys("props")).cast("long").alias("n_keys"))
-
-
 def checked_limit(limit: int, least: int = 1, most: int = 50) -> int:
     """arguments are checked on the driver before anything is read."""
     if not least <= limit <= most:
@@ -151,11 +108,6 @@ def p18(spark: SparkSession, sf: str) -> DataFrame:
     return there.join(used, ["doc_id", "w"], "left").agg(F.count(F.lit(1)).alias("n_source"), F.count_if(F.col("n") == F.col("used")).alias("n_conserved"))
 
 
-@query("p27_forbidden_keys", "SELECT event_id, contains(lower(props), '\"email\"') OR contains(lower(props), '\"password\"') AS refused FROM events")
-def p27(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", F.lower("props").rlike('"(email|password)"').alias("refused"))
-
-
 @query("p28_provenance_record", "SELECT o_orderkey, '{\"target\":\"Order/' || o_orderkey || '\",\"agent\":\"Customer/' || o_custkey || '\",\"status\":\"' || o_orderstatus || '\"}' AS record FROM orders")
 def p28(spark: SparkSession, sf: str) -> DataFrame:
     r = F.struct(F.concat(F.lit("Order/"), "o_orderkey").alias("target"), F.concat(F.lit("Customer/"), "o_custkey").alias("agent"), F.col("o_orderstatus").alias("status"))
@@ -175,39 +127,17 @@ def w13(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.sum("l_quantity").over(over).alias("carried"))
 
 
-@query("j21_binding", "SELECT s_suppkey, count(n_nationkey) = 1 AS bound FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")
-def j21(spark: SparkSession, sf: str) -> DataFrame:
-    n = joins.small(table(spark, sf, "nation").select("n_nationkey"))
-    return table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").groupBy("s_suppkey").agg((F.count("n_nationkey") == 1).alias("bound"))
-
-
 @query("j23_findings_by_code", "SELECT n_name, count(*) AS n_findings FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 GROUP BY 1")
 def j23(spark: SparkSession, sf: str) -> DataFrame:
     f = table(spark, sf, "customer").filter("c_acctbal < 0").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_findings"))
     return f.join(joins.small(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "n_findings")
 
 
-@query("j28_approval_facts", "SELECT o_orderkey, CASE WHEN c_custkey IS NULL THEN 'document' WHEN c_mktsegment <> 'BUILDING' THEN 'environment' WHEN o_totalprice < 1000 THEN 'mapping' END AS first_mismatch FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
-def j28(spark: SparkSession, sf: str) -> DataFrame:
-    """A statement against the facts of a run: the first mismatch is named."""
-    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    o = table(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return o.select("o_orderkey", F.when(F.col("c_custkey").isNull(), "document").when(F.col("c_mktsegment") != "BUILDING", "environment").when(F.col("o_totalprice") < 1000, "mapping").alias("first_mismatch"))
-
-
 @query("j29_invocation_events", "SELECT event_id, event_type FROM events WHERE user_id = 5")
 def j29(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").filter("user_id = 5").select("event_id", "event_type")
 
 
-@query("j30_placement", "WITH s AS (SELECT c_nationkey AS code, count(*) AS n, min(c_custkey) AS at FROM customer WHERE c_acctbal > 9800 GROUP BY 1) SELECT n_nationkey AS code, CASE WHEN s.n IS NULL THEN 'missing' WHEN s.n > 1 THEN 'repeated' ELSE 'placed' END AS state FROM nation LEFT JOIN s ON s.code = n_nationkey")
-def j30(spark: SparkSession, sf: str) -> DataFrame:
-    """Every rule has exactly one section."""
-    s = table(spark, sf, "customer").filter("c_acctbal > 9800").withColumnRenamed("c_nationkey", "n_nationkey")
-    m = joins.matched(table(spark, sf, "nation").select("n_nationkey"), s, "n_nationkey", F.lit(True))
-    return m.select(F.col("n_nationkey").alias("code"), F.when(F.col("state") == "mapped", "placed").when(F.col("state") == "ambiguous", "repeated").otherwise("missing").alias("state"))
-
-
 @query("u4_set_equality", "WITH a AS (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS f FROM lineitem GROUP BY 1) SELECT l_orderkey, f = ['N'] AS equal FROM a")
 def u4(spark: SparkSession, sf: str) -> DataFrame:
     f = F.array_sort(F.collect_set("l_returnflag"))

@@ -132,15 +132,6 @@ def f1(spark: SparkSession, sf: str) -> DataFrame:
     return sections(spark, sf).select("doc_id", "pos", "path", hashing.sha256_text(F.col("body")).alias("body_sha256"))
 
 
-@query("f2_single_coding", "SELECT doc_id, CASE WHEN n = 1 THEN code END AS code, CASE WHEN n = 0 THEN 'absent' WHEN n = 1 THEN 'unique' ELSE 'ambiguous' END AS state FROM (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^@]', '', 'g')) AS n, source AS code FROM documents)")
-def f2(spark: SparkSession, sf: str) -> DataFrame:
-    """A value counts only if exactly one candidate carries it."""
-    n = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^@]", ""))
-    return table(spark, sf, "documents").select(
-        "doc_id", F.when(n == 1, F.col("source")).alias("code"), F.when(n == 0, "absent").when(n == 1, "unique").otherwise("ambiguous").alias("state")
-    )
-
-
 @query("f4_document_gate", "SELECT doc_id, lang, source FROM documents WHERE lang = 'en' AND n_chars BETWEEN 100 AND 2000 AND source <> 'src0'")
 def f4(spark: SparkSession, sf: str) -> DataFrame:
     """Type and size gate; every condition is pushed into the scan."""
@@ -163,46 +154,6 @@ def f6(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.when(F.col("may"), "ok").otherwise("document-not-found").alias("caller_outcome"), F.when(F.col("may"), "ok").otherwise("not-entitled").alias("audit_outcome"))
 
 
-@query(
-    "f7_preflight",
-    "WITH t AS (SELECT conv_id AS bundle_id, list_sort(list_distinct(list(role))) AS roles, count(*) - count(DISTINCT turn) AS n_repeated FROM conversations GROUP BY 1) SELECT bundle_id, NOT list_contains(roles, 'user') AS no_user, NOT list_contains(roles, 'assistant') AS no_assistant, n_repeated FROM t",
-)
-def f7(spark: SparkSession, sf: str) -> DataFrame:
-    """Required types that a bundle lacks, and repeated entries."""
-    g = versions(spark, sf).groupBy("bundle_id").agg(F.collect_set("role").alias("types"), (F.count(F.lit(1)) - F.count_distinct("version_id")).alias("n_repeated"))
-    lacks = F.array_except(F.array(F.lit("user"), F.lit("assistant")), "types")
-    return g.select("bundle_id", F.array_contains(lacks, "user").alias("no_user"), F.array_contains(lacks, "assistant").alias("no_assistant"), "n_repeated")
-
-
-@query(
-    "f8_number_rules",
-    "WITH n AS (SELECT p_partkey, p_brand AS number, regexp_matches(p_brand, '^Brand#[0-9]+$') AS well_formed, count(*) OVER (PARTITION BY p_brand, p_type, p_size) AS n_same FROM part) SELECT p_partkey, number, well_formed, n_same > 1 AS repeated, regexp_extract(number, '[0-9]+', 0) AS digits FROM n",
-)
-def f8(spark: SparkSession, sf: str) -> DataFrame:
-    """Pattern, repetition and prefix of authorisation numbers."""
-    p = table(spark, sf, "part")
-    same = F.count(F.lit(1)).over(Window.partitionBy("p_brand", "p_type", "p_size"))
-    return p.select("p_partkey", F.col("p_brand").alias("number"), F.col("p_brand").rlike("^Brand#[0-9]+$").alias("well_formed"), (same > 1).alias("repeated"), F.regexp_extract("p_brand", "[0-9]+", 0).alias("digits"))
-
-
-@query("f12_closed_elements", "SELECT event_id, array_to_string(list_sort(list_filter(json_keys(props), lambda k: k NOT IN ('page', 'ref'))), ',') AS refused_keys FROM events WHERE json_valid(props)")
-def f12(spark: SparkSession, sf: str) -> DataFrame:
-    """Keys outside the allow-list."""
-    e = table(spark, sf, "events").filter(F.try_parse_json("props").isNotNull())
-    return e.select("event_id", F.array_join(F.array_sort(F.array_except(F.json_object_keys("props"), F.array(F.lit("page"), F.lit("ref")))), ",").alias("refused_keys"))
-
-
-@query(
-    "f13_structural_invariants",
-    "SELECT doc_id, n_chars = length(text) AS counted, length(text) <= 20000 AS bounded, strpos(text, chr(10)) > 0 AS sectioned, CASE WHEN n_chars <> length(text) THEN 'count-mismatch' WHEN length(text) > 20000 THEN 'too-long' WHEN strpos(text, chr(10)) = 0 THEN 'no-sections' END AS first_issue FROM documents WHERE text IS NOT NULL",
-)
-def f13(spark: SparkSession, sf: str) -> DataFrame:
-    """Several invariants in one pass; the first that fails is named."""
-    counted, bounded, sectioned = F.col("n_chars") == F.length("text"), F.length("text") <= 20000, F.instr("text", "\n") > 0
-    first = F.coalesce(F.when(~counted, "count-mismatch"), F.when(~bounded, "too-long"), F.when(~sectioned, "no-sections"))
-    return table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", counted.alias("counted"), bounded.alias("bounded"), sectioned.alias("sectioned"), first.alias("first_issue"))
-
-
 @query(
     "f15_free_text_limits",
     f"WITH {SECTIONS_SQL} SELECT doc_id, count(*) AS n_strings, CAST(sum(length(body)) AS BIGINT) AS n_code_points, count(*) FILTER (length(body) > 300) AS n_long, count(*) FILTER (contains(body, '<')) AS n_markup, count(*) > 3000 OR sum(length(body)) > 40000 AS refused FROM sections GROUP BY doc_id",
@@ -228,14 +179,6 @@ def f20(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.when(at > 0, at - 1).cast("long").alias("at"))
 
 
-@query("f21_log_redaction", "SELECT event_id, CASE WHEN regexp_matches(event_type, '^[a-z]{1,8}$') THEN event_type ELSE '[redacted]' END AS event_type, CASE WHEN value < 50 THEN CAST(round(value, 2) AS VARCHAR) IS NOT NULL ELSE false END AS shown FROM events")
-def f21(spark: SparkSession, sf: str) -> DataFrame:
-    """A value stays only if its shape is a permitted one."""
-    return table(spark, sf, "events").select(
-        "event_id", F.when(F.col("event_type").rlike("^[a-z]{1,8}$"), F.col("event_type")).otherwise("[redacted]").alias("event_type"), F.coalesce(F.col("value") < 50, F.lit(False)).alias("shown")
-    )
-
-
 @query(
     "f24_error_codes",
     "SELECT event_id, CASE WHEN user_id IS NULL THEN 'invalid-request' WHEN event_type = 'error' THEN 'upstream-unavailable' WHEN value IS NULL THEN 'document-not-found' ELSE 'ok' END AS outcome FROM events",

@@ -193,14 +193,6 @@ def j26(spark: SparkSession, sf: str) -> DataFrame:
     return joins.poisoned(table(spark, sf, "documents"), rules(spark).filter("required"), "source", "lang")
 
 
-@query("j2_parent_placement", "SELECT c.c_custkey, n.n_regionkey AS parent, n.n_regionkey = c.c_custkey % 5 AS placed FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey")
-def j2(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether each child's parent is the one that its rule names."""
-    n = joins.small(table(spark, sf, "nation").select("n_nationkey", "n_regionkey"))
-    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    return c.select("c_custkey", F.col("n_regionkey").alias("parent"), (F.col("n_regionkey") == F.col("c_custkey") % 5).alias("placed"))
-
-
 @query(
     "j3_provenance_match",
     "SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing-provenance' WHEN d.doc_id IS NULL THEN 'orphan' ELSE 'paired' END AS state FROM (SELECT doc_id FROM documents WHERE lang = 'en') d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id",
