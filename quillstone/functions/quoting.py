@@ -290,14 +290,85 @@ def _segments(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
 segments = arrow_udf(_segments, ArrayType(_SEGMENT))
 
 
-def align(pattern: list[str], words: list[str]) -> float:
-    """matched / (matched + cost) of the cheapest alignment of two word lists, by rows of edit costs."""
-    best = [(j, 0) for j in range(len(words) + 1)]
+def align(pattern: list[str], words: list[str], anywhere: bool = False) -> float:
+    """matched / (matched + cost) of the cheapest alignment of two word lists, by rows of edit costs; of
+    equally cheap ones the one that matches most. With ``anywhere`` the pattern may begin and end at any
+    word of ``words`` at no cost."""
+    best = [(0 if anywhere else j, 0) for j in range(len(words) + 1)]
     for i, p in enumerate(pattern, 1):
         row = [(i, 0)]
         for j, w in enumerate(words, 1):
             keep = (best[j - 1][0], best[j - 1][1] - 1) if p == w else (best[j - 1][0] + 1, best[j - 1][1])
             row.append(min(keep, (best[j][0] + 1, best[j][1]), (row[-1][0] + 1, row[-1][1])))
         best = row
-    cost, matched = best[-1][0], -best[-1][1]
-    return matched / (matched + cost) if matched + cost else 0.0
+    cost, matched = min(best) if anywhere else best[-1]
+    return -matched / (cost - matched) if matched or cost else 0.0
+
+
+def _alignment(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for patterns, texts in parts:
+        yield pd.Series([align(list(p), list(t), True) for p, t in zip(patterns, texts)], dtype="float64")
+
+
+alignment = arrow_udf(_alignment, "double")
+
+
+def occurrences(text: str, wording: str) -> list[int]:
+    """All places of a wording, overlapping ones too."""
+    out, at = [], text.find(wording) if wording else -1
+    while at >= 0:
+        out.append(at)
+        at = text.find(wording, at + 1)
+    return out
+
+
+CONTEXT = 2
+
+
+def wording(words: list[str], at: int, new: str) -> tuple[str, str]:
+    """(old, new) wording of the change of one word of a text: with CONTEXT words around it, and as many
+    more as it takes until the old wording stands in the text once."""
+    text, k = " ".join(words), CONTEXT
+    while True:
+        low, high = max(0, at - k), at + k + 1
+        old = " ".join(words[low:high])
+        if len(occurrences(text, old)) <= 1 or (low == 0 and high >= len(words)):
+            return old, " ".join([*words[low:at], new, *words[at + 1 : high]])
+        k += 1
+
+
+_WORDING = StructType([StructField("old", StringType()), StructField("new", StringType())])
+
+
+def _wordings(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for texts, places, news in parts:
+        rows = [wording(t.split(" "), p, n) for t, p, n in zip(texts, places, news)]
+        yield pd.DataFrame(rows, columns=["old", "new"])
+
+
+wordings = arrow_udf(_wordings, _WORDING)
+
+
+def paragraph_changes(old: list[str], new: list[str]) -> dict[str, int]:
+    """How many paragraphs of two versions are kept, changed in place, inserted and deleted."""
+    n = {"kept": 0, "changed": 0, "inserted": 0, "deleted": 0}
+    for op, i, j, k, m in difflib.SequenceMatcher(None, old, new, autojunk=False).get_opcodes():
+        if op == "equal":
+            n["kept"] += j - i
+            continue
+        both = min(j - i, m - k)
+        n["changed"] += both
+        n["deleted"] += j - i - both
+        n["inserted"] += m - k - both
+    return n
+
+
+_CHANGES = StructType([StructField(k, IntegerType()) for k in ("kept", "changed", "inserted", "deleted")])
+
+
+def _paragraph_changes(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for old, new in parts:
+        yield pd.DataFrame([paragraph_changes(a.split("\n"), b.split("\n")) for a, b in zip(old, new)], columns=["kept", "changed", "inserted", "deleted"]).astype("int32")
+
+
+aligned_paragraphs = arrow_udf(_paragraph_changes, _CHANGES)

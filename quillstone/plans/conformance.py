@@ -14,20 +14,14 @@ from .registry import Registry
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
 
-#: Templates that stand for registry statements on the tables.
-TEMPLATES = {1: "the {word} of", 2: "and <the> {word} that", 3: "that it", 4: "un {mot} de"}
-
-
-def template_table(spark: SparkSession) -> DataFrame:
-    rows = [(k, templates.pattern(t), templates.anchor(t)) for k, t in TEMPLATES.items()]
-    return spark.createDataFrame(rows, "template int, pattern string, anchor string")
-
-
 @query("f19_source_allow_list", "SELECT doc_id FROM documents WHERE source IN ('src1', 'src2', 'src3') AND NOT starts_with(coalesce(text, ''), 'urn:')")
 def f19(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").filter(F.col("source").isin("src1", "src2", "src3") & ~F.coalesce("text", F.lit("")).startswith("urn:")).select("doc_id")
 
 
+
+
+
 def checked_limit(limit: int, least: int = 1, most: int = 50) -> int:
     """arguments are checked on the driver before anything is read."""
     if not least <= limit <= most:
@@ -45,52 +39,6 @@ def f25(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").filter(F.col("event_type").isin("error", "purchase")).select("event_id", "event_type")
 
 
-@query("p2_template_search")
-def p2(spark: SparkSession, sf: str) -> DataFrame:
-    """Which lines hold which template statement: the literal anchor is tested before the pattern runs."""
-    s = sections(spark, sf)
-    hit = s.join(F.broadcast(template_table(spark)), F.contains(F.lower("body"), "anchor") & F.regexp_like(F.lower("body"), F.col("pattern")))
-    return hit.groupBy("template").agg(F.count_distinct("doc_id").alias("n_documents"), F.count(F.lit(1)).alias("n_lines"))
-
-
-@query("p13_heading_forms")
-def p13(spark: SparkSession, sf: str) -> DataFrame:
-    """Optional parts of template headings expanded on the driver."""
-    rows = [(k, f) for k, t in TEMPLATES.items() for f in templates.forms(t)]
-    return spark.createDataFrame(rows, "template int, form string")
-
-
-@query("p3_resemblance")
-def p3(spark: SparkSession, sf: str) -> DataFrame:
-    """Best resemblance of conversation turns to benchmark openings, over pairs that the bag-of-words bound admits."""
-    words = lambda c: F.slice(F.split(F.lower(c), r"\s+"), 1, 12)
-    b = joins.small(table(spark, sf, "benchmark").select("item_id", words("text").alias("p")), 2000)
-    c = table(spark, sf, "conversations").filter("text IS NOT NULL").select("conv_id", "turn", words("text").alias("w"))
-    shared = F.size(F.array_intersect("p", "w"))
-    near = c.join(b, F.arrays_overlap("p", "w")).withColumn("bound", shared / (F.greatest(F.size("p"), F.size("w")))).filter("bound >= 0.1")
-    scored = near.withColumn("score", F.round(1 - F.levenshtein(F.array_join("p", " "), F.array_join("w", " ")) / F.greatest(F.length(F.array_join("p", " ")), F.length(F.array_join("w", " "))), 6))
-    return scored.groupBy("conv_id", "turn").agg(F.max(F.struct("score", (-F.col("item_id")).alias("i"))).alias("b")).select("conv_id", "turn", (-F.col("b.i")).alias("item_id"), "b.score")
-
-
-@query("j19_version_diff")
-def j19(spark: SparkSession, sf: str) -> DataFrame:
-    """Consecutive versions aligned word by word: counts of kept, inserted and deleted segments."""
-    nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    c = table(spark, sf, "conversations").withColumn("after", nxt).filter("text IS NOT NULL AND after IS NOT NULL")
-    s = c.select("conv_id", "turn", quoting.segments(F.col("text"), F.col("after")).alias("s"))
-    n = lambda k: F.size(F.filter("s", lambda x: x["kind"] == k))
-    return s.select("conv_id", "turn", n("t").alias("kept"), n("i").alias("inserted"), n("d").alias("deleted"))
-
-
-@query("p7_edit_wordings", "WITH e AS (SELECT conv_id, turn, text AS old, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS new FROM conversations) SELECT conv_id, turn, substr(sha256(encode(old) || '\\x00'::BLOB || encode(new)), 1, 12) AS edit, count(*) OVER (PARTITION BY old, new) = 1 AS unique_wording FROM e WHERE old IS NOT NULL AND new IS NOT NULL")
-def p7(spark: SparkSession, sf: str) -> DataFrame:
-    """Edits with their ids, and whether their wording is unique."""
-    nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    c = table(spark, sf, "conversations").withColumn("new", nxt).filter("text IS NOT NULL AND new IS NOT NULL")
-    e = c.select("conv_id", "turn", hashing.edit_id(F.col("text"), F.col("new")).alias("edit"))
-    return e.withColumn("unique_wording", F.count(F.lit(1)).over(Window.partitionBy("edit")) == 1)
-
-
 @query("p15_repeated_starts", f"WITH {SECTIONS_SQL}, s AS (SELECT doc_id, pos, sum(CASE WHEN body = '' OR length(body) < 20 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS part FROM sections) SELECT doc_id, count(DISTINCT part) AS n_parts FROM s GROUP BY 1")
 def p15(spark: SparkSession, sf: str) -> DataFrame:
     """Several documents in one: a new part starts wherever a first heading repeats (short lines here)."""
@@ -173,21 +121,3 @@ def t5(spark: SparkSession, sf: str) -> DataFrame:
     return s.groupBy("source").agg(F.count(F.lit(1)).alias("n_runs"), F.count_if("fits").alias("n_persisted"), F.sum("n").alias("n_sections"))
 
 
-@query("t7_implementation_report", "WITH e AS (SELECT item_id, split_part(text, ' ', 1) AS old, split_part(text, ' ', 3) AS new FROM benchmark), l AS (SELECT text FROM documents WHERE text IS NOT NULL) SELECT e.item_id, count(*) FILTER (contains(l.text, e.new) AND NOT contains(l.text, e.old)) AS implemented, count(*) FILTER (contains(l.text, e.old) AND NOT contains(l.text, e.new)) AS pending, count(*) FILTER (contains(l.text, e.old) AND contains(l.text, e.new)) AS both FROM e LEFT JOIN l ON contains(l.text, e.old) OR contains(l.text, e.new) GROUP BY 1")
-def t7(spark: SparkSession, sf: str) -> DataFrame:
-    """Status of each edit over all labels; edits are a question list, broadcast if it is small."""
-    e = table(spark, sf, "benchmark").select("item_id", F.split_part("text", F.lit(" "), F.lit(1)).alias("old"), F.split_part("text", F.lit(" "), F.lit(3)).alias("new"))
-    l = table(spark, sf, "documents").filter("text IS NOT NULL").select("text")
-    old, new = F.contains("text", "old"), F.contains("text", "new")
-    hit = l.join(joins.small(e, 2000), old | new).groupBy("item_id").agg(F.count_if(new & ~old).alias("implemented"), F.count_if(old & ~new).alias("pending"), F.count_if(old & new).alias("both"))
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return e.select("item_id").join(hit, "item_id", "left").select("item_id", zero("implemented"), zero("pending"), zero("both"))
-
-
-@query("t6_template_report")
-def t6(spark: SparkSession, sf: str) -> DataFrame:
-    """Findings a template statement: present, or the number of documents without it."""
-    found = p2(spark, sf)
-    every = template_table(spark).select("template")
-    total = table(spark, sf, "documents").filter("text IS NOT NULL").agg(F.count(F.lit(1)).alias("n"))
-    return every.join(found, "template", "left").crossJoin(F.broadcast(total)).select("template", F.coalesce("n_documents", F.lit(0)).alias("present"), (F.col("n") - F.coalesce("n_documents", F.lit(0))).alias("absent"))

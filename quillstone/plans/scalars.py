@@ -173,18 +173,6 @@ def p6(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("conv_id", "turn", s.alias("s")).select("conv_id", "turn", F.size("s").alias("n_segments"), F.size(F.filter("s", lambda x: x["kind"] == "i")).alias("n_inserted"))
 
 
-@query("p8_occurrences", "SELECT doc_id, len(regexp_extract_all(text, 'the')) AS n FROM documents WHERE text IS NOT NULL")
-def p8(spark: SparkSession, sf: str) -> DataFrame:
-    """All places of a wording."""
-    return table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", F.regexp_count("text", F.lit("the")).cast("long").alias("n"))
-
-
-@query("p9_edit_status", "SELECT doc_id, CASE WHEN contains(text, 'the ') AND contains(text, ' of ') THEN 'both' WHEN contains(text, 'the ') THEN 'implemented' WHEN contains(text, ' of ') THEN 'pending' ELSE 'absent' END AS status FROM documents WHERE text IS NOT NULL")
-def p9(spark: SparkSession, sf: str) -> DataFrame:
-    new, old = F.contains("text", F.lit("the ")), F.contains("text", F.lit(" of "))
-    return table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", F.when(new & old, "both").when(new, "implemented").when(old, "pending").otherwise("absent").alias("status"))
-
-
 @query("p10_days_late", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 WHEN o_orderstatus = 'P' THEN NULL ELSE greatest(0, date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02')) END AS days_late FROM orders")
 def p10(spark: SparkSession, sf: str) -> DataFrame:
     late = F.greatest(F.lit(0), F.datediff(F.lit("1998-08-02").cast("date"), F.col("o_orderdate").cast("date")))
@@ -229,10 +217,3 @@ def p24(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderpriority").startswith("1") & F.col("o_orderdate").cast("string").rlike("^199[0-9]-0[1-6]")).alias("recognised"))
 
 
-@query("p4_bag_bound", "WITH w AS (SELECT DISTINCT item_id, unnest(string_split(text, ' ')) AS w FROM benchmark), p AS (SELECT a.item_id, b.item_id AS other, count(*) AS n FROM w a JOIN w b ON a.w = b.w AND a.item_id <> b.item_id GROUP BY 1, 2) SELECT item_id, max(n) AS best_shared FROM p GROUP BY 1")
-def p4(spark: SparkSession, sf: str) -> DataFrame:
-    """Upper bound of a resemblance by shared words: an equi-join on words."""
-    w = table(spark, sf, "benchmark").select("item_id", F.explode(F.split("text", " ")).alias("w")).distinct()
-    other = w.select(F.col("item_id").alias("other"), F.col("w").alias("ow"))
-    pairs = w.join(other, (F.col("w") == F.col("ow")) & (F.col("item_id") != F.col("other"))).groupBy("item_id", "other").agg(F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy("item_id").agg(F.max("n").alias("best_shared"))

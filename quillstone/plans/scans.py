@@ -252,20 +252,6 @@ def j9(spark: SparkSession, sf: str) -> DataFrame:
     return p.withColumn("h", form).join(heads, "h", "left").select("p_partkey", F.col("hit").isNotNull().alias("is_heading"))
 
 
-@query(
-    "j10_edit_places",
-    f"WITH {SECTIONS_SQL}, e AS (SELECT item_id, split_part(text, ' ', 1) AS old, split_part(text, ' ', 2) AS new FROM benchmark) SELECT e.item_id, d.doc_id, count(*) FILTER (contains(d.body, e.old)) AS n_old, count(*) FILTER (contains(d.body, e.new)) AS n_new FROM sections d JOIN e ON contains(d.body, e.old) OR contains(d.body, e.new) GROUP BY 1, 2",
-)
-def j10(spark: SparkSession, sf: str) -> DataFrame:
-    """Edits against paragraphs: a nested loop whose inner side is a question list, checked to be small
-    and broadcast; beyond that size it is the engine's choice."""
-    e = table(spark, sf, "benchmark").select("item_id", F.split("text", " ")[0].alias("old"), F.get(F.split("text", " "), F.lit(1)).alias("new"))
-    e = joins.small(e.withColumn("new", F.coalesce("new", F.lit(""))), 2000)
-    old, new = F.contains("body", "old"), F.contains("body", "new")
-    hit = sections(spark, sf).join(e, old | new)
-    return hit.groupBy("item_id", "doc_id").agg(F.count_if(old).alias("n_old"), F.count_if(new).alias("n_new"))
-
-
 @query("j11_outside_places", f"WITH {SPANS_SQL}, o AS (SELECT * FROM spans WHERE e - s > 120), i AS (SELECT doc_id, pos, s + 2 AS s, e - 2 AS e FROM spans WHERE e - s > 8) SELECT i.doc_id, i.pos FROM i WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.doc_id = i.doc_id AND o.s <= i.s AND i.e <= o.e)")
 def j11(spark: SparkSession, sf: str) -> DataFrame:
     """Places that no other place contains: an anti join by document with range conditions."""
