@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -156,3 +157,44 @@ def roman(n: Column) -> Column:
         at(digits("", "x", "xx", "xxx", "xl", "l", "lx", "lxx", "lxxx", "xc"), F.floor(n / 10)),
         at(digits("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix"), n),
     )
+
+
+def number_format(n: Column, format: Column) -> Column:
+    """A number in a word processor's format; null where the format has no form for it."""
+    letters = F.when(n.between(1, 780), repeated_letter(n))
+    numerals = F.when(n.between(1, 3999), roman(n))
+    zero = F.when(n < 10, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string"))
+    return (
+        F.when(format == "none", "").when(format == "decimal", F.when(n >= 0, n.cast("string"))).when(format == "decimalZero", F.when(n >= 0, zero))
+        .when(format == "upperRoman", F.upper(numerals)).when(format == "lowerRoman", numerals).when(format == "upperLetter", letters).when(format == "lowerLetter", F.lower(letters))
+    )
+
+
+# Letters that capitals keep or replace by letters of their own, and what an underline leaves as it is.
+CAPITALS_OWN = {"\u0390": "\u03aa", "\u03b0": "\u03ab"}
+UNDER_PLAIN = " .,;:()[]/'\"%@_&#!?*\u00a0\u2018\u2019\u201c\u201d"
+NUMERO, NUMERO_O = "Nn\u039d\uff2e", "o\u043e\u03bf\u1d0f"
+
+
+def capitals(c: Column) -> Column:
+    """Capitals letter by letter: the runs that keep their form stand between those that do not."""
+    kept = "\u00b5\u2170-\u217f" + "".join(chr(p) for p in range(0x110000) if not 0xD800 <= p <= 0xDFFF and len(chr(p).upper()) != 1 and chr(p) not in CAPITALS_OWN)
+    pieces = F.regexp_extract_all(c, F.lit(f"[{kept}]+|[^{kept}]+"), F.lit(0))
+    own = c
+    for small, large in CAPITALS_OWN.items():
+        own = F.replace(own, F.lit(small), F.lit(large))
+    pieces = F.regexp_extract_all(own, F.lit(f"[{kept}]+|[^{kept}]+"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(f"^[{kept}]"), p).otherwise(F.upper(p))), "")
+
+
+def underline_changes(c: Column, start: Column, end: Column) -> Column:
+    """Whether an underline over code points [start, end) could change what the drawn text says: over anything
+    but plain letters, digits and punctuation, over a small letter right after a number, or an o after an N."""
+    plain = re.sub(r"([\[\]\\^&-])", r"\\\1", UNDER_PLAIN)
+    under = F.substring(c, start + 1, end - start)
+    upto = F.regexp_replace(F.substring(c, F.lit(1), end), f"[{classes.pattern(*classes.IGNORABLE)}]", "")
+    inner = F.length(F.regexp_replace(under, f"[{classes.pattern(*classes.IGNORABLE)}]", ""))
+    before = F.substring(upto, F.greatest(F.length(upto) - inner, F.lit(1)), inner + 1)
+    first = F.length(upto) - inner
+    numero = (first > 0) & before.rlike(f"^[{NUMERO}][{NUMERO_O}]")
+    return ~under.rlike(f"^[\\p{{IsLatin}}\\p{{IsGreek}}\\p{{IsCyrillic}}0-9{plain}]*$") | before.rlike("\\p{N}\\p{Ll}") | numero

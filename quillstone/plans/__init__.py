@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, conformance, documents, files, gates, quotes, reports, scalars, scans, streams, verification
+from . import aggregates, conformance, documents, files, gates, markup, quotes, reports, scalars, scans, streams, verification
 
-MODULES = (quotes, verification, gates, reports, documents, aggregates, scans, scalars, streams, conformance, files)
+MODULES = (quotes, verification, gates, reports, markup, documents, aggregates, scans, scalars, streams, conformance, files)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 for module in MODULES:

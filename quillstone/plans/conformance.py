@@ -39,14 +39,6 @@ def f25(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").filter(F.col("event_type").isin("error", "purchase")).select("event_id", "event_type")
 
 
-@query("p15_repeated_starts", f"WITH {SECTIONS_SQL}, s AS (SELECT doc_id, pos, sum(CASE WHEN body = '' OR length(body) < 20 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS part FROM sections) SELECT doc_id, count(DISTINCT part) AS n_parts FROM s GROUP BY 1")
-def p15(spark: SparkSession, sf: str) -> DataFrame:
-    """Several documents in one: a new part starts wherever a first heading repeats (short lines here)."""
-    start = (F.length("body") < 20).cast("int")
-    over = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return sections(spark, sf).withColumn("part", F.sum(start).over(over)).groupBy("doc_id").agg(F.count_distinct("part").alias("n_parts"))
-
-
 @query("p18_conservation", f"WITH {SECTIONS_SQL}, w AS (SELECT doc_id, unnest(string_split(body, ' ')) AS w FROM sections), s AS (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM documents WHERE text IS NOT NULL), b AS (SELECT doc_id, w, count(*) AS n FROM w GROUP BY 1, 2), a AS (SELECT doc_id, w, count(*) AS n FROM s GROUP BY 1, 2) SELECT count(*) AS n_source, count(*) FILTER (a.n = b.n) AS n_conserved FROM a LEFT JOIN b USING (doc_id, w)")
 def p18(spark: SparkSession, sf: str) -> DataFrame:
     """Every source token is used exactly as often as it occurs: a multiset comparison by counts."""
@@ -62,19 +54,6 @@ def p28(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.to_json(r).alias("record"))
 
 
-@query("x10_grid", "SELECT p_partkey, CAST(dense_rank() OVER (PARTITION BY p_brand ORDER BY round(p_retailprice / 0.5)) AS BIGINT) AS line FROM part")
-def x10(spark: SparkSession, sf: str) -> DataFrame:
-    """Grid lines of a drawing from edges within a tolerance (brands stand for drawings)."""
-    return table(spark, sf, "part").select("p_partkey", F.dense_rank().over(Window.partitionBy("p_brand").orderBy(F.round(F.col("p_retailprice") / 0.5))).cast("long").alias("line"))
-
-
-@query("w13_row_spans", "SELECT l_orderkey, l_linenumber, l_partkey, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS carried FROM lineitem")
-def w13(spark: SparkSession, sf: str) -> DataFrame:
-    """What rows carry from the rows above that still reach them (spans of two rows)."""
-    over = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").rowsBetween(-2, -1)
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.sum("l_quantity").over(over).alias("carried"))
-
-
 @query("j23_findings_by_code", "SELECT n_name, count(*) AS n_findings FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 GROUP BY 1")
 def j23(spark: SparkSession, sf: str) -> DataFrame:
     f = table(spark, sf, "customer").filter("c_acctbal < 0").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_findings"))

@@ -100,18 +100,6 @@ def n9(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", text.collapse_template(F.col("p_type")).alias("form"))
 
 
-@query("n10_capitals", "SELECT p_partkey, upper(p_name) AS capitals FROM part")
-def n10(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select("p_partkey", F.upper("p_name").alias("capitals"))
-
-
-@query("x1_xhtml_outcomes")
-def x1(spark: SparkSession, sf: str) -> DataFrame:
-    """How the strict scanner takes the crawled pages: refusal codes and their number."""
-    read = table(spark, sf, "pages").select(xhtml.xhtml_to_text(F.col("html")).alias("r"))
-    return read.groupBy(F.coalesce("r.error", F.lit("ok")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.min("r.offset").alias("least_offset"))
-
-
 @query("x1_lines_as_xhtml", f"WITH {SECTIONS_SQL} SELECT doc_id, pos, sha256(chr(10) || body || chr(10)) AS sha FROM sections WHERE NOT regexp_matches(body, '[<>&]')")
 def x1b(spark: SparkSession, sf: str) -> DataFrame:
     """Sections written as narrative and read back give their text."""
@@ -120,12 +108,6 @@ def x1b(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("doc_id", "pos", F.sha2(xhtml.xhtml_to_text(div)["text"], 256).alias("sha"))
 
 
-@query("x6_narrative_status")
-def x6(spark: SparkSession, sf: str) -> DataFrame:
-    read = table(spark, sf, "pages").select("page_id", xhtml.xhtml_to_text(F.col("html")).alias("r"))
-    return read.select("page_id", F.when(F.col("r.error").isNotNull(), "unreadable").when(F.trim("r.text") == "", "absent").otherwise("present").alias("status"))
-
-
 @query("src13_lenient_text")
 def src13(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraphs of pages read leniently."""
@@ -139,13 +121,6 @@ def x8(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", F.round(text.contrast(rgb, [F.lit(255.0)] * 3), 6).alias("contrast"))
 
 
-@query("x4_list_markers")
-def x4(spark: SparkSession, sf: str) -> DataFrame:
-    """Markers of list items in the styles 1, a, A, i, I."""
-    n = F.col("id")
-    return spark.range(1, 1500).select(n.alias("n"), n.cast("string").alias("decimal"), text.base26_letter(n).alias("lower"), F.upper(text.base26_letter(n)).alias("upper"), text.roman(n).alias("roman"), text.repeated_letter(n).alias("label"))
-
-
 @query("q3_chunks")
 def q3(spark: SparkSession, sf: str) -> DataFrame:
     """Documents cut into chunks of at most 2,000 UTF-16 units at spaces."""

@@ -82,13 +82,6 @@ def w9(spark: SparkSession, sf: str) -> DataFrame:
     return windows.sliding(sections(spark, sf), ["doc_id"], "pos", "body", 3).select("doc_id", "pos", F.sha2("joined", 256).alias("joined_sha256"))
 
 
-@query("w10_list_ordinals", "SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey) AS ordinal FROM lineitem")
-def w10(spark: SparkSession, sf: str) -> DataFrame:
-    """Numbers that restart in every list."""
-    over = Window.partitionBy("l_orderkey", "l_returnflag").orderBy("l_linenumber", "l_partkey")
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.row_number().over(over).cast("long").alias("ordinal"))
-
-
 @query(
     "w11_block_cap",
     "WITH b AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS n, count(*) OVER (PARTITION BY conv_id) AS total FROM conversations) SELECT conv_id, turn, 'block-' || lpad(CAST(n AS VARCHAR), 2, '0') AS block, greatest(total - 8, 0) AS not_shown FROM b WHERE n <= 8",
@@ -139,21 +132,6 @@ def w16(spark: SparkSession, sf: str) -> DataFrame:
     return g.groupBy("l_orderkey", "g").agg(F.min("l_linenumber").alias("first_number"), F.count(F.lit(1)).alias("n")).filter("n >= 2").drop("g")
 
 
-@query(
-    "w17_inheritance",
-    "WITH RECURSIVE c AS (SELECT n_nationkey AS style, n_nationkey AS node, 0 AS depth FROM nation UNION ALL SELECT c.style, c.node // 2, depth + 1 FROM c WHERE c.node > 0) SELECT style, max(depth) AS depth, arg_min(CASE WHEN node % 5 = 0 THEN node END, depth) AS inherited FROM c GROUP BY 1",
-)
-def w17(spark: SparkSession, sf: str) -> DataFrame:
-    """Nearest value up a chain of parents (a style is based on half its number): recursive SQL."""
-    return spark.sql(
-        """WITH RECURSIVE c(style, at, depth) AS (
-             SELECT n_nationkey, n_nationkey, 0 FROM {nation}
-             UNION ALL SELECT style, CAST(at DIV 2 AS INT), depth + 1 FROM c WHERE at > 0)
-           SELECT style, max(depth) AS depth, min_by(at, depth) FILTER (WHERE at % 5 = 0) AS inherited FROM c GROUP BY style""",
-        nation=table(spark, sf, "nation"),
-    )
-
-
 @query(
     "w18_first_verdict",
     "WITH v AS (SELECT user_id, event_type, arg_min(round(value), (ts, event_id)) AS verdict, count(DISTINCT round(value)) > 1 AS disagreement FROM events GROUP BY 1, 2) SELECT * FROM v",
