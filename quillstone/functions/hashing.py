@@ -106,6 +106,16 @@ def crc32c_table() -> list[int]:
 canonical_json = arrow_udf(_canonical_json, "string")
 
 
+def canonical_without(c: Column, *names: str) -> Column:
+    """Canonical text of a JSON object without some of its top-level fields."""
+
+    def drop(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in texts:
+            yield s.map(lambda t: canonical({k: v for k, v in strict_json(t).items() if k not in names}), na_action="ignore")
+
+    return arrow_udf(drop, "string")(c)
+
+
 def _crc32c(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Castagnoli checksum of UTF-8 bytes (Spark's crc32 uses the other polynomial)."""
     table = crc32c_table()

@@ -71,27 +71,6 @@ def u4(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").groupBy("l_orderkey").agg((f == F.array(F.lit("N"))).alias("equal"))
 
 
-@query("t9_answer_postcheck", "WITH c AS (SELECT conv_id, count(*) FILTER (role = 'assistant') AS n_blocks, count(*) FILTER (role = 'assistant' AND length(text) > 100) AS n_verified FROM conversations GROUP BY 1) SELECT conv_id, n_blocks, n_verified, CASE WHEN n_blocks = 0 THEN 'empty' WHEN n_blocks = n_verified THEN 'verified' ELSE 'flagged' END AS outcome FROM c")
-def t9(spark: SparkSession, sf: str) -> DataFrame:
-    """Blocks of an answer, verified or flagged."""
-    block = F.col("role") == "assistant"
-    good = block & (F.length("text") > 100)
-    g = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count_if(block).alias("n_blocks"), F.count_if(good).alias("n_verified"))
-    return g.withColumn("outcome", F.when(F.col("n_blocks") == 0, "empty").when(F.col("n_blocks") == F.col("n_verified"), "verified").otherwise("flagged"))
-
-
-@query("t10_approval_decision", "WITH h AS (SELECT conv_id, max(turn) AS head, count(*) AS n, bool_or(role NOT IN ('user', 'assistant')) AS bad FROM conversations GROUP BY 1) SELECT conv_id, CASE WHEN bad THEN 'malformed' WHEN head + 1 <> n THEN 'gap' WHEN head = 0 THEN 'first' ELSE 'next' END AS decision FROM h")
-def t10(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether a statement may follow the head of its sequence."""
-    g = table(spark, sf, "conversations").groupBy("conv_id").agg(F.max("turn").alias("head"), F.count(F.lit(1)).alias("n"), F.bool_or(~F.col("role").isin("user", "assistant")).alias("bad"))
-    return g.select("conv_id", F.when(F.col("bad"), "malformed").when(F.col("head") + 1 != F.col("n"), "gap").when(F.col("head") == 0, "first").otherwise("next").alias("decision"))
-
-
-@query("t14_turn_audit", "SELECT conv_id, count(*) AS n_calls, count(DISTINCT role) AS n_roles, CAST(sum(length(text)) AS BIGINT) AS n_characters FROM conversations GROUP BY 1")
-def t14(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_calls"), F.count_distinct("role").alias("n_roles"), F.sum(F.length("text")).cast("long").alias("n_characters"))
-
-
 @query("t5_run_pipeline", f"WITH {SECTIONS_SQL}, g AS (SELECT d.doc_id, d.source FROM documents d WHERE d.lang = 'en' AND d.n_chars BETWEEN 100 AND 5000), s AS (SELECT g.source, s.doc_id, count(*) AS n, bool_and(length(s.body) < 2000) AS fits FROM sections s JOIN g USING (doc_id) GROUP BY 1, 2) SELECT source, count(*) AS n_runs, count(*) FILTER (fits) AS n_persisted, CAST(sum(n) AS BIGINT) AS n_sections FROM s GROUP BY source")
 def t5(spark: SparkSession, sf: str) -> DataFrame:
     """Gate, flatten, check, and one ledger row a source."""

@@ -51,13 +51,6 @@ def h7(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", hashing.head_name(F.col("o_orderstatus"), F.col("o_orderkey")).alias("object"))
 
 
-@query("h8_published_hash")
-def h8(spark: SparkSession, sf: str) -> DataFrame:
-    """Hash of a record without its volatile fields."""
-    e = table(spark, sf, "events")
-    return e.select("event_id", F.sha2(F.to_json(F.struct("event_type", "user_id", "value")), 256).alias("published"))
-
-
 @query("h9_report_hash", "SELECT o_orderkey, sha256('{\"key\":' || o_orderkey || ',\"status\":\"' || o_orderstatus || '\"}') AS report_hash FROM orders")
 def h9(spark: SparkSession, sf: str) -> DataFrame:
     """A report's hash is taken over the report without it."""

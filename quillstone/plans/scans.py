@@ -255,18 +255,6 @@ def j15(spark: SparkSession, sf: str) -> DataFrame:
     return seen.join(carried, ["k", "day"]).select("o_orderkey", F.coalesce("own", "carried").alias("as_of"))
 
 
-@query(
-    "j17_answer_check",
-    "WITH a AS (SELECT conv_id, turn FROM conversations WHERE role = 'assistant'), u AS (SELECT conv_id, turn + 1 AS turn FROM conversations WHERE role = 'user') SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.turn, a.turn) AS turn, CASE WHEN a.conv_id IS NULL THEN 'missing' WHEN u.conv_id IS NULL THEN 'extra' ELSE 'answered' END AS state FROM u FULL JOIN a ON u.conv_id = a.conv_id AND u.turn = a.turn",
-)
-def j17(spark: SparkSession, sf: str) -> DataFrame:
-    """Answers against what they answer, by index."""
-    c = table(spark, sf, "conversations")
-    a = c.filter("role = 'assistant'").select("conv_id", "turn", F.lit(1).alias("a"))
-    u = c.filter("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.lit(1).alias("u"))
-    return u.join(a, ["conv_id", "turn"], "full_outer").select("conv_id", "turn", F.when(F.col("a").isNull(), "missing").when(F.col("u").isNull(), "extra").otherwise("answered").alias("state"))
-
-
 @query("j18_agreed_facts", "SELECT l_partkey, any_value(l_suppkey) AS supplier FROM lineitem WHERE l_quantity > 45 GROUP BY 1 HAVING count(DISTINCT l_suppkey) = 1")
 def j18(spark: SparkSession, sf: str) -> DataFrame:
     """Facts on which all rows agree; conflicting ones are dropped."""
@@ -367,14 +355,6 @@ def u6(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_brand", "p_size").distinct()
 
 
-@query("u1_evidence_passes", "WITH ok AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS w FROM benchmark), r AS (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents WHERE n_chars < 300) SELECT doc_id, count(*) FILTER (ok.w IS NULL) AS n_unknown FROM r LEFT JOIN ok USING (w) GROUP BY 1")
-def u1(spark: SparkSession, sf: str) -> DataFrame:
-    """Second pass only over refused documents, with the tokens of accepted ones as evidence."""
-    evidence = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("w")).distinct().withColumn("known", F.lit(1))
-    r = table(spark, sf, "documents").filter("n_chars < 300").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
-    return r.join(evidence, "w", "left").groupBy("doc_id").agg(F.count_if(F.col("known").isNull()).alias("n_unknown"))
-
-
 @query("u7_lock_union", "WITH u AS (SELECT l_partkey AS ref, l_suppkey AS sha FROM lineitem WHERE l_linenumber = 1 UNION SELECT l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 2) SELECT ref, count(DISTINCT sha) AS n_hashes FROM u GROUP BY 1 HAVING count(DISTINCT sha) > 1")
 def u7(spark: SparkSession, sf: str) -> DataFrame:
     """Two locks put together; one reference with two hashes is an error."""

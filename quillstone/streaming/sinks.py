@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
 
 def commit_versions(current: DataFrame, writes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted new version rows, conflicts). writes: id, expected (null: must not exist), body.
@@ -42,14 +46,49 @@ def append_new(df: DataFrame, path: str, key: str) -> int:
     return n
 
 
+#: Seconds that a write waits before each further attempt.
+LADDER = (2, 5, 15, 30, 60)
+
+
+def with_retries(write, ladder=LADDER, sleep=time.sleep):
+    """The result of ``write()``, tried again after each wait of the ladder; the last failure is raised."""
+    for wait in ladder:
+        try:
+            return write()
+        except Exception:  # whatever it was, the next attempt decides
+            sleep(wait)
+    return write()
+
+
+def ingest(df: DataFrame, path: str, key: str) -> int:
+    """Store content once under its digest; how many rows were new. Digests are compared first, so only the
+    bytes of new content are moved."""
+    spark = df.sparkSession
+    keys = df.select(key).distinct()
+    if exists(spark, path):
+        keys = keys.join(spark.read.schema(df.schema).parquet(path).select(key), key, "left_anti")
+    fresh = written(keys, "ingest-new")
+    n = fresh.count()
+    if n:
+        df.join(fresh, key, "left_semi").dropDuplicates([key]).write.mode("append").parquet(path)
+    return n
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def append_days(df: DataFrame, path: str, at: str) -> None:
-    """Append under one folder a day, so readers of a day read that day."""
-    df.withColumn("day", F.to_date(at)).repartition("day").write.mode("append").partitionBy("day").parquet(path)
+def append_days(df: DataFrame, path: str, at: str, batch: int | None = None) -> None:
+    """Append under one folder a day, so readers of a day read that day. A batch with a number has a folder of its
+    own below each day, which it replaces: a batch that is sent again is not written twice. A day's rows are
+    dealt out by the engine, not to one task."""
+    dated = df.withColumn("day", F.to_date(at))
+    if batch is None:
+        dated.write.mode("append").partitionBy("day").parquet(path)
+        return
+    numbered = dated.withColumn("batch", F.lit(batch))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path)
 
 
 def expire_days(spark: SparkSession, path: str, before: str) -> int:
