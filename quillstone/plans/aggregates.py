@@ -245,9 +245,14 @@ def t8(spark: SparkSession, sf: str) -> DataFrame:
     return g.select(F.coalesce("lang", F.lit("all")).alias("lang"), "n_files", "n_whole", F.round(F.col("n_whole") / F.col("n_files"), 4).alias("share"))
 
 
-@query("t15_survey")
+@query(
+    "t15_survey",
+    """WITH c AS (SELECT doc_id, list_filter([CASE WHEN regexp_matches(text, '[0-9]{4}') THEN 'digits' END, CASE WHEN length(text) > 8000 THEN 'long' END, CASE WHEN contains(text, '<') THEN 'markup' END, CASE WHEN coalesce(length(text), 0) < 400 THEN 'short' END, CASE WHEN contains(text, '!!') THEN 'shout' END, CASE WHEN contains(text, '|') THEN 'table' END], lambda x: x IS NOT NULL) AS causes FROM documents),
+e AS (SELECT doc_id, unnest(CASE WHEN len(causes) = 0 THEN ['none'] ELSE causes END) AS cause, len(causes) AS n FROM c) SELECT cause, count(*) AS n_files, count(*) FILTER (n <= 1) AS n_alone, median(n) AS median_causes FROM e GROUP BY 1""",
+)
 def t15(spark: SparkSession, sf: str) -> DataFrame:
-    """Outcome tally of a corpus with each file's causes as a map."""
+    """Survey of a corpus: files of each cause, how many have no other, and the median number of causes beside it."""
     c = _causes(spark, sf)
-    per = c.select(F.explode_outer("causes").alias("cause")).groupBy(F.coalesce("cause", F.lit("none")).alias("cause")).agg(F.count(F.lit(1)).alias("n_files"))
-    return per.orderBy(F.desc("n_files"), "cause")
+    e = c.select(F.size("causes").alias("n"), F.explode_outer("causes").alias("cause"))
+    per = e.groupBy(F.coalesce("cause", F.lit("none")).alias("cause"))
+    return per.agg(F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("n") <= 1).alias("n_alone"), F.median("n").alias("median_causes"))

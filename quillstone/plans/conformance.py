@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import hashing, quoting, templates
 from ..operators import joins
 from ..sources.tables import table
 from .model import SECTIONS_SQL, sections
@@ -39,13 +38,24 @@ def f25(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").filter(F.col("event_type").isin("error", "purchase")).select("event_id", "event_type")
 
 
-@query("p18_conservation", f"WITH {SECTIONS_SQL}, w AS (SELECT doc_id, unnest(string_split(body, ' ')) AS w FROM sections), s AS (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM documents WHERE text IS NOT NULL), b AS (SELECT doc_id, w, count(*) AS n FROM w GROUP BY 1, 2), a AS (SELECT doc_id, w, count(*) AS n FROM s GROUP BY 1, 2) SELECT count(*) AS n_source, count(*) FILTER (a.n = b.n) AS n_conserved FROM a LEFT JOIN b USING (doc_id, w)")
+@query(
+    "p18_conservation",
+    f"""WITH {SECTIONS_SQL}, l AS (SELECT doc_id, CASE WHEN doc_id % 6 = 2 AND pos = 1 THEN body || ' extra' WHEN doc_id % 6 = 4 AND pos = 1 THEN '' ELSE body END AS body FROM sections),
+u AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(body, ' ')) AS w FROM l) WHERE w <> '' GROUP BY 1, 2), s AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM documents WHERE text IS NOT NULL) WHERE w <> '' GROUP BY 1, 2)
+SELECT coalesce(s.doc_id, u.doc_id) AS doc_id, CAST(sum(greatest(coalesce(s.n, 0) - coalesce(u.n, 0), 0)) AS BIGINT) AS n_lost, CAST(sum(greatest(coalesce(u.n, 0) - coalesce(s.n, 0), 0)) AS BIGINT) AS n_invented FROM s FULL JOIN u ON s.doc_id = u.doc_id AND s.w = u.w GROUP BY 1""",
+)
 def p18(spark: SparkSession, sf: str) -> DataFrame:
-    """Every source token is used exactly as often as it occurs: a multiset comparison by counts."""
-    used = sections(spark, sf).select("doc_id", F.explode(F.split("body", " ")).alias("w")).groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("used"))
+    """Every source token is used exactly as often as it occurs: what a reading lost and what it invented, by a
+    multiset comparison of counts. Some readings drop a line, some add a word."""
+    d = F.col("doc_id")
+    first = F.col("pos") == 1
+    body = F.when((d % 6 == 2) & first, F.concat("body", F.lit(" extra"))).when((d % 6 == 4) & first, "").otherwise(F.col("body"))
+    count = lambda df, name: df.filter("w <> ''").groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias(name))
+    used = count(sections(spark, sf).select("doc_id", F.explode(F.split(body, " ")).alias("w")), "used")
     src = table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    there = src.groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
-    return there.join(used, ["doc_id", "w"], "left").agg(F.count(F.lit(1)).alias("n_source"), F.count_if(F.col("n") == F.col("used")).alias("n_conserved"))
+    n, u = F.coalesce("n", F.lit(0)), F.coalesce("used", F.lit(0))
+    both = count(src, "n").join(used, ["doc_id", "w"], "full_outer")
+    return both.groupBy("doc_id").agg(F.sum(F.greatest(n - u, F.lit(0))).alias("n_lost"), F.sum(F.greatest(u - n, F.lit(0))).alias("n_invented"))
 
 
 @query("p28_provenance_record", "SELECT o_orderkey, '{\"target\":\"Order/' || o_orderkey || '\",\"agent\":\"Customer/' || o_custkey || '\",\"status\":\"' || o_orderstatus || '\"}' AS record FROM orders")

@@ -125,11 +125,11 @@ def q6(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").filter(F.contains(F.lower(F.trim("p_name")), F.lower(F.lit("Re")))).select("p_partkey")
 
 
-@query("p5_tokens")
+@query("p5_tokens", "SELECT conv_id, turn, len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|\\s+|[^\\p{L}\\p{N}_\\s]')) AS n_tokens, array_to_string(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|\\s+|[^\\p{L}\\p{N}_\\s]'), '') = text AS lossless FROM conversations WHERE text IS NOT NULL")
 def p5(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of a text, and that joined they give it back."""
     t = text.tokens(F.col("text"))
-    return table(spark, sf, "conversations").filter("text IS NOT NULL").select("conv_id", "turn", F.size(t).alias("n_tokens"), (F.array_join(t, "") == F.col("text")).alias("lossless"))
+    return table(spark, sf, "conversations").filter("text IS NOT NULL").select("conv_id", "turn", F.size(t).cast("long").alias("n_tokens"), (F.array_join(t, "") == F.col("text")).alias("lossless"))
 
 
 @query("p6_segments")
