@@ -232,15 +232,16 @@ class SliceEncoder:
 _LOADED: dict[str, tuple[Vocabulary, SliceEncoder]] = {}
 
 
-def _loaded(path: str) -> tuple[Vocabulary, SliceEncoder]:
-    """One per worker process."""
+def _loaded(path: str | None) -> tuple[Vocabulary, SliceEncoder]:
+    """One per worker process, which also finds the default path."""
+    path = path or default_vocabulary()
     if path not in _LOADED:
         v = Vocabulary(path)
         _LOADED[path] = v, SliceEncoder(lambda pieces: (array("I", v.encode_piece(p)).tobytes() for p in pieces), v.encode, list(v.specials))
     return _LOADED[path]
 
 
-def _encode_batches(batches: Iterator[pa.RecordBatch], path: str, back: bool) -> Iterator[pa.RecordBatch]:
+def _encode_batches(batches: Iterator[pa.RecordBatch], path: str | None, back: bool) -> Iterator[pa.RecordBatch]:
     """doc_id, n_tokens, ids; with back also the text decoded from these ids."""
     vocabulary, encoder = _loaded(path)
     for part in slices(batches):
@@ -273,21 +274,18 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     Null and empty texts have no ids. The strings of special tokens inside a text become their ids.
     Repeated doc_ids are rows of their own. Only doc_id and text are read.
     """
-    path = path or default_vocabulary()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_arrow(rows, lambda it: _encode_batches(it, path, False), "doc_id long, n_tokens long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and ids with decoded string."""
-    path = path or default_vocabulary()
     rows = encoded.select("doc_id", "n_tokens", "ids")
     return map_arrow(rows, lambda it: _decode_batches(it, path), "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """encode_documents and decode_documents in one pass of one worker a task."""
-    path = path or default_vocabulary()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_arrow(rows, lambda it: _encode_batches(it, path, True), "doc_id long, n_tokens long, ids binary, decoded string")
 

@@ -168,8 +168,9 @@ class PlaneReader:
             yield None if doc == NULL_ID else doc, start, parts
 
 
-def _library(path: str) -> SliceEncoder:
-    """The tokenizers library over the distinct pieces of a slice."""
+def _library(path: str | None) -> SliceEncoder:
+    """The tokenizers library over the distinct pieces of a slice; the worker finds the default path."""
+    path = path or default_vocabulary()
     if path not in _LIBRARY:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
@@ -220,7 +221,7 @@ def _encode_joined(t, size: np.ndarray, pieces: list[str]) -> list[bytes]:
     return out
 
 
-def _write_shard(batches: Iterator[pa.RecordBatch], out: str, path: str, end_id: int | None, mode: str) -> Iterator[pa.RecordBatch]:
+def _write_shard(batches: Iterator[pa.RecordBatch], out: str, path: str | None, end_id: int | None, mode: str) -> Iterator[pa.RecordBatch]:
     """One file for each partition; it gets its name when it is whole, so a lost task leaves none."""
     from pyarrow import fs
     from pyspark import TaskContext
@@ -252,7 +253,7 @@ def write_ids(docs: DataFrame, out: str | None = None, path: str | None = None,
     repeat a doc_id follow one another, ordered by their text's hash.
     """
     spark = docs.sparkSession
-    out, path = out or scratch_path(spark, "token-ids"), path or default_vocabulary()
+    out = out or scratch_path(spark, "token-ids")
     out = out if "://" in out or out.startswith("file:") else f"file://{out}"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ranged = rows.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
