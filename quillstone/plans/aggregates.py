@@ -136,11 +136,6 @@ def a10(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("user_id").agg(F.count_if(t == "error").alias("n_error"), F.count_if(t == "click").alias("n_warning"), F.count_if(~t.isin("error", "click")).alias("n_information"))
 
 
-@query("a11_word_counts", "SELECT doc_id, len(list_filter(string_split(text, ' '), lambda w: w <> '')) AS n_words FROM documents WHERE text IS NOT NULL")
-def a11(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", F.size(F.filter(F.split("text", " "), lambda w: w != "")).cast("long").alias("n_words"))
-
-
 @query(
     "a12_binding_hash",
     f"WITH {SECTIONS_SQL} SELECT doc_id, sha256('[' || string_agg('{{\"hash\":\"' || sha256(body) || '\",\"key\":\"section[' || pos || ']\"}}', ',' ORDER BY pos) || ']') AS binding FROM sections GROUP BY doc_id",
@@ -179,11 +174,6 @@ def a17(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").groupBy(bucket().alias("bucket")).agg(F.sum("n_chars").alias("n_characters"), F.count_if(F.col("n_chars").isNull()).alias("n_unmeasurable"))
 
 
-@query("a18_duration_rollup", "SELECT event_type AS tool, count(*) AS n_calls, round(sum(value), 4) AS total_ms, max(value) AS longest_ms FROM events GROUP BY 1")
-def a18(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").groupBy(F.col("event_type").alias("tool")).agg(F.count(F.lit(1)).alias("n_calls"), F.round(F.sum("value"), 4).alias("total_ms"), F.max("value").alias("longest_ms"))
-
-
 @query(
     "a19_flags_by_priority",
     "WITH f AS (SELECT DISTINCT user_id, event_type, CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 WHEN 'click' THEN 3 ELSE 4 END AS p FROM events) SELECT user_id, string_agg(event_type, ',' ORDER BY p, event_type) AS flags FROM f GROUP BY 1",
@@ -196,12 +186,6 @@ def a19(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("user_id", F.array_join(F.concat(F.array_intersect(order, F.col("seen")), rest), ",").alias("flags"))
 
 
-@query("a20_causes_per_file", "SELECT o_orderkey % 10 AS file_group, median(l_quantity) AS median_causes, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
-def a20(spark: SparkSession, sf: str) -> DataFrame:
-    joined = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity").join(table(spark, sf, "orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.groupBy((F.col("o_orderkey") % 10).alias("file_group")).agg(F.median("l_quantity").alias("median_causes"), F.count(F.lit(1)).alias("n"))
-
-
 @query(
     "a21_first_and_any_refusal",
     "WITH c AS (SELECT doc_id, list_filter([CASE WHEN contains(coalesce(text, ''), '|') THEN 'table' END, CASE WHEN contains(coalesce(text, ''), '<') THEN 'markup' END, CASE WHEN contains(coalesce(text, ''), '!!') THEN 'shout' END], lambda x: x IS NOT NULL) AS causes FROM documents), e AS (SELECT doc_id, unnest(causes) AS cause, generate_subscripts(causes, 1) AS place FROM c) SELECT cause, count(*) FILTER (place = 1) AS n_first, count(DISTINCT doc_id) AS n_any FROM e GROUP BY 1",

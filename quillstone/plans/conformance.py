@@ -13,14 +13,6 @@ from .registry import Registry
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
 
-@query("f19_source_allow_list", "SELECT doc_id FROM documents WHERE source IN ('src1', 'src2', 'src3') AND NOT starts_with(coalesce(text, ''), 'urn:')")
-def f19(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").filter(F.col("source").isin("src1", "src2", "src3") & ~F.coalesce("text", F.lit("")).startswith("urn:")).select("doc_id")
-
-
-
-
-
 def checked_limit(limit: int, least: int = 1, most: int = 50) -> int:
     """arguments are checked on the driver before anything is read."""
     if not least <= limit <= most:
@@ -33,11 +25,6 @@ def f23(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey").orderBy("p_partkey").limit(checked_limit(25))
 
 
-@query("f25_audited_services", "SELECT event_id, event_type FROM events WHERE event_type IN ('error', 'purchase')")
-def f25(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").filter(F.col("event_type").isin("error", "purchase")).select("event_id", "event_type")
-
-
 @query(
     "p18_conservation",
     f"""WITH {SECTIONS_SQL}, l AS (SELECT doc_id, CASE WHEN doc_id % 6 = 2 AND pos = 1 THEN body || ' extra' WHEN doc_id % 6 = 4 AND pos = 1 THEN '' ELSE body END AS body FROM sections),
@@ -58,34 +45,9 @@ def p18(spark: SparkSession, sf: str) -> DataFrame:
     return both.groupBy("doc_id").agg(F.sum(F.greatest(n - u, F.lit(0))).alias("n_lost"), F.sum(F.greatest(u - n, F.lit(0))).alias("n_invented"))
 
 
-@query("p28_provenance_record", "SELECT o_orderkey, '{\"target\":\"Order/' || o_orderkey || '\",\"agent\":\"Customer/' || o_custkey || '\",\"status\":\"' || o_orderstatus || '\"}' AS record FROM orders")
-def p28(spark: SparkSession, sf: str) -> DataFrame:
-    r = F.struct(F.concat(F.lit("Order/"), "o_orderkey").alias("target"), F.concat(F.lit("Customer/"), "o_custkey").alias("agent"), F.col("o_orderstatus").alias("status"))
-    return table(spark, sf, "orders").select("o_orderkey", F.to_json(r).alias("record"))
-
-
-@query("j23_findings_by_code", "SELECT n_name, count(*) AS n_findings FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 GROUP BY 1")
-def j23(spark: SparkSession, sf: str) -> DataFrame:
-    f = table(spark, sf, "customer").filter("c_acctbal < 0").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_findings"))
-    return f.join(joins.small(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "n_findings")
-
-
-@query("j29_invocation_events", "SELECT event_id, event_type FROM events WHERE user_id = 5")
-def j29(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").filter("user_id = 5").select("event_id", "event_type")
-
-
 @query("u4_set_equality", "WITH a AS (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS f FROM lineitem GROUP BY 1) SELECT l_orderkey, f = ['N'] AS equal FROM a")
 def u4(spark: SparkSession, sf: str) -> DataFrame:
     f = F.array_sort(F.collect_set("l_returnflag"))
     return table(spark, sf, "lineitem").groupBy("l_orderkey").agg((f == F.array(F.lit("N"))).alias("equal"))
 
 
-@query("t5_run_pipeline", f"WITH {SECTIONS_SQL}, g AS (SELECT d.doc_id, d.source FROM documents d WHERE d.lang = 'en' AND d.n_chars BETWEEN 100 AND 5000), s AS (SELECT g.source, s.doc_id, count(*) AS n, bool_and(length(s.body) < 2000) AS fits FROM sections s JOIN g USING (doc_id) GROUP BY 1, 2) SELECT source, count(*) AS n_runs, count(*) FILTER (fits) AS n_persisted, CAST(sum(n) AS BIGINT) AS n_sections FROM s GROUP BY source")
-def t5(spark: SparkSession, sf: str) -> DataFrame:
-    """Gate, flatten, check, and one ledger row a source."""
-    g = table(spark, sf, "documents").filter("lang = 'en' AND n_chars BETWEEN 100 AND 5000").select("doc_id", "source")
-    s = sections(spark, sf).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.length("body") < 2000).alias("fits")).join(g, "doc_id")
-    return s.groupBy("source").agg(F.count(F.lit(1)).alias("n_runs"), F.count_if("fits").alias("n_persisted"), F.sum("n").alias("n_sections"))
-
-

@@ -167,11 +167,6 @@ def f15(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("f16_marker_gate", "SELECT source, count(*) FILTER (contains(text, 'License')) AS n_marked, count(*) AS n_documents FROM documents GROUP BY source")
-def f16(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").groupBy("source").agg(F.count_if(F.contains("text", F.lit("License"))).alias("n_marked"), F.count(F.lit(1)).alias("n_documents"))
-
-
 @query("f20_forbidden_offset", "SELECT doc_id, CASE WHEN regexp_matches(text, '[^ -~\n]') THEN length(regexp_extract(text, '^[ -~\n]*', 0)) END AS at FROM documents")
 def f20(spark: SparkSession, sf: str) -> DataFrame:
     """Code-point offset of the first character outside a class."""
@@ -232,17 +227,6 @@ def _all():
     return Window.partitionBy()
 
 
-@query(
-    "t2_get_section",
-    f"WITH {SECTIONS_SQL} SELECT s.doc_id, s.pos, s.body, sha256(s.body) AS body_sha256, sha256(trim(regexp_replace(s.body, '[ \t\r\n\f\v]+', ' ', 'g'))) AS normal_sha256 FROM sections s JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) l USING (doc_id) WHERE s.pos = 1",
-)
-def t2(spark: SparkSession, sf: str) -> DataFrame:
-    """One section of each entitled document with the hashes of its stored and of its normalised text."""
-    entitled = table(spark, sf, "labels").filter("quality = 1").select("doc_id").distinct()
-    s = sections(spark, sf).filter("pos = 1").join(entitled, "doc_id", "left_semi")
-    return s.select("doc_id", "pos", "body", hashing.sha256_text(F.col("body")).alias("body_sha256"), hashing.sha256_text(text.collapse(F.col("body"))).alias("normal_sha256"))
-
-
 @query(
     "t3_get_provenance",
     f"WITH {LATEST_SQL}, h AS (SELECT conv_id, count(*) AS n_versions, min(turn) AS first_version FROM conversations GROUP BY 1) SELECT l.bundle_id, l.version_id, l.role AS agent, sha256(l.body) AS content_sha256, h.n_versions, h.first_version FROM latest l JOIN h ON h.conv_id = l.bundle_id",

@@ -56,13 +56,6 @@ def f15(spark: SparkSession, sf: str) -> DataFrame:
     return _bundles(spark, sf).select("bundle_id", F.size(bundles.leaves(F.col("json"))).cast("long").alias("n_strings"))
 
 
-@query("src10_word_files", f"WITH {SECTIONS_SQL} SELECT doc_id, pos, sha256(body) AS sha FROM sections")
-def src10(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents written as Word files and read back paragraph by paragraph."""
-    d = table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", words.as_word_file(F.col("text")).alias("content"))
-    return d.select("doc_id", F.explode(words.paragraphs(F.col("content"))).alias("p")).select("doc_id", "p.pos", F.sha2("p.accepted", 256).alias("sha"))
-
-
 @query("x9_narrative", f"WITH {SECTIONS_SQL} SELECT doc_id, pos, replace(replace(replace(body, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS markup FROM sections")
 def x9(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraphs written as narrative markup."""

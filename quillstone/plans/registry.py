@@ -9,7 +9,7 @@ class Registry:
 
     def __call__(self, name: str, sql: str | None = None):
         def add(f):
-            self.queries[name] = f
+            self.queries[name], f.sql = f, sql
             if sql:
                 self.sql[name] = sql
             return f

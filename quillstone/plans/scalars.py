@@ -120,11 +120,6 @@ def q3(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.posexplode(quoting.chunks(F.coalesce("text", F.lit("")))).alias("n", "c")).select("doc_id", "n", "c.start", "c.end")
 
 
-@query("q6_name_search", "SELECT p_partkey FROM part WHERE contains(lower(trim(p_name)), lower('Re'))")
-def q6(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").filter(F.contains(F.lower(F.trim("p_name")), F.lower(F.lit("Re")))).select("p_partkey")
-
-
 @query("p5_tokens", "SELECT conv_id, turn, len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|\\s+|[^\\p{L}\\p{N}_\\s]')) AS n_tokens, array_to_string(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|\\s+|[^\\p{L}\\p{N}_\\s]'), '') = text AS lossless FROM conversations WHERE text IS NOT NULL")
 def p5(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of a text, and that joined they give it back."""
@@ -159,11 +154,6 @@ def p12(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy(text.cause(message).alias("cause")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("p19_tool_version", "SELECT p_partkey, split_part(p_brand, '#', 1) AS name, split_part(p_brand, '#', 2) AS version FROM part")
-def p19(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select("p_partkey", F.split_part("p_brand", F.lit("#"), F.lit(1)).alias("name"), F.split_part("p_brand", F.lit("#"), F.lit(2)).alias("version"))
-
-
 @query("p20_subject", "SELECT c_custkey, regexp_replace(c_name, '^Customer#', '') AS subject FROM customer")
 def p20(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey", F.regexp_replace("c_name", "^Customer#", "").alias("subject"))
@@ -174,14 +164,3 @@ def p22(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.sha2(F.regexp_replace("text", "[ \\t\\r\\n\\f\\x0B]", " "), 256).alias("sha"))
 
 
-@query("p23_named_once", "SELECT p_type, count(DISTINCT p_brand) = 1 AS once, CASE WHEN count(DISTINCT p_brand) = 1 THEN min(p_brand) END AS name FROM part GROUP BY 1")
-def p23(spark: SparkSession, sf: str) -> DataFrame:
-    n = F.count_distinct("p_brand") == 1
-    return table(spark, sf, "part").groupBy("p_type").agg(n.alias("once"), F.when(n, F.min("p_brand")).alias("name"))
-
-
-@query("p24_heading_tail", "SELECT o_orderkey, starts_with(o_orderpriority, '1') AND regexp_matches(CAST(o_orderdate AS VARCHAR), '^199[0-9]-0[1-6]') AS recognised FROM orders")
-def p24(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderpriority").startswith("1") & F.col("o_orderdate").cast("string").rlike("^199[0-9]-0[1-6]")).alias("recognised"))
-
-

@@ -22,11 +22,6 @@ def w1(spark: SparkSession, sf: str) -> DataFrame:
     return windows.latest(table(spark, sf, "events").select("user_id", "event_id", "ts"), ["user_id"], "ts", "event_id")
 
 
-@query("w2_sequence_head", "SELECT conv_id, max(turn) AS head, bool_or(role NOT IN ('user', 'assistant')) AS poisoned, count(*) AS entries FROM conversations GROUP BY 1")
-def w2(spark: SparkSession, sf: str) -> DataFrame:
-    return windows.head(table(spark, sf, "conversations"), ["conv_id"], "turn", F.col("role").isin("user", "assistant"))
-
-
 @query(
     "w3_hash_chain",
     "WITH c AS (SELECT conv_id, turn, sha256(coalesce(text, '')) AS sha FROM conversations), p AS (SELECT *, lag(CASE WHEN conv_id % 9 = 4 AND turn = 1 THEN 'forged' ELSE sha END) OVER d AS prev, lag(sha) OVER d AS want, lag(turn) OVER d AS n FROM c WINDOW d AS (PARTITION BY conv_id ORDER BY turn, sha)) SELECT conv_id, turn, CASE WHEN n IS NULL THEN prev IS NULL ELSE prev = want AND turn = n + 1 END AS linked FROM p",
@@ -221,15 +216,6 @@ def j8(spark: SparkSession, sf: str) -> DataFrame:
     return joins.set_equality(of("c_acctbal > 9000", "label"), of("c_acctbal < 0", "product"), "m").groupBy("label").agg(n.alias("n_products"), F.when(n == 0, "new").when(n == 1, "known").otherwise("error").alias("state"))
 
 
-@query("j9_heading_match", "WITH t AS (SELECT DISTINCT lower(trim(regexp_replace(p_type, '[ \t]+', ' ', 'g'))) AS h FROM part WHERE p_size < 10) SELECT p_partkey, t.h IS NOT NULL AS is_heading FROM part LEFT JOIN t ON lower(trim(regexp_replace(p_type, '[ \t]+', ' ', 'g'))) = t.h")
-def j9(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts against template headings, both in collapsed form."""
-    form = F.lower(F.trim(text.collapse_template(F.col("p_type"))))
-    p = table(spark, sf, "part")
-    heads = joins.small(p.filter("p_size < 10").select(form.alias("h"), F.lit(True).alias("hit")).distinct())
-    return p.withColumn("h", form).join(heads, "h", "left").select("p_partkey", F.col("hit").isNotNull().alias("is_heading"))
-
-
 @query("j11_outside_places", f"WITH {SPANS_SQL}, o AS (SELECT * FROM spans WHERE e - s > 120), i AS (SELECT doc_id, pos, s + 2 AS s, e - 2 AS e FROM spans WHERE e - s > 8) SELECT i.doc_id, i.pos FROM i WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.doc_id = i.doc_id AND o.s <= i.s AND i.e <= o.e)")
 def j11(spark: SparkSession, sf: str) -> DataFrame:
     """Places that no other place contains: an anti join by document with range conditions."""
@@ -278,13 +264,6 @@ def j27(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", F.explode(F.split("p_type", " ")).alias("profile"))
 
 
-@query("j20_page_score", "SELECT b.item_id, count(d.doc_id) AS n_keyed, count(*) FILTER (d.doc_id IS NULL) AS n_absent FROM benchmark b LEFT JOIN documents d ON d.doc_id = b.item_id * 3 GROUP BY 1")
-def j20(spark: SparkSession, sf: str) -> DataFrame:
-    b = table(spark, sf, "benchmark").select("item_id", (F.col("item_id") * 3).alias("doc_id"))
-    d = table(spark, sf, "documents").select("doc_id", F.lit(1).alias("hit"))
-    return b.join(d, "doc_id", "left").groupBy("item_id").agg(F.count("hit").alias("n_keyed"), F.count_if(F.col("hit").isNull()).alias("n_absent"))
-
-
 @query("j24_section_ids", f"WITH {SECTIONS_SQL}, h AS (SELECT doc_id, pos, sha256('section:' || doc_id || '/' || pos) AS h FROM sections) SELECT doc_id, pos, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-a' || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS section_id FROM h")
 def j24(spark: SparkSession, sf: str) -> DataFrame:
     """Stable section ids, computed from document and place."""

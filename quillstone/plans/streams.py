@@ -147,11 +147,6 @@ def snk8(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(r.schema).json(path)
 
 
-@query("snk9_lineage_edges", "SELECT DISTINCT 'order/' || l_orderkey AS src, 'part/' || l_partkey AS dst FROM lineitem")
-def snk9(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").select(F.concat(F.lit("order/"), "l_orderkey").alias("src"), F.concat(F.lit("part/"), "l_partkey").alias("dst")).distinct()
-
-
 @query("snk10_persisted_version", "SELECT conv_id, turn, regexp_extract('Bundle/' || conv_id || '/_history/' || turn, '/_history/([^/]+)$', 1) AS version FROM conversations")
 def snk10(spark: SparkSession, sf: str) -> DataFrame:
     location = F.concat(F.lit("Bundle/"), "conv_id", F.lit("/_history/"), "turn")
