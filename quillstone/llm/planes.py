@@ -24,14 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import SliceEncoder, default_vocabulary
+from .bpe import UNEVEN, default_vocabulary
 from ..shipping import map_arrow
 from .common import materialize, partitions, scratch_path, table
-from .texts import slices
+from .texts import gather, raw, slices
 
 MAGIC, END = b"QPLN", b"QEND"
 BLOCK_IDS = 1 << 16
@@ -168,8 +170,72 @@ class PlaneReader:
             yield None if doc == NULL_ID else doc, start, parts
 
 
-def _library(path: str | None) -> SliceEncoder:
-    """The tokenizers library over the distinct pieces of a slice; the worker finds the default path."""
+class LibraryEncoder:
+    """The tokenizers library over the distinct words of a slice, without an object a word: words that begin
+    with a space and a visible character are encoded as one text, since the pre-tokenizer cuts in front of
+    each of them; where a word ends follows from the bytes that its tokens stand for. Other words, first
+    words of texts, and texts that the pre-tokenizer may cut elsewhere are encoded alone."""
+
+    def __init__(self, t):
+        self.t = t
+        self.batch = t.encode_batch_fast if hasattr(t, "encode_batch_fast") else t.encode_batch
+        self.uneven = "|".join([UNEVEN, *(regex.escape(x.content) for x in t.get_added_tokens_decoder().values())])
+        # A byte-level token has one character for each of its bytes.
+        self.size = np.zeros(t.get_vocab_size(with_added_tokens=True), dtype=np.int64)
+        for token, i in t.get_vocab().items():
+            self.size[i] = len(token)
+
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each text)."""
+        found = [e.ids for e in self.batch(texts, add_special_tokens=False)] if texts else []
+        return np.array([i for ids in found for i in ids], dtype="<u4"), np.array([len(ids) for ids in found], dtype=np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each word), of words behind a space."""
+        data, offsets = raw(words)
+        parts, counts, start = [], [], 0
+        while start < len(words):
+            stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + JOINED, side="right")) - 1)
+            ids = np.array(self.batch([data[offsets[start] : offsets[stop]].tobytes().decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.searchsorted(np.cumsum(self.size[ids]), offsets[start + 1 : stop + 1] - offsets[start]) + 1
+            parts.append(ids)
+            counts.append(np.diff(ends, prepend=0))
+            start = stop
+        return np.concatenate(parts) if parts else np.zeros(0, "<u4"), np.concatenate(counts) if counts else np.zeros(0, np.int64)
+
+    def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): ids of all texts one after the other, and the number of ids up to each end."""
+        n = len(text)
+        if not n:
+            return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        uneven = pc.match_substring_regex(text, self.uneven).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(pc.if_else(pa.array(~uneven), text, ""), " ")
+        split = split.combine_chunks() if isinstance(split, pa.ChunkedArray) else split
+        coded = split.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        per = np.diff(split.offsets.to_numpy()).astype(np.int64)
+        first = np.cumsum(per) - per
+        joined = pc.match_substring_regex(coded.dictionary, r"^[^\s\x{85}\x{A0}\p{Z}\x1C-\x1F]").to_numpy(zero_copy_only=False)
+        spaced = pc.binary_join_element_wise(pa.scalar(""), coded.dictionary, pa.scalar(" "))
+        # Pieces: joined words, other words, first words of texts (whole texts where these are uneven).
+        order = np.concatenate([np.flatnonzero(joined), np.flatnonzero(~joined)])
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        heads = coded.dictionary.take(pa.array(at[first])).to_pylist()
+        for i in np.flatnonzero(uneven).tolist():
+            heads[i] = text[i].as_py()
+        alone = spaced.filter(pa.array(~joined)).to_pylist() + heads
+        ids_a, count_a = self._words(spaced.filter(pa.array(joined)))
+        ids_b, count_b = self._alone(alone)
+        flat, count = np.concatenate([ids_a, ids_b]), np.concatenate([count_a, count_b])
+        piece = place[at]
+        piece[first] = len(order) + np.arange(n)
+        ids = gather(flat, (np.cumsum(count) - count)[piece], count[piece])
+        return ids, np.concatenate([[0], np.cumsum(count[piece])])[np.cumsum(per)]
+
+
+def _library(path: str | None) -> LibraryEncoder:
+    """One a worker process, which also finds the default path."""
     path = path or default_vocabulary()
     if path not in _LIBRARY:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -178,47 +244,14 @@ def _library(path: str | None) -> SliceEncoder:
         t = tokenizers.Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        specials = [x.content for x in t.get_added_tokens_decoder().values()]
-        # A byte-level token has one character for each of its bytes.
-        size = np.zeros(t.get_vocab_size(with_added_tokens=True), dtype=np.int64)
-        for token, i in t.get_vocab().items():
-            size[i] = len(token)
-        _LIBRARY[path] = SliceEncoder(lambda pieces: _encode_joined(t, size, pieces), lambda text: t.encode(text, add_special_tokens=False).ids, specials)
+        _LIBRARY[path] = LibraryEncoder(t)
     return _LIBRARY[path]
 
 
-_LIBRARY: dict[str, SliceEncoder] = {}
+_LIBRARY: dict[str, LibraryEncoder] = {}
 JOINED = 1 << 16
-
-
-def _encode_joined(t, size: np.ndarray, pieces: list[str]) -> list[bytes]:
-    """Ids of each piece. Pieces that begin with a space and a visible character are encoded as one
-    text, since the pre-tokenizer cuts in front of each of them; where a piece ends follows from the
-    bytes that its tokens stand for. Others are encoded alone."""
-    out: list[bytes] = [b""] * len(pieces)
-    encode = t.encode_batch_fast if hasattr(t, "encode_batch_fast") else t.encode_batch
-    joined, held = [], 0
-
-    def flush():
-        ids = np.array(encode(["".join([pieces[i] for i in joined])], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(pieces[i].encode()) for i in joined])) + 1
-        data, start = ids.tobytes(), 0
-        for i, end in zip(joined, (4 * ends).tolist()):
-            out[i] = data[start:end]
-            start = end
-
-    for i, p in enumerate(pieces):
-        if len(p) > 1 and p[0] == " " and not p[1].isspace():
-            joined.append(i)
-            held += len(p)
-            if held > JOINED:
-                flush()
-                joined, held = [], 0
-        elif p:
-            out[i] = np.array(t.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    if joined:
-        flush()
-    return out
+#: Text of a slice: distinct words of a larger slice are fewer in all.
+SLICE = 16 << 20
 
 
 def _write_shard(batches: Iterator[pa.RecordBatch], out: str, path: str | None, end_id: int | None, mode: str) -> Iterator[pa.RecordBatch]:
@@ -234,7 +267,7 @@ def _write_shard(batches: Iterator[pa.RecordBatch], out: str, path: str | None,
     encoder, tail = _library(path), np.array([] if end_id is None else [end_id], dtype="<u4")
     with store.open_output_stream(temporary) as stream:
         writer = PlaneWriter(stream, mode=mode)
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             ids, ends = encoder.encode(part.column("text"))
             start = 0
             for doc, end in zip(part.column("doc_id").to_pylist(), ends.tolist()):

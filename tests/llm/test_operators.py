@@ -322,7 +322,8 @@ def test_plane_files_round_trip(mode, width):
 
 def test_token_files(spark, library):
     texts = odd_texts()[:120]
-    docs = spark.createDataFrame([*((i * 3 % 120, t) for i, t in enumerate(texts) if i * 3 < 120), (500, None)], "doc_id long, text string")
+    long = " ".join(f"word{i}" for i in range(30_000))  # more distinct words than are encoded as one text
+    docs = spark.createDataFrame([*((i * 3 % 120, t) for i, t in enumerate(texts) if i * 3 < 120), (500, None), (501, long)], "doc_id long, text string").withColumn("shard", F.lit("x"))
     got = {r.doc_id: r for r in planes.read_index(*planes.write_ids(docs)).collect()}
     start = 0
     for doc, text in sorted((r.doc_id, r.text) for r in docs.collect()):
@@ -330,6 +331,18 @@ def test_token_files(spark, library):
         assert (got[doc].start, got[doc].n_tokens, got[doc].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert planes.read_index(*planes.write_ids(empty(spark))).count() == 0
+    again = spark.createDataFrame([(7, "b"), (7, "a b"), (None, "x y z"), (None, None)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.start, r.n_tokens) for r in planes.read_index(*planes.write_ids(again)).collect())
+    assert [d for d, *_ in got] == ["7", "7", "None", "None"] and sorted(s for _, s, _ in got)[0] == 0
+    assert sum(n for *_, n in got) == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for t in ("b", "a b", "x y z", ""))
+
+
+def test_library_encoder_equals_the_library(library):
+    texts = odd_texts()
+    ids, ends = planes._library(None).encode(pa.array(texts))
+    starts = [0, *ends.tolist()]
+    for t, a, b in zip(texts, starts, starts[1:]):
+        assert ids[a:b].tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
 # languages
