@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classes, text
+from ..scratch import written
 
 # White space that ends a word: not the two spaces that join the groups of a number.
 EDGE = classes.pattern(*(p for p in classes.WHITESPACE if p not in (0xA0, 0x2007)))
@@ -66,14 +67,19 @@ def resolve_spans(spans: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def verify_sections(parts: DataFrame, spans: DataFrame, pages: DataFrame) -> DataFrame:
-    """doc_id, key, status, reason, n_spans, text_sha256, hint: one row a section.
+    """The results of ``judge`` alone."""
+    return judge(parts, spans, pages)[0]
+
+
+def judge(parts: DataFrame, spans: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(results, resolved spans). Results: doc_id, key, status, reason, n_spans, text_sha256, hint: one row a section.
 
     parts: doc_id, key, body. The order of the checks is the rule: no provenance, unreadable narrative
     (null after normalisation), the first span that fails, an outer edge inside a word, other text than the
     pages hold (with a hint of where they differ), and for sections that pass all that: overlap with the
     next span of another section on a page.
     """
-    resolved = resolve_spans(spans, pages)
+    resolved = written(resolve_spans(spans, pages), "resolved-spans")  # read twice: joined and for overlaps
     failing = F.min(F.when(F.col("reason").isNotNull(), F.struct("ord", "reason")))
     pieces = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "piece"))), lambda x: x["piece"]), "")
     per = resolved.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_spans"), failing.alias("failing"), F.bool_or("cuts").alias("cuts"), pieces.alias("raw"))
@@ -84,14 +90,15 @@ def verify_sections(parts: DataFrame, spans: DataFrame, pages: DataFrame) -> Dat
         .when(reason.isin("page-not-found", "page-malformed", "outside-body", "hash-mismatch"), "span-not-found")
         .when(reason.isNotNull(), "invalid-provenance").when(F.col("held") != F.col("said"), "mismatch").otherwise("verified")
     )
-    judged = joined.select("doc_id", "key", "n_spans", "said", "held", status.alias("status"), F.when(F.col("n_spans").isNotNull() & F.col("said").isNotNull(), reason).alias("reason"))
+    judged = written(joined.select("doc_id", "key", "n_spans", "said", "held", status.alias("status"), F.when(F.col("n_spans").isNotNull() & F.col("said").isNotNull(), reason).alias("reason")), "judged-sections")
     overlapping = neighbours(resolved, judged).select("doc_id", "key").distinct().withColumn("overlaps", F.lit(True))
     out = judged.join(overlapping, ["doc_id", "key"], "left")
     hit = F.coalesce(F.col("overlaps"), F.lit(False))
-    return out.select(
+    results = out.select(
         "doc_id", "key", F.when(hit, "invalid-provenance").otherwise(F.col("status")).alias("status"), F.when(hit, "overlap").otherwise(F.col("reason")).alias("reason"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.sha2("said", 256).alias("text_sha256"), F.when(F.col("status") == "mismatch", diff_hint(F.col("held"), F.col("said"))).alias("hint"),
     )
+    return results, resolved
 
 
 def neighbours(resolved: DataFrame, judged: DataFrame) -> DataFrame:

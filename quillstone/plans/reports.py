@@ -151,11 +151,14 @@ def p7(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def places(labels: DataFrame, key: list[str], body: str, wordings: DataFrame, wording_id: str, wording: str) -> DataFrame:
-    """key, wording_id: the texts that contain a wording. Its inner words stand between spaces in any such text,
-    so an equi-join on their hashes finds all candidates; wordings have at least four words."""
+    """key, wording_id: the texts that contain a wording, both normalised. Its inner words stand between spaces in
+    any such text, so an equi-join on their hashes finds all candidates (wordings have at least four words);
+    only candidates are normalised again and searched."""
     inner = wordings.withColumn("inner", F.array_join(F.slice(F.split(wording, " "), F.lit(2), F.size(F.split(wording, " ")) - 2), " "))
-    pairs = search.phrase_pairs(labels, key, body, inner.select(wording_id, "inner"), wording_id, "inner")
-    both = labels.join(small(pairs, 100_000), key).join(small(wordings.select(wording_id, wording)), wording_id)
+    ready = labels.withColumn(body, text.normalize(F.col(body))).filter(F.col(body).isNotNull())
+    pairs = search.phrase_pairs(ready, key, body, inner.select(wording_id, "inner"), wording_id, "inner")
+    some = labels.join(small(pairs, 100_000), key).withColumn(body, text.normalize(F.col(body)))
+    both = some.join(small(wordings.select(wording_id, wording)), wording_id)
     return both.filter(F.contains(F.col(body), F.col(wording))).select(*key, wording_id)
 
 
@@ -169,7 +172,7 @@ def statuses(spark: SparkSession, sf: str, labels: DataFrame, key: list[str], bo
 
 
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", text.normalize(F.col("text")).alias("body")).filter("body IS NOT NULL")
+    return table(spark, sf, "documents").select("doc_id", F.col("text").alias("body"))
 
 
 @query(

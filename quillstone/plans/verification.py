@@ -124,8 +124,8 @@ SELECT doc_id, CAST(page_points AS BIGINT) AS page_points, CAST(body_points AS B
 def a2(spark: SparkSession, sf: str) -> DataFrame:
     """Code points of pages, of their bodies, and of verified spans, and how many gaps these leave."""
     parts, spans, pages = submission(spark, sf)
-    results = verification.verify_sections(parts, spans, pages)
-    out = verification.coverage(verification.resolve_spans(spans, pages), results, pages)
+    results, resolved = verification.judge(parts, spans, pages)
+    out = verification.coverage(resolved, results, pages)
     return out.select("doc_id", *[F.col(c).cast("long").alias(c) for c in ("page_points", "body_points", "covered_points", "gaps")])
 
 
