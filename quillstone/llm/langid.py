@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -27,6 +27,8 @@ DIMENSIONS = 8192
 CENTROIDS = 4
 #: The documented bound of training: labelled rows a language, and in all.
 TRAIN_PER_LANGUAGE, TRAIN_ROWS = 300, 6000
+#: Share of a language's quota that is drawn in the mean where it has more rows.
+RATE = 0.9
 #: Cuts are set for texts of so many letters on. A text of fewer letters, or of a language with fewer
 #: than LEAST_HELD held-out texts, is rejected below REJECT_SHARE of the similarity that 99 % of its
 #: language's training texts reach.
@@ -199,22 +201,26 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int = TRAIN_ROWS) -> Model:
-    """A model of the labelled rows (doc_id, text, lang) with the smallest hashed ids of each language.
+    """A model of labelled rows (doc_id, text, lang), drawn by hashes.
 
-    The sample is bounded by per_language and rows; texts are counted on the executors whole, and only
+    The sample is bounded by rows, and drawn at a rate that gives a language RATE of per_language rows; texts are counted on the executors whole, and only
     gram counts (at most DIMENSIONS a row) come to the driver, of one in HELD also those of its starts.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     usable = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text.alias("text"))
     labelled = usable.select("lang", "doc_id", F.xxhash64("text").alias("th"))
-    n_langs = labelled.select("lang").distinct().count()
+    counts = materialize(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-counts")
+    n_langs = counts.count()
     if not n_langs:
         return fit_model(np.zeros((0, DIMENSIONS)), [])
-    # Ties end at equal rows, of which any serves: so the sample is the same in every run.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "th")
-    chosen = labelled.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= max(1, min(per_language, rows // n_langs)))
-    chosen = chosen.orderBy(F.xxhash64("lang"), "lang", "r").limit(rows).select("lang", "doc_id", "th").distinct()
-    chosen = materialize(chosen, "langid-sample")
+    # A row is in the sample by its hash alone, at the rate that its language's quota asks for: no language is
+    # sorted or ranked in one task. Equal rows are in together, and then count once.
+    quota = max(1, min(per_language, rows // n_langs))
+    draw = F.xxhash64(F.lit(17), "doc_id", "th")
+    rate = F.when(F.col("n") <= quota, 1.0).otherwise(RATE * quota / F.col("n"))
+    small = F.broadcast(counts) if n_langs <= rows else counts
+    chosen = labelled.join(small, "lang").filter(F.pmod(draw, F.lit(1 << 30)) < rate * (1 << 30)).select("lang", "doc_id", "th").distinct()
+    chosen = materialize(chosen.orderBy(draw, "lang", "doc_id").limit(rows), "langid-sample")
     # At most `rows` keys: small enough to broadcast at any size of the input. Equal rows count once.
     texts = usable.withColumn("th", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "doc_id", "th"], "left_semi").dropDuplicates(["lang", "doc_id", "th"]).select("lang", "text")
     counted = map_arrow(texts, _count_batches, "lang string, at array<int>, n array<int>, lettered boolean, held boolean, band int, negative boolean").filter("lettered")

@@ -369,9 +369,11 @@ def test_language_corner_cases(spark):
 def test_language_sample_does_not_depend_on_partitions(spark):
     rows = [(i // 3, f"{w} wort haus nummer {i}" if i % 5 else "same text", f"l{i % 40}") for i, w in enumerate(["der", "the", "el"] * 60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    models = [langid.fit(d, per_language=2, rows=20) for d in (docs, docs.repartition(7), docs.unionByName(docs))]
-    for m in models[1:]:
-        assert m.of == models[0].of and np.array_equal(m.centroids, models[0].centroids) and np.array_equal(m.least, models[0].least)
+    few = langid.fit(docs, per_language=3, rows=200)
+    for fit, others in ((few, [langid.fit(docs.repartition(7), per_language=3, rows=200)]), (langid.fit(docs), [langid.fit(docs.repartition(7)), langid.fit(docs.unionByName(docs))])):
+        for m in others:  # all rows are in the second sample, and equal ones count once
+            assert m.of == fit.of and np.array_equal(m.centroids, fit.centroids) and np.array_equal(m.least, fit.least)
+    assert langid.fit(docs, per_language=300, rows=20).of  # more languages than rows: some are left out
 
 
 def test_language_equals_plain_cosines(spark):
