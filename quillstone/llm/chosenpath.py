@@ -376,7 +376,9 @@ def _along_hubs(rows: DataFrame, candidates: DataFrame, k: int, percent: int) ->
     counted = join_counted(chosen, hubs.select("hub", "n", "parts"), ["hub"], "n", chosen.count())
     others = _texts(rows, counted.select("rep", "hub", "parts")).select("hub", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("block"), "rep", F.lit(1).alias("role"), "text")
     dealt = own.unionByName(others).repartition(partitions(rows.sparkSession), "hub", "block").sortWithinPartitions("hub", "block", "role", "rep")
-    return materialize(map_arrow(dealt.select("hub", "block", "rep", "text"), lambda it: _hub_links(it, k, percent), "u long, v long"), "near-hub-links")
+    links = materialize(map_arrow(dealt.select("hub", "block", "rep", "text"), lambda it: _hub_links(it, k, percent), "u long, v long"), "near-hub-links")
+    forget(chosen, hubs)
+    return links
 
 
 def _across(rows: DataFrame, candidates: DataFrame, parts: DataFrame, k: int, percent: int) -> DataFrame | None:
@@ -406,11 +408,15 @@ def _across(rows: DataFrame, candidates: DataFrame, parts: DataFrame, k: int, pe
     main = F.col("settled") == F.col("main")
     own = F.when(main, F.pmod(h, a)).otherwise(a + F.pmod(h, b))
     meets = F.when(main, F.sequence(a, a + b - 1)).otherwise(F.sequence(zero, a + b - 1))
-    counted = join_counted(of, materialize(per, "near-classes"), ["class"], "n", of.count())
+    per = materialize(per, "near-classes")
+    counted = join_counted(of, per, ["class"], "n", of.count())
     dealt = counted.select("rep", "class", "settled", F.transform(meets, lambda o: F.least(own, o) * (a + b) + F.greatest(own, o)).alias("blocks"))
-    texts = _texts(rows, materialize(dealt, "near-blocks")).select("class", "settled", F.explode("blocks").alias("block"), "text")
+    dealt = materialize(dealt, "near-blocks")
+    texts = _texts(rows, dealt).select("class", "settled", F.explode("blocks").alias("block"), "text")
     texts = texts.repartition(partitions(rows.sparkSession), "class", "block").sortWithinPartitions("class", "block", "settled")
-    return materialize(map_arrow(texts, lambda it: _block_links(it, k, percent), "u long, v long"), "near-block-links")
+    links = materialize(map_arrow(texts, lambda it: _block_links(it, k, percent), "u long, v long"), "near-block-links")
+    forget(ends, of, per, dealt)
+    return links
 
 
 def _linked(docs: DataFrame, k: int, percent: int, recall: float) -> tuple[DataFrame, str, DataFrame]:

@@ -338,7 +338,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     shared = join_counted(may_be_among(different, F.xxhash64("gram"), words), grams, ["gram"], "n", total).select("gram", "doc", "place")
     wanted = shared.groupBy("doc").agg(F.collect_list(F.struct("gram", "place")).alias("wanted"))
     cut = map_arrow(docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["doc"]).select("doc_id", "text", "wanted"), _cut_pieces, "gram long, doc long, place long, bytes binary")
-    cut = materialize(cut, "suffix-cut")
+    cut = fetched = materialize(cut, "suffix-cut")
     limit = min(LARGE_MOST, max(LARGE_LEAST, total // (4 * partitions(spark))))
     found = whole
     if most > limit:
@@ -348,7 +348,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         cut = cut.join(large, "gram", "left_anti")
     dealt = cut.repartition(partitions(spark), "gram").sortWithinPartitions("gram")
     found = materialize(found.unionByName(map_arrow(dealt, _compare, "doc long, s long, e long")), "suffix-ranges")
-    forget(sorted_out, grams, words)
+    forget(sorted_out, grams, words, fetched)
     return found
 
 
