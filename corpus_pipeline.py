@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import bpe, chosenpath, langid, lines, mixing
-from quillstone.llm.common import materialize
+from quillstone.llm.common import forget, materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +59,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            forget(before)  # the stage that read it has been written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
