@@ -21,20 +21,6 @@ def neighbours_overlap(spans: DataFrame, page: list[str], owner: str, start: str
     return both.filter((F.col(start) < F.col("before_end")) & (F.col(owner) != F.col("before_owner")))
 
 
-def resolve(spans: DataFrame, pages: DataFrame) -> DataFrame:
-    """Spans (doc, page, s, e) with the first reason why their page does not hold them, or none.
-
-    An equi-join on the page with range conditions in the projection: no nested loop."""
-    joined = spans.join(pages, ["doc_id", "page"], "left")
-    reason = F.coalesce(
-        F.when(F.col("page_length").isNull(), "page-not-found"),
-        F.when((F.col("body_start") < 0) | (F.col("body_end") > F.col("page_length")), "page-malformed"),
-        F.when((F.col("s") < F.col("body_start")) | (F.col("e") > F.col("body_end")), "outside-body"),
-        F.when(F.col("s") >= F.col("e"), "span-order"),
-    )
-    return joined.withColumn("reason", reason)
-
-
 def outside(places: DataFrame, others: DataFrame, key: list[str]) -> DataFrame:
     """places (key, pos, s, e) that no place of ``others`` of the same key contains: one sweep by start, in
     which a place is contained if an earlier start reaches at least as far. Nothing is paired."""

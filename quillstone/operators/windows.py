@@ -49,9 +49,3 @@ def sliding(df: DataFrame, key: list[str], order: str, text: str, n: int) -> Dat
     """Each row's text joined with that of the n - 1 rows after it."""
     over = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.currentRow, n - 1)
     return df.withColumn("joined", F.array_join(F.collect_list(text).over(over), " ")).withColumn("n_joined", F.count(text).over(over))
-
-
-def first_seen(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One row a key: the one that comes first."""
-    over = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(over)).filter("_rank = 1").drop("_rank")

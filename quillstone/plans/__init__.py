@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, conformance, documents, files, gates, markup, quotes, reports, rules, scalars, scans, services, streams, verification
+from . import aggregates, documents, files, gates, markup, quotes, reports, rules, scalars, scans, services, streams, verification
 
-MODULES = (quotes, verification, gates, reports, markup, services, rules, documents, aggregates, scans, scalars, streams, conformance, files)
+MODULES = (quotes, verification, gates, reports, markup, services, rules, documents, aggregates, scans, scalars, streams, files)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 for module in MODULES:

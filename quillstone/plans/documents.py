@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import hashing, text
+from ..functions import hashing
 from ..operators import joins, windows
 from ..sources.tables import table
+from .gates import checked_limit
 from .model import SECTIONS_SQL, sections, versions
 from .registry import Registry
 
@@ -216,7 +217,7 @@ def t1(spark: SparkSession, sf: str) -> DataFrame:
     flagged = seen.withColumn("r", F.row_number().over(_all_by("p_partkey")))
     matches = flagged.withColumn("over", F.max("r").over(_all()) > 200).filter((F.col("r") <= 200) & F.contains(F.lower("p_name"), F.lit("a")))
     counted = matches.withColumn("truncated", F.col("over") | (F.count(F.lit(1)).over(_all()) > 50))
-    return counted.orderBy("p_partkey").limit(50).select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), "holder", "truncated")
+    return counted.orderBy("p_partkey").limit(checked_limit(50)).select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), "holder", "truncated")
 
 
 def _all_by(c):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, xhtml
 from ..shipping import arrow_udf
-from ..sources import bundles, words
+from ..sources import bundles
 from ..sources.tables import table
 from .edges_sql import normal
 from .model import SECTIONS_SQL

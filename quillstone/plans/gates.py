@@ -316,3 +316,61 @@ def j21(spark: SparkSession, sf: str) -> DataFrame:
     hit = docs.select("s_suppkey", F.col("s_nationkey").alias("entry"), own.alias("sha")).join(joins.small(index.withColumn("hit", F.lit(1))), ["entry", "sha"], "left")
     c = F.count("hit")
     return hit.groupBy("s_suppkey").agg(F.when(c == 0, "unbound").when(c == 1, "bound").otherwise("ambiguous").alias("binding"))
+
+
+@query(
+    "p18_conservation",
+    f"""WITH {SECTIONS_SQL}, l AS (SELECT doc_id, CASE WHEN doc_id % 6 = 2 AND pos = 1 THEN body || ' extra' WHEN doc_id % 6 = 4 AND pos = 1 THEN '' ELSE body END AS body FROM sections),
+u AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(body, ' ')) AS w FROM l) WHERE w <> '' GROUP BY 1, 2), s AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM documents WHERE text IS NOT NULL) WHERE w <> '' GROUP BY 1, 2)
+SELECT coalesce(s.doc_id, u.doc_id) AS doc_id, CAST(sum(greatest(coalesce(s.n, 0) - coalesce(u.n, 0), 0)) AS BIGINT) AS n_lost, CAST(sum(greatest(coalesce(u.n, 0) - coalesce(s.n, 0), 0)) AS BIGINT) AS n_invented FROM s FULL JOIN u ON s.doc_id = u.doc_id AND s.w = u.w GROUP BY 1""",
+)
+def p18(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source token is used exactly as often as it occurs: what a reading lost and what it invented, by a
+    multiset comparison of counts. Some readings drop a line, some add a word."""
+    d = F.col("doc_id")
+    first = F.col("pos") == 1
+    body = F.when((d % 6 == 2) & first, F.concat("body", F.lit(" extra"))).when((d % 6 == 4) & first, "").otherwise(F.col("body"))
+    count = lambda df, name: df.filter("w <> ''").groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias(name))
+    used = count(sections(spark, sf).select("doc_id", F.explode(F.split(body, " ")).alias("w")), "used")
+    src = table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    n, u = F.coalesce("n", F.lit(0)), F.coalesce("used", F.lit(0))
+    both = count(src, "n").join(used, ["doc_id", "w"], "full_outer")
+    return both.groupBy("doc_id").agg(F.sum(F.greatest(n - u, F.lit(0))).alias("n_lost"), F.sum(F.greatest(u - n, F.lit(0))).alias("n_invented"))
+
+
+@query(
+    "u4_set_equality",
+    "WITH a AS (SELECT DISTINCT l_orderkey, l_returnflag AS f FROM lineitem WHERE l_linestatus = 'O'), b AS (SELECT DISTINCT l_orderkey, l_returnflag AS f FROM lineitem WHERE l_suppkey % 3 <> 1) SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, count(*) FILTER (b.f IS NULL) AS n_only_left, count(*) FILTER (a.f IS NULL) AS n_only_right, bool_and(a.f IS NOT NULL AND b.f IS NOT NULL) AS equal FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey AND a.f = b.f GROUP BY 1",
+)
+def u4(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether two sets of each key are equal: nothing is only in one of them. No set is collected."""
+    li = table(spark, sf, "lineitem")
+    of = lambda which, name: li.filter(which).select("l_orderkey", "l_returnflag").distinct().withColumn(name, F.lit(1))
+    both = of("l_linestatus = 'O'", "a").join(of("l_suppkey % 3 <> 1", "b"), ["l_orderkey", "l_returnflag"], "full_outer")
+    a, b = F.col("a").isNull(), F.col("b").isNull()
+    return both.groupBy("l_orderkey").agg(F.count_if(b).alias("n_only_left"), F.count_if(a).alias("n_only_right"), F.bool_and(~a & ~b).alias("equal"))
+
+
+#: What the tools take: limits, and the longest quote and query (UTF-16 units).
+LIMIT, QUOTE, QUERY = (1, 50), 2000, 200
+
+
+def checked_limit(limit: int) -> int:
+    """Arguments of a call are checked on the driver before anything is read."""
+    if not LIMIT[0] <= limit <= LIMIT[1]:
+        raise ValueError(f"limit is {LIMIT[0]} to {LIMIT[1]}")
+    return limit
+
+
+@query(
+    "f23_limited_tool",
+    "SELECT p_partkey, CASE WHEN p_size NOT BETWEEN 1 AND 50 OR p_partkey % 10 = 3 THEN 'invalid-limit' WHEN length(p_name) * (p_partkey % 100) > 2000 THEN 'quote-too-long' WHEN length(p_type) * (p_partkey % 20) > 200 THEN 'query-too-long' ELSE 'accepted' END AS outcome FROM part",
+)
+def f23(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests recorded as rows, judged by the same bounds that calls are."""
+    k = F.col("p_partkey")
+    limit = F.when(k % 10 == 3, 51).otherwise(F.col("p_size"))
+    quote, asked = F.expr("repeat(p_name, CAST(p_partkey % 100 AS INT))"), F.expr("repeat(p_type, CAST(p_partkey % 20 AS INT))")
+    units = lambda c: F.length(c) + F.regexp_count(c, F.lit("[\\x{10000}-\\x{10ffff}]"))
+    outcome = F.when(~limit.between(*LIMIT), "invalid-limit").when(units(quote) > QUOTE, "quote-too-long").when(units(asked) > QUERY, "query-too-long").otherwise("accepted")
+    return table(spark, sf, "part").select("p_partkey", outcome.alias("outcome"))

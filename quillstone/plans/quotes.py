@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import quoting, text
 from ..operators import search
-from ..operators.joins import small
 from ..sources.tables import table
 from .edges_sql import normal, places
 from .model import SECTIONS_SQL, sections
