@@ -83,7 +83,13 @@ def judge(parts: DataFrame, spans: DataFrame, pages: DataFrame) -> tuple[DataFra
     failing = F.min(F.when(F.col("reason").isNotNull(), F.struct("ord", "reason")))
     pieces = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "piece"))), lambda x: x["piece"]), "")
     per = resolved.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_spans"), failing.alias("failing"), F.bool_or("cuts").alias("cuts"), pieces.alias("raw"))
-    joined = parts.select("doc_id", "key", text.normalize(F.col("body")).alias("said")).join(per, ["doc_id", "key"], "left").withColumn("held", text.normalize(F.col("raw")))
+    both = parts.select("doc_id", "key", "body").join(per, ["doc_id", "key"], "left")
+    # Most sections are their pages' text to the letter: these are normalised once. (A bullet depends on whether a
+    # line begins before it, so texts with bullets are not compared like this.)
+    edges = F.lit(" \n\r\t")
+    differs = F.coalesce((F.btrim("raw", edges) != F.btrim("body", edges)) | F.col("raw").rlike(f"[{text.BULLETS}]"), F.lit(False))
+    joined = both.withColumns({"said": text.normalize(F.col("body")), "other": text.normalize(F.when(differs, F.col("raw"))), "differs": differs})
+    joined = joined.withColumn("held", F.when(F.col("differs"), F.col("other")).when(F.col("raw").isNotNull(), F.col("said")))
     reason = F.coalesce(F.col("failing.reason"), F.when(F.col("cuts"), "word-cut"))
     status = (
         F.when(F.col("n_spans").isNull(), "missing-provenance").when(F.col("said").isNull(), "malformed-narrative")
