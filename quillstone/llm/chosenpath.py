@@ -36,7 +36,7 @@ THRESHOLD = 0.8
 #: probability, leave a leaf with about so many of them.
 CHANCE, LEAF_ROWS = 0.05, 2000
 #: Rows of a leaf, and texts of a candidate class (of each side of a pair of blocks), that one task takes at once.
-LEAF_BLOCK, CLASS_BLOCK = 100_000, 100
+LEAF_BLOCK, CLASS_BLOCK = 100_000, 48
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
