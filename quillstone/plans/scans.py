@@ -198,8 +198,12 @@ def j6(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT p.p_partkey, s.s_name AS holder, n.n_name AS country FROM part p LEFT JOIN (SELECT l_partkey, arg_min(l_suppkey, (l_orderkey, l_linenumber)) AS k FROM lineitem GROUP BY 1) l ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON s.s_suppkey = l.k LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey",
 )
 def j7(spark: SparkSession, sf: str) -> DataFrame:
-    """The first holder of each authorisation; the big side is reduced before it is joined."""
-    first = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.min_by("l_suppkey", F.struct("l_orderkey", "l_linenumber")).alias("k"))
+    """The first holder of each authorisation; the big side is reduced before it is joined. Lines without a holder
+    are passed over, missing numbers come last, and of lines with equal numbers the first of the file is taken."""
+    number = lambda c: [F.col(c).isNull().alias(f"no_{c}"), F.col(c)]
+    place = F.struct(*number("l_orderkey"), *number("l_linenumber"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    held = table(spark, sf, "lineitem").filter("l_suppkey IS NOT NULL")
+    first = held.groupBy("l_partkey").agg(F.min_by("l_suppkey", place).alias("k"))
     s = table(spark, sf, "supplier").join(joins.small(table(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey"), "left")
     p = table(spark, sf, "part").select("p_partkey").join(first, F.col("p_partkey") == F.col("l_partkey"), "left")
     return p.join(s, F.col("k") == F.col("s_suppkey"), "left").select("p_partkey", F.col("s_name").alias("holder"), F.col("n_name").alias("country"))

@@ -26,3 +26,19 @@ def test_word_cuts_of_a_long_text(spark, tmp_path):
     spark.createDataFrame([(1, "word 12 " * 130_000)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     rows = plans.QUERIES["q5_word_cuts"](spark, str(tmp_path))
     assert rows.count() == len(range(1, 8 * 130_000, 97))
+
+
+def test_first_holder_of_equal_lines(spark, sf, tmp_path):
+    """Equal order and line numbers (the first of the file holds), no holder, no order number."""
+    for name, rows, kind in (
+        ("part", [(k,) for k in range(1, 6)], "p_partkey long"),
+        ("supplier", [(k, f"S{k}", k % 25) for k in range(1, 10)], "s_suppkey long, s_name string, s_nationkey int"),
+        ("lineitem", [(1, 9, 4, 1), (1, 2, 4, 1), (1, 5, 4, 1), (2, 3, 8, 2), (2, 4, 8, 1), (3, None, 1, 1), (3, 7, 2, 1), (4, 3, None, 1), (4, 6, 7, 1)], "l_partkey long, l_suppkey long, l_orderkey long, l_linenumber int"),
+    ):
+        spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{tmp_path}/made/{name}")
+        part = next(p for p in (tmp_path / "made" / name).iterdir() if p.suffix == ".parquet")
+        part.rename(tmp_path / f"{name}.parquet")
+    (tmp_path / "nation.parquet").symlink_to(f"{sf}/nation.parquet")
+    df = plans.QUERIES["j7_first_holder"](spark, str(tmp_path))
+    assert {r.p_partkey: r.holder for r in df.collect()} == {1: "S9", 2: "S4", 3: "S7", 4: "S6", 5: None}
+    assert assert_equal(df, plans.ORACLE_SQL["j7_first_holder"], str(tmp_path)) == 5
