@@ -19,6 +19,8 @@ LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
 INVISIBLE = classes.pattern(*classes.INVISIBLE)
 SPACES = classes.pattern(*classes.WHITESPACE)
 IN_LINE = classes.pattern(*(p for p in classes.WHITESPACE if p not in (0x09, 0x0A)))
+#: Printable ASCII, tab, line breaks and Latin letters.
+ORDINARY = "\\x20-\\x7e\\n\\t\\r\\u00a0-\\u00ac\\u00ae-\\u02ff"
 BULLETS = classes.pattern(*classes.BULLETS)
 # A well-formed string of the JVM holds no single surrogates: their range is left out.
 FORBIDDEN = f"[{classes.pattern(*(r for r in classes.FORBIDDEN if r[0] != 0xD800))}]"
@@ -36,7 +38,7 @@ nfc = arrow_udf(_nfc, "string")
 def unusual(c: Column) -> Column:
     """The characters of a text but printable ASCII, tab, line breaks and Latin letters, on which no rule
     but white space bears. It is mostly empty, and costs less than any test of the whole text."""
-    return F.regexp_replace(c, "[\\x20-\\x7e\\n\\t\\r\\u00a0-\\u00ac\\u00ae-\\u02ff]+", "")
+    return F.regexp_replace(c, f"[{ORDINARY}]+", "")
 
 
 @functools.cache
@@ -81,18 +83,29 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, f"[{SPACES}]+", " "))
 
 
+def collapse_ordinary(c: Column) -> Column:
+    """``collapse`` of ordinary text, in which few code points are white space; single spaces are left as they are."""
+    return F.trim(F.regexp_replace(c, "[\\t\\n\\r\\xa0][\\t\\n\\r \\xa0]*| [\\t\\n\\r \\xa0]+", " "))
+
+
 def collapse_template(c: Column) -> Column:
     """Runs of space, tab and no-break space are one space."""
     return F.regexp_replace(c, "[ \t ]+", " ")
 
 
+def ordinary(c: Column) -> Column:
+    """Whether a text holds nothing on which any rule but white space bears: one look at it, up to the first such
+    character."""
+    return c.rlike(f"\\A[{ORDINARY}]*+\\z")
+
+
 def normalize(c: Column) -> Column:
     """The order matters: drop, expand, compose, bullets, white space. Text that holds a forbidden
-    character is null: it cannot be compared."""
+    character is null: it cannot be compared. Ordinary text only has its white space collapsed."""
     odd = unusual(c)
     plain = F.when(odd.rlike(f"[{INVISIBLE}\\ufb00-\\ufb06]"), expand_ligatures(drop_invisible(c))).otherwise(c)
-    whole = compose(F.when(~odd.rlike(FORBIDDEN), plain))
-    return collapse(F.when(odd.rlike(f"[{BULLETS}]"), plain_bullets(whole)).otherwise(whole))
+    whole = compose(F.when(~ordinary(c) & ~odd.rlike(FORBIDDEN), plain))
+    return F.when(ordinary(c), collapse_ordinary(c)).otherwise(collapse(F.when(odd.rlike(f"[{BULLETS}]"), plain_bullets(whole)).otherwise(whole)))
 
 
 def forbidden_at(c: Column) -> Column:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import pytest
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from quillstone import plans
+from quillstone.functions import text
 from quillstone.operators import verification
+from quillstone.plans.verification import submission
 
 from .oracle import assert_equal
 
@@ -18,6 +22,11 @@ def test_word_cuts_beyond_the_pieces(spark):
     at = rows.filter(F.length("t") > 1).select("k", "t", F.explode(F.sequence(F.lit(1), F.length("t") - 1, F.lit(5))).alias("place"))
     want = at.select("k", "place", verification.starts_inside(F.substring("t", F.lit(1), F.col("place")), F.substring("t", F.col("place") + 1, F.length("t"))).alias("starts_inside"))
     got = verification.inside_each(rows, "k", "t", 5)
+    edge, gaps = verification.EDGE, verification.GAPS
+    for r in got.collect():
+        before, inner = texts[r.k][: r.place], texts[r.k][r.place :]
+        number = re.search(f"\\d[{gaps}]*\\Z", before.split("\n")[-1]) and re.match(f"[{gaps}]*\\d", inner)
+        assert r.starts_inside == bool(re.search(f"[^{edge}]\\Z", before) or re.search(f"\\u00ad[{edge}]+\\Z", before) or number), r
     assert sorted(got.collect()) == sorted(want.collect()) and any(r.starts_inside for r in got.collect())
 
 
@@ -42,3 +51,24 @@ def test_first_holder_of_equal_lines(spark, sf, tmp_path):
     df = plans.QUERIES["j7_first_holder"](spark, str(tmp_path))
     assert {r.p_partkey: r.holder for r in df.collect()} == {1: "S9", 2: "S4", 3: "S7", 4: "S6", 5: None}
     assert assert_equal(df, plans.ORACLE_SQL["j7_first_holder"], str(tmp_path)) == 5
+
+
+def test_ordinary_text_is_collapsed_like_any_other(spark):
+    """Ordinary text takes a short way to the same result."""
+    draw = random.Random(7)
+    made = ["".join(draw.choices("ab \t\n\r\xa0é", k=draw.randrange(12))) for _ in range(400)]
+    c = F.col("t")
+    rows = spark.createDataFrame([(t,) for t in made + ["a\u2003b", "•", "é\u0301", "\x01"]], "t string")
+    got = rows.select("t", text.ordinary(c).alias("o"), text.normalize(c).alias("n"), text.collapse(c).alias("w")).collect()
+    assert [r.o for r in got] == [True] * 400 + [False] * 4
+    assert all(r.n == r.w == re.sub("[ \t\n\r\xa0]+", " ", r.t).strip(" ") for r in got[:400])
+    assert [r.n for r in got[400:]] == ["a b", "•", "é\u0301", None]
+
+
+def test_page_texts_stay_out_of_the_windows(spark, sf):
+    """A page's text used to be carried along, twice, by every span of it."""
+    _, spans, pages = submission(spark, sf)
+    plan = verification.resolve_spans(spans, pages)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Window")]
+    assert windows and not any("page_text" in line for line in windows)
+    assert verification.resolve_spans(spans, pages).count() == spans.count()
