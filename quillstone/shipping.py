@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import zipfile
@@ -29,15 +30,40 @@ def ship(spark: SparkSession) -> None:
     setattr(context, _SENT, True)
 
 
+#: Characters and bytes that a column function is given at once, if one row does not hold more.
+SLICE = 1 << 20
+
+
+def slices(parts, most: int = SLICE):
+    """The same rows in order, in parts of at most ``most`` characters, so that what is made of a whole Arrow batch
+    (up to 10,000 rows of any length) is never held at once."""
+    for part in parts:
+        columns = part if isinstance(part, tuple) else (part,)
+        cuts, held = [0], 0
+        for i, row in enumerate(zip(*columns)):
+            size = sum(len(v) for v in row if hasattr(v, "__len__"))
+            if held and held + size > most:
+                cuts.append(i)
+                held = 0
+            held += size
+        for a, b in zip(cuts, [*cuts[1:], len(columns[0])]):
+            piece = tuple(c.iloc[a:b] for c in columns)
+            yield piece if isinstance(part, tuple) else piece[0]
+
+
 def arrow_udf(function, kind):
     """A column function over an Arrow UDF (iterator of series to iterator of series), made when it is
-    first used, with the package at hand in the workers."""
+    first used, with the package at hand in the workers. The function meets its rows in ``slices``."""
     made = []
 
+    @functools.wraps(function)
+    def sliced(parts):
+        return function(slices(parts))
+
     def call(*columns):
         ship(SparkSession.active())
         if not made:
-            made.append(pandas_udf(function, kind))
+            made.append(pandas_udf(sliced, kind))
         return made[0](*columns)
 
     call.__doc__ = function.__doc__

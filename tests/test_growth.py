@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 import re
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quillstone import plans
 from quillstone.functions import text
+from quillstone.shipping import slices
 from quillstone.operators import verification
 from quillstone.plans.verification import submission
 
@@ -82,3 +84,14 @@ def test_page_texts_stay_out_of_the_windows(spark, sf):
     windows = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Window")]
     assert windows and not any("page_text" in line for line in windows)
     assert verification.resolve_spans(spans, pages).count() == spans.count()
+
+
+def test_batches_are_met_in_slices(spark):
+    """A column function never holds what it makes of a whole batch of texts: no slice is above the bound, but rows that are."""
+    texts, numbers = pd.Series(["ab", None, "c" * 9, "", "d" * 30, "e"] * 50), pd.Series(range(300))
+    got = list(slices([(texts, numbers), (texts[:0], numbers[:0])], 10))
+    assert [v for t, n in got for v in zip(t, n)] == list(zip(texts, numbers)) and len(got) > 150
+    assert all(len(t) == len(n) and (sum(len(x or "") for x in t) <= 10 or sum(bool(x) for x in t) == 1) for t, n in got)
+    assert [list(s) for s in slices([texts[:2]], 10)] == [["ab", None]]
+    rows = spark.range(0, 300, 1, 1).select("id", F.repeat(F.lit("a\u0301"), 20_000).alias("t"))
+    assert rows.filter(F.length(text.nfc(F.col("t"))) != 20_000).count() == 0
